@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from broadsheet.functions.scores import rank_key
 from broadsheet.plans.skew import salted_join
-from broadsheet.plans.storage import checkpointed
+from broadsheet.plans.storage import stored
 from broadsheet.settings import CLUSTER_DELTA, CLUSTER_STEPS, CLUSTERS
 
 # --- dense vectors --------------------------------------------------------------
@@ -184,13 +184,13 @@ def cluster_articles(
 ) -> DataFrame:
     """Categories of articles from their (article, term, count) cells.
 
-    Each step is two jobs over the cells; its centres are checkpointed, so
+    Each step is two jobs over the cells; its centres are stored, so
     that the plan does not grow with the steps. Steps end early when no centre
     moves further than ``delta``.
     """
-    centre = checkpointed(seed_centres(matrix, k))
+    centre = stored(seed_centres(matrix, k))
     for _ in range(steps):
-        moved = checkpointed(mean_centres(matrix, nearest_centres(matrix, centre, k), k))
+        moved = stored(mean_centres(matrix, nearest_centres(matrix, centre, k), k))
         distance = _largest_move(centre, moved, k)
         centre = moved
         if distance <= delta:

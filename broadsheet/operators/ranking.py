@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from broadsheet.functions.scores import gravity, rank_key
 from broadsheet.functions.times import age_hours
 from broadsheet.plans.skew import first_per_group, ranked, salted_join
+from broadsheet.plans.storage import stored
 from broadsheet.settings import LIST_LENGTH, OVERLAP_EPSILON
 
 # --- gravity ------------------------------------------------------------------
@@ -187,6 +188,7 @@ def recommend_by_overlap(
     )
     if read is not None or not pad:
         return best
+    best = stored(best, "lists")
     return best.unionByName(_padding(best, profile, keywords, n))
 
 

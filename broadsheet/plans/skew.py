@@ -4,19 +4,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from broadsheet.plans.storage import checkpointed
-from broadsheet.settings import HOT_SHARE
+from broadsheet.plans.storage import stored
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in these bits
 
 
-def hot_keys(weights: DataFrame, on: Sequence[str], weight: str) -> DataFrame:
-    """Keys that hold at least 1/HOT_SHARE of the total weight.
+def hot_keys(weights: DataFrame, on: Sequence[str], weight: str, parts: int) -> DataFrame:
+    """Keys that hold more than one of ``parts`` equal parts of the total weight.
 
-    There can be no more than HOT_SHARE of them, so they may be broadcast.
+    ``_salts`` says how many parts' worth of rows a key has. There are fewer
+    than ``parts`` such keys, so they may be broadcast.
     """
-    floor = weights.agg((F.sum(weight) / HOT_SHARE).alias("floor")).scalar()
-    return weights.where(F.col(weight) >= floor).select(*on)
+    part = weights.agg((F.sum(weight) / parts).alias("part")).scalar()
+    sized = weights.select(*on, F.ceil(F.col(weight) / part).cast("int").alias("_salts"))
+    return sized.where("_salts > 1")
 
 
 def salted_join(
@@ -30,28 +31,24 @@ def salted_join(
 ) -> DataFrame:
     """``facts`` ⋈ ``dim`` with the facts of hot keys spread over many tasks.
 
-    ``weights`` says how many fact rows each key has. The facts of a hot key
-    are dealt over as many salts as there are shuffle partitions, by a hash of
-    ``spread_by`` (not at random, so a lost task recomputes the same rows), and
-    the matching ``dim`` rows are repeated once per salt. All other keys keep
-    a single salt. ``how`` may be inner or left.
+    ``weights`` says how many fact rows each key has. A key with more rows than
+    an even share of one shuffle partition is dealt over as many salts as it
+    fills partitions, by a hash of ``spread_by`` (not at random, so a lost task
+    recomputes the same rows); its ``dim`` rows are repeated once per salt. All
+    salts together are at most twice the partitions. ``how`` may be inner or
+    left.
     """
     on = [on] if isinstance(on, str) else list(on)
-    salts = max(1, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hot = F.broadcast(hot_keys(weights, on, weight).withColumn("_hot", F.lit(True)))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    parts = max(1, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = F.broadcast(hot_keys(weights, on, weight, parts))
+    salts = F.coalesce("_salts", F.lit(1))
     dealt = facts.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
+        "_salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")
     )
     repeated = dim.join(hot, on, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    return dealt.drop("_hot").join(repeated.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+    return dealt.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
 def ranked(
@@ -65,8 +62,8 @@ def ranked(
     ``order_by`` must order the rows of a group totally. Rows are range
     partitioned and sorted, so a group larger than a task spreads over several;
     it is numbered in each and shifted by the rows before. The sorted rows are
-    checkpointed first, since range bounds come from a sample and the parts
-    must not differ between the two passes.
+    stored first, since range bounds come from a sample and the parts must not
+    differ between the two passes.
     """
     keys = [F.col(c) for c in within]
     placed = (
@@ -74,7 +71,7 @@ def ranked(
         .sortWithinPartitions(*keys, *order_by)
         .withColumn("_at", F.monotonically_increasing_id())
     )
-    placed = checkpointed(placed).withColumn("_part", F.shiftright("_at", _LOCAL_BITS))
+    placed = stored(placed).withColumn("_part", F.shiftright("_at", _LOCAL_BITS))
     group = ["_part", *within]
     before = Window.partitionBy(*within).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1

@@ -13,23 +13,26 @@ def shared_folder(spark: SparkSession) -> str:
     without the setting; it then gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
     if not folder:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="broadsheet-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """The frame, computed once and read back from the shared folder."""
-    shared_folder(frame.sparkSession)
-    return frame.checkpoint()
-
-
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path of the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame, name: str = "table") -> DataFrame:
+    """The frame, computed once and read back as a table of the shared folder.
+
+    Cuts the lineage: what follows is planned on a table of known size, and a
+    lost executor does not bring back the work behind it.
+    """
+    spark = frame.sparkSession
+    path = fresh_path(spark, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

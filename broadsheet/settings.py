@@ -29,4 +29,3 @@ SLOT_HOURS = 4
 SMOOTHING = 1.0                # additive smoothing of Naive Bayes
 RANK_DIGITS = 9                # ranks compare rounded scores: float sums depend on order
 PROFILE_PART_TERMS = 4096      # keywords of one map row of a user profile
-HOT_SHARE = 1000               # a key is hot from 1/HOT_SHARE of all rows on

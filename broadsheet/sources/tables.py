@@ -100,23 +100,29 @@ def read_assignments(spark: SparkSession, path: str) -> DataFrame:
 # --- keyword maps -------------------------------------------------------------------
 
 
-def keyword_lines(keywords: DataFrame, key: str = "news_id", weight: Column | None = None) -> DataFrame:
-    """Keywords of each article as ``word:weight|word:weight|``, in word order."""
-    weight = F.format_number(F.col("weight"), "0.000000") if weight is None else weight
+def _entries(digits: int | None) -> Column:
+    """The keywords of a group as ``word:weight|word:weight|``, in word order."""
+    weight = F.col("weight").cast("string")
+    if digits is not None:
+        weight = F.expr(f"format_number(weight, '0.{'0' * digits}')")
     entry = F.concat(F.col("term"), F.lit(":"), weight, F.lit("|"))
-    return keywords.groupBy(key).agg(
-        F.array_join(F.array_sort(F.collect_list(entry)), "").alias("keywords")
-    )
+    return F.array_join(F.array_sort(F.collect_list(entry)), "").alias("keywords")
+
+
+def keyword_lines(keywords: DataFrame, digits: int | None = None) -> DataFrame:
+    """The keywords of each article as text; an article has few of them.
 
+    Weights keep their full precision unless ``digits`` are given.
+    """
+    return keywords.groupBy("news_id").agg(_entries(digits))
 
-def profile_lines(profile: DataFrame, part_terms: int = PROFILE_PART_TERMS) -> DataFrame:
+
+def profile_lines(
+    profile: DataFrame, digits: int | None = None, part_terms: int = PROFILE_PART_TERMS
+) -> DataFrame:
     """User profiles as text; long ones over several lines, told apart by ``part``."""
-    dealt = profile_parts(profile, part_terms)
-    entry = F.concat(
-        F.col("term"), F.lit(":"), F.format_number(F.col("weight"), "0.000000"), F.lit("|")
-    )
-    return dealt.groupBy("user_id", "part").agg(
-        F.array_join(F.array_sort(F.collect_list(entry)), "").alias("keywords")
+    return profile_parts(profile, part_terms).groupBy("user_id", "part").agg(
+        _entries(digits)
     )
 
 

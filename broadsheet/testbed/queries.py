@@ -8,7 +8,7 @@ from broadsheet.functions import text as text_functions
 from broadsheet.functions.scores import share_text
 from broadsheet.functions.times import epoch_millis
 from broadsheet.operators import articles, bayes, clusters, keywords, matrix, profiles, ranking
-from broadsheet.plans.storage import fresh_path
+from broadsheet.plans.storage import fresh_path, stored
 from broadsheet.sources import tables
 from broadsheet.streaming import clicks as streams
 from broadsheet.testbed import views
@@ -42,12 +42,27 @@ def _top(spark, sf):
     return keywords.top_keywords(_scored(spark, sf))
 
 
-def _tags(spark, sf):
-    return keywords.title_body_keywords(views.news(spark, sf))
+def _stored_top(spark, sf):
+    top = _top(spark, sf).select("news_id", "term", "n")
+    return stored(top, "top-keywords")
 
 
-def _profile(spark, sf):
-    return profiles.keyword_profile(views.clicks(spark, sf), _tags(spark, sf))
+def _stored_tags(spark, sf):
+    return stored(keywords.title_body_keywords(views.news(spark, sf)), "tags")
+
+
+def _profile(spark, sf, tags=None):
+    tags = _stored_tags(spark, sf) if tags is None else tags
+    return profiles.keyword_profile(views.clicks(spark, sf), tags)
+
+
+def _stored_profile(spark, sf, tags=None):
+    return stored(_profile(spark, sf, tags), "profile")
+
+
+def _profile_and_tags(spark, sf):
+    tags = _stored_tags(spark, sf)
+    return _stored_profile(spark, sf, tags), tags
 
 
 def _category_counts(spark, sf):
@@ -62,25 +77,40 @@ def _shares(spark, sf):
     )
 
 
+def _stored_shares(spark, sf):
+    return stored(_shares(spark, sf), "shares")
+
+
 def _gravity(spark, sf):
     return ranking.gravity_scores(views.assignment(spark, sf), views.as_of())
 
 
 def _train_cells(spark, sf):
     top = keywords.top_keywords(keywords.article_tfidf(views.train_news(spark, sf)))
-    return bayes.labelled_cells(
-        top.select("news_id", "term", "n"), views.labels(spark, sf)
-    )
+    cells = bayes.labelled_cells(top.select("news_id", "term", "n"), views.labels(spark, sf))
+    return stored(cells, "train-cells")
 
 
 def _new_cells(spark, sf):
     top = keywords.top_keywords(keywords.article_tfidf(views.new_news(spark, sf)))
-    return top.select("news_id", "term", "n")
+    return stored(top.select("news_id", "term", "n"), "new-cells")
 
 
-def _model(spark, sf):
-    cells, labels = _train_cells(spark, sf), views.labels(spark, sf)
-    return bayes.term_table(cells, labels), bayes.label_table(cells, labels)
+def _model(cells, labels):
+    return (
+        stored(bayes.term_table(cells, labels), "terms"),
+        stored(bayes.label_table(cells, labels), "classes"),
+    )
+
+
+def _classified(spark, sf):
+    """New articles with their class, by a model of the labelled ones."""
+    terms, classes = _model(_train_cells(spark, sf), views.labels(spark, sf))
+    return bayes.predict(views.new_news(spark, sf), _new_cells(spark, sf), terms, classes)
+
+
+def _stored_gravity(spark, sf):
+    return stored(_gravity(spark, sf), "gravity")
 
 
 # --- sources and sinks --------------------------------------------------------------
@@ -110,13 +140,13 @@ def read_assignments(spark, sf):
 @query
 def read_keyword_map(spark, sf):
     path = fresh_path(spark, "keyword-map")
-    tables.write_keyword_map(_tags(spark, sf), views.news(spark, sf), path)
+    tables.write_keyword_map(_stored_tags(spark, sf), views.news(spark, sf), path)
     return tables.read_keyword_map(spark, path).select("news_id", "term", r6("weight"))
 
 
 @query
 def write_keyword_map(spark, sf):
-    return tables.keyword_lines(_tags(spark, sf))
+    return tables.keyword_lines(_stored_tags(spark, sf), digits=6)
 
 
 def _labelled_table(spark, sf):
@@ -280,7 +310,7 @@ def dedup_latest(spark, sf):
 
 @query
 def vocabulary(spark, sf):
-    return matrix.vocabulary(_top(spark, sf))
+    return matrix.vocabulary(_stored_top(spark, sf))
 
 
 @query
@@ -290,7 +320,7 @@ def category_list(spark, sf):
 
 @query
 def keyword_dictionary(spark, sf):
-    return keywords.keyword_dictionary(_tags(spark, sf))
+    return keywords.keyword_dictionary(_stored_tags(spark, sf))
 
 
 # --- joins --------------------------------------------------------------------------------------
@@ -313,18 +343,18 @@ def clicks_without_category(spark, sf):
 @query
 def label_join_matrix(spark, sf):
     labels = views.assignment(spark, sf).withColumnRenamed("category", "label")
-    return matrix.label_rows(labels.select("news_id", "label"), _top(spark, sf))
+    return matrix.label_rows(labels.select("news_id", "label"), _stored_top(spark, sf))
 
 
 @query
 def clicks_join_keywords(spark, sf):
-    return profiles.clicks_with_keywords(views.clicks(spark, sf), _tags(spark, sf)).select(
+    return profiles.clicks_with_keywords(views.clicks(spark, sf), _stored_tags(spark, sf)).select(
         "user_id", "news_id", "click_ts", "term", r6("weight")
     )
 
 
 def _frequent_cells(spark, sf):
-    top = _top(spark, sf)
+    top = _stored_top(spark, sf)
     return matrix.doc_term_matrix(top, matrix.frequent_vocabulary(top))
 
 
@@ -343,7 +373,7 @@ def doc_vocab_zero_fill(spark, sf):
 
 @query
 def hash_to_keyword(spark, sf):
-    tags = _tags(spark, sf)
+    tags = _stored_tags(spark, sf)
     hashed = keywords.hash_keywords(tags)
     return keywords.unhash_keywords(hashed, keywords.keyword_dictionary(tags)).select(
         "news_id", "term_hash", "term", r6("weight")
@@ -352,7 +382,7 @@ def hash_to_keyword(spark, sf):
 
 @query
 def attach_titles(spark, sf):
-    lists = ranking.recommend_by_overlap(_profile(spark, sf), _tags(spark, sf))
+    lists = ranking.recommend_by_overlap(*_profile_and_tags(spark, sf))
     return ranking.attach_titles(lists, views.news(spark, sf)).select(
         "user_id", "rank", "news_id", "title"
     )
@@ -360,7 +390,7 @@ def attach_titles(spark, sf):
 
 @query
 def pref_join_scores(spark, sf):
-    return ranking.preference_scores(_shares(spark, sf), _gravity(spark, sf)).select(
+    return ranking.preference_scores(_stored_shares(spark, sf), _stored_gravity(spark, sf)).select(
         "user_id", "category", "news_id", r6("score")
     )
 
@@ -422,7 +452,7 @@ def user_keyword_profile(spark, sf):
 
 @query
 def user_profile_map(spark, sf):
-    maps = profiles.profile_maps(_profile(spark, sf), views.clicks(spark, sf))
+    maps = profiles.profile_maps(_stored_profile(spark, sf), views.clicks(spark, sf))
     weights = F.map_values("profile")
     total = F.aggregate(weights, F.lit(0.0), lambda total, w: total + w)
     return maps.select(
@@ -435,22 +465,22 @@ def user_profile_map(spark, sf):
 
 @query
 def user_profile_lines(spark, sf):
-    return tables.profile_lines(_profile(spark, sf)).select(
+    return tables.profile_lines(_stored_profile(spark, sf), digits=6).select(
         "user_id", F.col("part").cast("bigint").alias("part"), "keywords"
     )
 
 
 @query
 def news_keyword_hashed(spark, sf):
-    hashed = keywords.hash_keywords(_tags(spark, sf)).withColumnRenamed("term_hash", "term")
-    return tables.keyword_lines(hashed)
+    hashed = keywords.hash_keywords(_stored_tags(spark, sf)).withColumnRenamed("term_hash", "term")
+    return tables.keyword_lines(hashed, digits=6)
 
 
 @query
 def classification_accuracy(spark, sf):
     cells, labels = _train_cells(spark, sf), views.labels(spark, sf)
-    terms, table = _model(spark, sf)
-    predicted = bayes.predict(labels, cells.select("news_id", "term", "n"), terms, table)
+    terms, classes = _model(cells, labels)
+    predicted = bayes.predict(labels, cells.select("news_id", "term", "n"), terms, classes)
     return bayes.accuracy(predicted, labels).select("n_docs", "n_correct", r6("accuracy"))
 
 
@@ -471,13 +501,13 @@ def gravity_rank_in_category(spark, sf):
 
 @query
 def top10_per_user(spark, sf):
-    lists = ranking.recommend_by_overlap(_profile(spark, sf), _tags(spark, sf), pad=False)
+    lists = ranking.recommend_by_overlap(*_profile_and_tags(spark, sf), pad=False)
     return lists.select("user_id", "news_id", "rank")
 
 
 @query
 def user_score_order(spark, sf):
-    return ranking.user_score_order(_shares(spark, sf), _gravity(spark, sf)).select(
+    return ranking.user_score_order(_stored_shares(spark, sf), _stored_gravity(spark, sf)).select(
         "user_id", "news_id", "category", "rank", r6("score")
     )
 
@@ -509,12 +539,13 @@ def tfidf(spark, sf):
 
 @query
 def title_body_keywords(spark, sf):
-    return _tags(spark, sf).select("news_id", "term", r6("weight"))
+    tags = keywords.title_body_keywords(views.news(spark, sf))
+    return tags.select("news_id", "term", r6("weight"))
 
 
 @query
 def doc_term_matrix(spark, sf):
-    top = _top(spark, sf)
+    top = _stored_top(spark, sf)
     return matrix.doc_term_matrix(top, matrix.vocabulary(top))
 
 
@@ -525,7 +556,7 @@ def doc_term_dense(spark, sf):
 
 @query
 def doc_term_binary(spark, sf):
-    top = _top(spark, sf)
+    top = _stored_top(spark, sf)
     return matrix.binary_matrix(matrix.doc_term_matrix(top, matrix.vocabulary(top)))
 
 
@@ -550,23 +581,20 @@ def gravity_by_clicks(spark, sf):
 
 @query
 def recommend_by_preference(spark, sf):
-    return ranking.recommend_by_preference(_shares(spark, sf), _gravity(spark, sf)).select(
+    return ranking.recommend_by_preference(_stored_shares(spark, sf), _stored_gravity(spark, sf)).select(
         "user_id", "news_id", "category", "rank", r6("score")
     )
 
 
 @query
 def recommend_new_articles(spark, sf):
-    terms, table = _model(spark, sf)
-    predicted = bayes.predict(
-        views.new_news(spark, sf), _new_cells(spark, sf), terms, table
-    ).withColumnRenamed("label", "category")
-    return ranking.recommend_new(predicted, _shares(spark, sf))
+    predicted = _classified(spark, sf).withColumnRenamed("label", "category")
+    return ranking.recommend_new(stored(predicted, "classified"), _stored_shares(spark, sf))
 
 
 @query
 def recommend_by_overlap(spark, sf):
-    return ranking.recommend_by_overlap(_profile(spark, sf), _tags(spark, sf)).select(
+    return ranking.recommend_by_overlap(*_profile_and_tags(spark, sf)).select(
         "user_id", "news_id", "rank", r6("score")
     )
 
@@ -575,13 +603,13 @@ def recommend_by_overlap(spark, sf):
 def recommend_unread_by_overlap(spark, sf):
     read = views.clicks(spark, sf).select("user_id", "news_id").distinct()
     return ranking.recommend_by_overlap(
-        _profile(spark, sf), _tags(spark, sf), read=read
+        *_profile_and_tags(spark, sf), read=read
     ).select("user_id", "news_id", "rank", r6("score"))
 
 
 @query
 def overlap_counts(spark, sf):
-    return ranking.overlap_counts(_profile(spark, sf), _tags(spark, sf)).select(
+    return ranking.overlap_counts(*_profile_and_tags(spark, sf)).select(
         "user_id", "news_id", "n_shared", "n_differing", r6("s1"), r6("s2")
     )
 
@@ -622,19 +650,19 @@ def kmeans_centres(spark, sf):
 
 @query
 def kmeans_articles(spark, sf):
-    return clusters.cluster_articles(_top(spark, sf).select("news_id", "term", "n"))
+    return clusters.cluster_articles(_stored_top(spark, sf))
 
 
 @query
 def naive_bayes_fit(spark, sf):
-    terms, _ = _model(spark, sf)
+    terms = bayes.term_table(_train_cells(spark, sf), views.labels(spark, sf))
     return terms.select("label", "term", "weight", r6("logp"))
 
 
 @query
 def naive_bayes_labels(spark, sf):
-    _, table = _model(spark, sf)
-    return table.select("label", "n_docs", "total", r6("prior"), r6("unseen"))
+    classes = bayes.label_table(_train_cells(spark, sf), views.labels(spark, sf))
+    return classes.select("label", "n_docs", "total", r6("prior"), r6("unseen"))
 
 
 @query
@@ -644,10 +672,7 @@ def naive_bayes_info(spark, sf):
 
 @query
 def naive_bayes_predict(spark, sf):
-    terms, table = _model(spark, sf)
-    return bayes.predict(
-        views.new_news(spark, sf), _new_cells(spark, sf), terms, table
-    ).select("news_id", "label", r6("score"))
+    return _classified(spark, sf).select("news_id", "label", r6("score"))
 
 
 @query
@@ -661,7 +686,7 @@ def label_index(spark, sf):
 @query
 def decayed_profile(spark, sf):
     return profiles.decayed_profile(
-        views.clicks(spark, sf), _tags(spark, sf), views.as_of()
+        views.clicks(spark, sf), _stored_tags(spark, sf), views.as_of()
     ).select("user_id", "term", r6("weight"))
 
 
@@ -675,7 +700,7 @@ def user_hour_distribution(spark, sf):
 @query
 def slot_boosted_profile(spark, sf):
     return profiles.slot_boosted_profile(
-        views.clicks(spark, sf), _tags(spark, sf), views.as_of()
+        views.clicks(spark, sf), _stored_tags(spark, sf), views.as_of()
     ).select("user_id", "term", r6("weight"))
 
 
@@ -684,7 +709,7 @@ def slot_boosted_profile(spark, sf):
 
 @query
 def stream_user_profile(spark, sf):
-    running = streams.profile_stream(views.click_stream(spark, sf), _tags(spark, sf))
+    running = streams.profile_stream(views.click_stream(spark, sf), _stored_tags(spark, sf))
     return streams.run_updates(running, ["user_id", "term"]).select(
         "user_id", "term", r6("weight")
     )
@@ -694,7 +719,7 @@ def stream_user_profile(spark, sf):
 def stream_decayed_profile(spark, sf):
     start = views.stream_start()
     running = streams.decayed_profile_stream(
-        views.click_stream(spark, sf), _tags(spark, sf), start
+        views.click_stream(spark, sf), _stored_tags(spark, sf), start
     )
     stored = streams.run_updates(running, ["user_id", "term"])
     return streams.decay_to(stored, start, views.as_of()).select(
