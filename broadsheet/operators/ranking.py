@@ -59,7 +59,13 @@ def preference_scores(preferences: DataFrame, scored: DataFrame) -> DataFrame:
     users = preferences.groupBy("category").agg(F.count(F.lit(1)).alias("users"))
     articles = scored.select("category", "news_id", "gravity")
     joined = salted_join(
-        preferences.where("share <> 0"), articles, "category", users, "users", ["user_id"]
+        preferences.where("share <> 0"),
+        articles,
+        "category",
+        users,
+        "users",
+        ["user_id"],
+        widens=True,
     )
     return joined.withColumn("score", F.col("share") * F.col("gravity"))
 
@@ -101,7 +107,13 @@ def recommend_new(classified: DataFrame, preferences: DataFrame) -> DataFrame:
     liked = preferences.where("share <> 0").select("user_id", "category")
     users = liked.groupBy("category").agg(F.count(F.lit(1)).alias("users"))
     return salted_join(
-        liked, classified.select("news_id", "category"), "category", users, "users", ["user_id"]
+        liked,
+        classified.select("news_id", "category"),
+        "category",
+        users,
+        "users",
+        ["user_id"],
+        widens=True,
     ).select("user_id", "news_id", "category")
 
 
@@ -120,7 +132,7 @@ def _shared(profile: DataFrame, keywords: DataFrame) -> DataFrame:
     users = salted_join(profile, sizes, "user_id", sizes, "user_tags", ["term"])
     readers = profile.groupBy("term").agg(F.count(F.lit(1)).alias("readers"))
     tags = _with_news_totals(keywords).withColumnRenamed("weight", "tag_weight")
-    joined = salted_join(users, tags, "term", readers, "readers", ["user_id"])
+    joined = salted_join(users, tags, "term", readers, "readers", ["user_id"], widens=True)
     return joined.groupBy("user_id", "news_id").agg(
         F.sum(F.col("weight") + F.col("tag_weight")).alias("shared"),
         F.count(F.lit(1)).alias("n_shared"),

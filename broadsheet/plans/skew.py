@@ -28,6 +28,7 @@ def salted_join(
     weight: str,
     spread_by: Sequence[str],
     how: str = "inner",
+    widens: bool = False,
 ) -> DataFrame:
     """``facts`` ⋈ ``dim`` with the facts of hot keys spread over many tasks.
 
@@ -36,7 +37,9 @@ def salted_join(
     fills partitions, by a hash of ``spread_by`` (not at random, so a lost task
     recomputes the same rows); its ``dim`` rows are repeated once per salt. All
     salts together are at most twice the partitions. ``how`` may be inner or
-    left.
+    left. ``widens`` says that a fact row meets many ``dim`` rows: all shuffle
+    partitions are then kept, where Spark would merge them by the size of what
+    goes in, small against what comes out.
     """
     on = [on] if isinstance(on, str) else list(on)
     parts = max(1, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -45,6 +48,8 @@ def salted_join(
     dealt = facts.join(hot, on, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")
     )
+    if widens:
+        dealt = dealt.repartition(parts, *on, "_salt")
     repeated = dim.join(hot, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
