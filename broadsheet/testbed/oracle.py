@@ -265,6 +265,14 @@ BODIES = {
     "vocab_unknown": "SELECT news_id, term, n FROM new_top WHERE term NOT IN (SELECT term FROM train_words)",
     # scalar functions
     "tokenize_terms": "SELECT news_id, term, n FROM counts",
+    "tokenize_bigrams": r"""
+        SELECT news_id, term, count(*) AS n FROM (
+            SELECT news_id, unnest(CASE WHEN regexp_full_match(run, '\p{Han}{2,}')
+                THEN list_transform(range(1, length(run)), lambda i: substr(run, i, 2))
+                ELSE [run] END) AS term
+            FROM (SELECT news_id, unnest(regexp_extract_all(term, '\p{Han}+|[^\p{Han}]+')) AS run
+                  FROM tokens))
+        GROUP BY news_id, term""",
     "parse_publish_time": """
         SELECT news_id, CASE WHEN publish_text = 'NULL' THEN 0
                ELSE epoch_ms(strptime(publish_text, '%Y年%m月%d日%H:%M')) END AS publish_ms FROM news""",
