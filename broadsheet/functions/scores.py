@@ -28,5 +28,8 @@ def decay(hours: Column, half_life_hours: float) -> Column:
 
 
 def rank_key(score: Column) -> Column:
-    """The value scores are compared on."""
-    return F.round(score, RANK_DIGITS)
+    """The value scores are compared on: the score in units of the last digit.
+
+    Float sums depend on their order, so scores that differ by less are equal.
+    """
+    return F.rint(score * F.lit(10.0**RANK_DIGITS))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from broadsheet.functions.scores import rank_key
 from broadsheet.plans.skew import salted_join
 from broadsheet.plans.storage import stored
-from broadsheet.settings import CLUSTER_DELTA, CLUSTER_STEPS, CLUSTERS
+from broadsheet.settings import CLUSTER_DELTA, CLUSTER_STEPS, CLUSTERS, RANK_DIGITS
 
 # --- dense vectors --------------------------------------------------------------
 
@@ -74,7 +74,12 @@ def assign(vectors: DataFrame, centres: DataFrame) -> DataFrame:
     return (
         vectors.withColumn("centres", packed)
         .withColumn("nearest", nearest)
-        .select("vec_id", "embedding", "nearest.cluster", "nearest.distance")
+        .select(
+            "vec_id",
+            "embedding",
+            "nearest.cluster",
+            (F.col("nearest.distance") / 10.0**RANK_DIGITS).alias("distance"),
+        )
     )
 
 

@@ -13,20 +13,25 @@ from broadsheet.plans.skew import first_per_group, salted_join
 from broadsheet.settings import BODY_TERMS, FIRST_TERMS, TITLE_TERMS, TOP_TERMS
 
 
+def _token_lists(articles: DataFrame, text: str, split) -> DataFrame:
+    """The terms of each article, partitioned by article while still text."""
+    texts = articles.select("news_id", text).repartition("news_id")
+    return texts.select("news_id", split(F.col(text)).alias("tokens"))
+
+
 def tokenize(articles: DataFrame, text: str = "content", split=terms) -> DataFrame:
     """One row per term occurrence, with the number of terms of the article."""
-    tokens = (
-        articles.select("news_id", text)
-        .repartition("news_id")
-        .select("news_id", split(F.col(text)).alias("tokens"))
-    )
     # explode_outer: for explode, Spark would add a filter that evaluates the
     # pattern a second time, below the shuffle
-    return tokens.select(
-        "news_id",
-        F.size("tokens").cast("bigint").alias("n_terms"),
-        F.explode_outer("tokens").alias("term"),
-    ).where("term IS NOT NULL")
+    return (
+        _token_lists(articles, text, split)
+        .select(
+            "news_id",
+            F.size("tokens").cast("bigint").alias("n_terms"),
+            F.explode_outer("tokens").alias("term"),
+        )
+        .where("term IS NOT NULL")
+    )
 
 
 def term_counts(articles: DataFrame, text: str = "content", split=terms) -> DataFrame:
@@ -47,6 +52,17 @@ def doc_frequency(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
+def text_frequency(articles: DataFrame, text: str = "content", split=terms) -> DataFrame:
+    """:func:`doc_frequency` straight from texts with one row per article.
+
+    Repeated terms are dropped inside the row, so no (article, term) table is
+    built just to be counted.
+    """
+    once = F.array_distinct("tokens")
+    seen = _token_lists(articles, text, split).select(F.explode_outer(once).alias("term"))
+    return doc_frequency(seen.where("term IS NOT NULL"))
+
+
 def corpus_size(articles: DataFrame) -> Column:
     """Number of distinct articles, as a scalar subquery."""
     return articles.agg(F.count_distinct("news_id").alias("n_docs")).scalar()
@@ -61,33 +77,38 @@ def inverse_doc_frequency(df: DataFrame, n_docs: Column) -> DataFrame:
 
 
 def tfidf(
-    counts: DataFrame, n_docs: Column, df: DataFrame | None = None
+    counts: DataFrame,
+    n_docs: Column,
+    df: DataFrame | None = None,
+    other_corpus: bool = False,
 ) -> DataFrame:
     """Weight of every (article, term).
 
     A frequent term is in a large part of all articles, so its rows are salted;
     the document frequencies themselves tell which terms these are. With the
-    ``df`` of another corpus, a term missing there counts as seen once.
+    ``df`` of an ``other_corpus``, a term missing there counts as seen once.
     """
-    own = df is None
-    df = doc_frequency(counts) if own else df
-    weights = df if own else doc_frequency(counts)
+    df = doc_frequency(counts) if df is None else df
+    weights = doc_frequency(counts) if other_corpus else df
+    how = "left" if other_corpus else "inner"
     joined = salted_join(
-        term_frequency(counts), df, "term", weights, "df", ["news_id"], "inner" if own else "left"
+        term_frequency(counts), df, "term", weights, "df", ["news_id"], how
     ).withColumn("df", F.coalesce("df", F.lit(1)))
     scored = inverse_doc_frequency(joined, n_docs)
     return scored.withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
 def article_tfidf(articles: DataFrame, text: str = "content") -> DataFrame:
-    """TF-IDF of all articles against their own corpus."""
-    return tfidf(term_counts(articles, text), corpus_size(articles))
+    """TF-IDF of articles, one row each, against their own corpus."""
+    return tfidf(
+        term_counts(articles, text), corpus_size(articles), text_frequency(articles, text)
+    )
 
 
 def top_keywords(scored: DataFrame, n: int = TOP_TERMS) -> DataFrame:
     """The ``n`` heaviest terms of every article, ties in term order."""
     return first_per_group(
-        scored, ["news_id"], [rank_key(F.col("tfidf")).desc(), F.col("term")], n
+        scored, ["news_id"], [(rank_key(F.col("tfidf")), "desc"), (F.col("term"), "asc")], n
     )
 
 
@@ -107,10 +128,9 @@ def title_body_keywords(articles: DataFrame) -> DataFrame:
     Both use the frequencies of the bodies. Only positive weights make a
     keyword: a term in every article says nothing about any of them.
     """
-    counts = term_counts(articles)
-    n_docs = corpus_size(articles)
-    body = top_keywords(tfidf(counts, n_docs), BODY_TERMS)
-    title_scores = tfidf(term_counts(articles, "title"), n_docs, doc_frequency(counts))
+    n_docs, df = corpus_size(articles), text_frequency(articles)
+    body = top_keywords(tfidf(term_counts(articles), n_docs, df), BODY_TERMS)
+    title_scores = tfidf(term_counts(articles, "title"), n_docs, df, other_corpus=True)
     title = top_keywords(title_scores, TITLE_TERMS)
     both = body.select("news_id", "term", "tfidf").unionByName(
         title.select("news_id", "term", "tfidf")

@@ -12,7 +12,7 @@ from broadsheet.settings import MATRIX_WIDTH
 def vocabulary(keywords: DataFrame) -> DataFrame:
     """All keywords, numbered from 0 in term order."""
     words = keywords.select("term").distinct()
-    numbered = ranked(words, [F.col("term").asc()], "position")
+    numbered = ranked(words, [(F.col("term"), "asc")], "position")
     return numbered.select("term", (F.col("position") - 1).alias("term_id"))
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from broadsheet.functions.scores import gravity, rank_key
 from broadsheet.functions.times import age_hours
-from broadsheet.plans.skew import first_per_group, ranked, salted_join
+from broadsheet.plans.skew import first_per_group, fits_broadcast, ranked, salted_join
 from broadsheet.plans.storage import stored
 from broadsheet.settings import LIST_LENGTH, OVERLAP_EPSILON
 
@@ -38,8 +38,8 @@ def gravity_scores(
     return aged.withColumn("gravity", gravity(F.col("votes"), F.col("age_h")))
 
 
-def _heavier_first() -> list[Column]:
-    return [rank_key(F.col("gravity")).desc(), F.col("news_id").asc()]
+def _heavier_first() -> list[tuple[Column, str]]:
+    return [(rank_key(F.col("gravity")), "desc"), (F.col("news_id"), "asc")]
 
 
 def rank_in_category(scored: DataFrame) -> DataFrame:
@@ -70,10 +70,10 @@ def preference_scores(preferences: DataFrame, scored: DataFrame) -> DataFrame:
     return joined.withColumn("score", F.col("share") * F.col("gravity"))
 
 
-def _best_score_first() -> list[Column]:
+def _best_score_first() -> list[tuple[Column, str]]:
     # gravity decides between equal scores, so that within a category a user's
     # order is always the category's own
-    return [rank_key(F.col("score")).desc(), *_heavier_first()]
+    return [(rank_key(F.col("score")), "desc"), *_heavier_first()]
 
 
 def user_score_order(preferences: DataFrame, scored: DataFrame) -> DataFrame:
@@ -124,15 +124,24 @@ def _shared(profile: DataFrame, keywords: DataFrame) -> DataFrame:
     """Every (user, article) that share a keyword, with both sides' totals.
 
     Totals are attached before the join on the keyword: the pairs, which are by
-    far the largest set here, are then shuffled once and never joined again.
+    far the largest set here, are never joined again. When the candidate
+    articles are few enough to send to every executor, profiles are partitioned
+    by user and the pairs are not even shuffled; a user then meets each of
+    those keywords once at most. Otherwise profiles are spread by keyword.
     """
-    sizes = profile.groupBy("user_id").agg(
+    tags = _with_news_totals(keywords).withColumnRenamed("weight", "tag_weight")
+    totals = profile.groupBy("user_id").agg(
         F.sum("weight").alias("user_weight"), F.count(F.lit(1)).alias("user_tags")
     )
-    users = salted_join(profile, sizes, "user_id", sizes, "user_tags", ["term"])
-    readers = profile.groupBy("term").agg(F.count(F.lit(1)).alias("readers"))
-    tags = _with_news_totals(keywords).withColumnRenamed("weight", "tag_weight")
-    joined = salted_join(users, tags, "term", readers, "readers", ["user_id"], widens=True)
+    if fits_broadcast(keywords):
+        parts = int(profile.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        words = F.broadcast(keywords.select("term").distinct())
+        users = profile.join(words, "term", "left_semi").repartition(parts, "user_id")
+        joined = users.join(totals, "user_id").join(F.broadcast(tags), "term")
+    else:
+        users = salted_join(profile, totals, "user_id", totals, "user_tags", ["term"])
+        readers = profile.groupBy("term").agg(F.count(F.lit(1)).alias("readers"))
+        joined = salted_join(users, tags, "term", readers, "readers", ["user_id"], widens=True)
     return joined.groupBy("user_id", "news_id").agg(
         F.sum(F.col("weight") + F.col("tag_weight")).alias("shared"),
         F.count(F.lit(1)).alias("n_shared"),
@@ -194,7 +203,7 @@ def recommend_by_overlap(
     pairs = pairs.withColumn(
         "score", overlap_score(F.col("shared"), F.col("user_weight"), F.col("news_weight"))
     )
-    order = [rank_key(F.col("score")).desc(), F.col("news_id").desc()]
+    order = [(rank_key(F.col("score")), "desc"), (F.col("news_id"), "desc")]
     best = first_per_group(pairs, ["user_id"], order, n).select(
         "user_id", "news_id", "score", "rank"
     )
@@ -219,8 +228,9 @@ def _padding(best: DataFrame, profile: DataFrame, keywords: DataFrame, n: int) -
         .withColumn("filled", F.coalesce("filled", F.lit(0)))
         .where(F.col("filled") < n)
     )
-    lightest_first = [rank_key(F.col("news_weight")).asc(), F.col("news_id").desc()]
-    lightest = totals.orderBy(*lightest_first).limit(2 * n)
+    weight_key = rank_key(F.col("news_weight"))
+    lightest_first = [(weight_key, "asc"), (F.col("news_id"), "desc")]
+    lightest = totals.orderBy(weight_key.asc(), F.desc("news_id")).limit(2 * n)
     candidates = short.withColumn(
         "a", F.explode(lightest.agg(F.collect_list(F.struct("*"))).scalar())
     ).select("user_id", "user_weight", "filled", "a.*")

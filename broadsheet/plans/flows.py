@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from broadsheet.functions.times import parse_publish_time
 from broadsheet.operators import articles, bayes, clusters, keywords, profiles, ranking
+from broadsheet.plans.session import prepare
 from broadsheet.plans.storage import stored
 from broadsheet.settings import CLUSTERS, LIST_LENGTH
 from broadsheet.sources.tables import load_state, save_state
@@ -27,7 +28,7 @@ def article_list(log: DataFrame) -> DataFrame:
 
 def train_profiles(log: DataFrame, folder: str) -> dict[str, DataFrame]:
     """Article keywords, keyword dictionary and user profiles, kept in ``folder``."""
-    spark = log.sparkSession
+    spark = prepare(log.sparkSession)
     save_state({"articles": article_list(log)}, folder)
     news = load_state(spark, folder, ["articles"])["articles"]
     save_state({"tags": keywords.title_body_keywords(news)}, folder)
@@ -55,6 +56,7 @@ def recommend_from_profiles(
     Candidates are weighed on their own corpus. ``users`` (``user_id``) picks
     the readers; without it all that have a profile get a list.
     """
+    prepare(spark)
     profile = load_state(spark, folder, ["profiles"])["profiles"]
     if users is not None:
         profile = profile.join(users.select("user_id").distinct(), "user_id", "left_semi")
@@ -73,7 +75,7 @@ def _cells(news: DataFrame) -> DataFrame:
 
 def train_categories(log: DataFrame, folder: str, k: int = CLUSTERS) -> dict[str, DataFrame]:
     """Categories of the articles and a classifier for new ones, in ``folder``."""
-    spark = log.sparkSession
+    spark = prepare(log.sparkSession)
     news = stored(article_list(log), "articles")
     cells = _cells(news)
     grouped = clusters.cluster_articles(cells, k).withColumnRenamed("cluster", "category")
@@ -94,6 +96,7 @@ def train_categories(log: DataFrame, folder: str, k: int = CLUSTERS) -> dict[str
 
 def classify_new(spark: SparkSession, folder: str, candidates: DataFrame) -> DataFrame:
     """The category of each new article."""
+    prepare(spark)
     model = load_state(spark, folder, CATEGORY_TABLES)
     news = stored(article_list(candidates), "candidates")
     predicted = bayes.predict(news, _cells(news), model["terms"], model["classes"])
@@ -116,6 +119,7 @@ def recommend_from_categories(
     log: DataFrame, assignment: DataFrame, as_of: Column, n: int = LIST_LENGTH
 ) -> DataFrame:
     """The ``n`` best known articles of every user, by preference and gravity."""
+    prepare(log.sparkSession)
     shares = stored(preferences(log, assignment), "shares")
     scored = stored(ranking.gravity_scores(assignment, as_of), "gravity")
     return ranking.recommend_by_preference(shares, scored, n)

@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from broadsheet.plans.storage import stored
+from broadsheet.settings import BROADCAST_ROWS
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in these bits
 
@@ -56,25 +57,35 @@ def salted_join(
     return dealt.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
+def fits_broadcast(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table has no more than ``rows`` rows; reads at most one more."""
+    return frame.limit(rows + 1).count() <= rows
+
+
 def ranked(
     frame: DataFrame,
-    order_by: Sequence[Column],
+    order_by: Sequence[tuple[Column, str]],
     name: str,
     within: Sequence[str] = (),
 ) -> DataFrame:
     """Number all rows from 1 in the given order, within each ``within`` group.
 
-    ``order_by`` must order the rows of a group totally. Rows are range
-    partitioned and sorted, so a group larger than a task spreads over several;
-    it is numbered in each and shifted by the rows before. The sorted rows are
-    stored first, since range bounds come from a sample and the parts must not
-    differ between the two passes.
+    ``order_by`` pairs columns with "asc" or "desc" and must order the rows of
+    a group totally. Rows are range partitioned and sorted, so a group larger
+    than a task spreads over several; it is numbered in each and shifted by the
+    rows before. The sorted rows are stored first, since range bounds come from
+    a sample and the parts must not differ between the two passes.
     """
-    keys = [F.col(c) for c in within]
+    # keys as columns: a sort would work expressions out at every comparison
+    keyed = frame.select("*", *[c.alias(f"_key{i}") for i, (c, _) in enumerate(order_by)])
+    order = [F.col(c) for c in within] + [
+        F.desc(f"_key{i}") if way == "desc" else F.asc(f"_key{i}")
+        for i, (_, way) in enumerate(order_by)
+    ]
     placed = (
-        frame.repartitionByRange(*keys, *order_by)
-        .sortWithinPartitions(*keys, *order_by)
-        .withColumn("_at", F.monotonically_increasing_id())
+        keyed.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select(*frame.columns, F.monotonically_increasing_id().alias("_at"))
     )
     placed = stored(placed).withColumn("_part", F.shiftright("_at", _LOCAL_BITS))
     group = ["_part", *within]
@@ -100,12 +111,17 @@ def ranked(
 
 
 def first_per_group(
-    frame: DataFrame, by: Sequence[str], order_by: Sequence[Column], n: int, name: str = "rank"
+    frame: DataFrame,
+    by: Sequence[str],
+    order_by: Sequence[tuple[Column, str]],
+    n: int,
+    name: str = "rank",
 ) -> DataFrame:
     """The first ``n`` rows of each group.
 
     Spark cuts every group to ``n`` rows per task before it shuffles, so a
     large group never meets in one place.
     """
-    window = Window.partitionBy(*by).orderBy(*order_by)
+    order = [c.desc() if way == "desc" else c.asc() for c, way in order_by]
+    window = Window.partitionBy(*by).orderBy(*order)
     return frame.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)

@@ -27,5 +27,6 @@ NULL_TEXT = "NULL"
 HALF_LIFE_HOURS = 24.0
 SLOT_HOURS = 4
 SMOOTHING = 1.0                # additive smoothing of Naive Bayes
-RANK_DIGITS = 9                # ranks compare rounded scores: float sums depend on order
+RANK_DIGITS = 9                # digits on which scores are compared
 PROFILE_PART_TERMS = 4096      # keywords of one map row of a user profile
+BROADCAST_ROWS = 1_000_000     # narrow tables up to this size are sent to all executors

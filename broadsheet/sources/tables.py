@@ -184,7 +184,7 @@ def cell_dictionary(cells: DataFrame) -> DataFrame:
         .groupBy("cell")
         .agg(F.count(F.lit(1)).alias("uses"))
     )
-    return ranked(words, [F.col("uses").desc(), F.col("cell").asc()], "cell_id")
+    return ranked(words, [(F.col("uses"), "desc"), (F.col("cell"), "asc")], "cell_id")
 
 
 def index_cells(cells: DataFrame, dictionary: DataFrame, spread_by: list[str]) -> DataFrame:

@@ -9,14 +9,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from broadsheet.functions.times import hour_slot, hours_between
+from broadsheet.plans.skew import fits_broadcast
 from broadsheet.plans.storage import fresh_path
 from broadsheet.settings import HALF_LIFE_HOURS, SLOT_HOURS
 
 
+def _small_side(table: DataFrame) -> DataFrame:
+    """The table, sent to all executors when it is counted to be small.
+
+    Streams have no measured sizes to go by. A larger table is joined by
+    shuffle; what one key can bring is bounded by the size of a micro-batch.
+    """
+    return F.broadcast(table) if fits_broadcast(table) else table
+
+
 def profile_stream(clicks: DataFrame, keywords: DataFrame) -> DataFrame:
     """Running weight of each (user, keyword)."""
     return (
-        clicks.join(keywords, "news_id")
+        clicks.join(_small_side(keywords), "news_id")
         .groupBy("user_id", "term")
         .agg(F.sum("weight").alias("weight"))
     )
@@ -39,7 +49,7 @@ def decayed_profile_stream(
         F.lit(2.0), hours_between(start, F.col("click_ts")) / F.lit(float(half_life_hours))
     )
     return (
-        clicks.join(keywords, "news_id")
+        clicks.join(_small_side(keywords), "news_id")
         .groupBy("user_id", "term")
         .agg(F.sum(F.col("weight") * grown).alias("weight"))
     )
@@ -56,7 +66,7 @@ def decay_to(
 def category_count_stream(clicks: DataFrame, assignment: DataFrame) -> DataFrame:
     """Running clicks per (user, category)."""
     return (
-        clicks.join(assignment, ["news_id", "publish_ts"])
+        clicks.join(_small_side(assignment), ["news_id", "publish_ts"])
         .groupBy("user_id", "category")
         .agg(F.count(F.lit(1)).alias("clicks"))
     )

@@ -1,6 +1,7 @@
 """One query per operator, over the whole test tables."""
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -8,6 +9,7 @@ from broadsheet.functions import text as text_functions
 from broadsheet.functions.scores import share_text
 from broadsheet.functions.times import epoch_millis
 from broadsheet.operators import articles, bayes, clusters, keywords, matrix, profiles, ranking
+from broadsheet.plans.session import prepare
 from broadsheet.plans.storage import fresh_path, stored
 from broadsheet.sources import tables
 from broadsheet.streaming import clicks as streams
@@ -18,7 +20,11 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    @wraps(function)
+    def prepared(spark: SparkSession, sf: str) -> DataFrame:
+        return function(prepare(spark), sf)
+
+    QUERIES[function.__name__] = prepared
     return function
 
 

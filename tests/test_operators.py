@@ -231,8 +231,13 @@ def test_overlap_of_one_shared_tag(frame):
     assert math.isclose(counts["s2"], 5.0)
 
 
-def test_overlap_lists_equal_brute_force(frame):
-    """All articles are scored for all users; lists that run short are padded."""
+@pytest.mark.parametrize("small", [True, False])
+def test_overlap_lists_equal_brute_force(frame, monkeypatch, small):
+    """All articles are scored for all users; lists that run short are padded.
+
+    The same with candidates sent to all tasks and with a shuffle by keyword.
+    """
+    monkeypatch.setattr(ranking, "fits_broadcast", lambda frame: small)
     random.seed(3)
     tags = "abcdefghijklmnopqrstuvwxyz"
 

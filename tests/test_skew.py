@@ -56,14 +56,14 @@ def test_hot_rows_are_dealt_over_several_tasks(spark, skewed):
 
 
 def test_ranked_numbers_all_rows_in_order(skewed):
-    got = ranked(skewed.select("v"), [F.col("v").desc()], "rank").collect()
+    got = ranked(skewed.select("v"), [(F.col("v"), "desc")], "rank").collect()
     assert sorted((r["rank"], r["v"]) for r in got) == [(i + 1, 2999 - i) for i in range(3000)]
 
 
 def test_ranked_numbers_within_groups_larger_than_a_task(spark, skewed):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = ranked(skewed, [F.col("v").desc()], "rank", ["k"]).collect()
+        got = ranked(skewed, [(F.col("v"), "desc")], "rank", ["k"]).collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     by_key = {}
@@ -76,14 +76,14 @@ def test_ranked_numbers_within_groups_larger_than_a_task(spark, skewed):
 
 
 def test_first_per_group(skewed):
-    got = first_per_group(skewed, ["k"], [F.col("v").asc()], 3)
+    got = first_per_group(skewed, ["k"], [(F.col("v"), "asc")], 3)
     hot = sorted((r["rank"], r["v"]) for r in got.where("k = 'hot'").collect())
     assert hot == [(1, 0), (2, 1), (3, 2)]
     assert got.where("k = 'c0'").count() == 2
 
 
 def test_groups_are_cut_before_the_shuffle(spark, skewed):
-    plan = first_per_group(skewed, ["k"], [F.col("v").asc()], 3)._jdf.queryExecution().toString()
+    plan = first_per_group(skewed, ["k"], [(F.col("v"), "asc")], 3)._jdf.queryExecution().toString()
     physical = plan[plan.index("Physical Plan") :]
     assert physical.count("WindowGroupLimit") == 2
     assert physical.index("Final") < physical.index("Exchange hashpartitioning(k")
