@@ -30,14 +30,15 @@ def _rows_per(frame: DataFrame, keys: list[str]) -> DataFrame:
 
 def clicks_with_category(clicks: DataFrame, assignment: DataFrame) -> DataFrame:
     """Clicks of articles that have a category."""
-    return salted_join(clicks, assignment, ARTICLE, _rows_per(clicks, ARTICLE), "rows", ["user_id"])
+    rows = _rows_per(clicks, ARTICLE)
+    return salted_join(clicks, assignment, ARTICLE, rows, "rows", clicks.columns)
 
 
 def clicks_without_category(clicks: DataFrame, assignment: DataFrame) -> DataFrame:
     """Clicks of articles that have none."""
     marked = assignment.select(*ARTICLE, F.lit(True).alias("known"))
     joined = salted_join(
-        clicks, marked, ARTICLE, _rows_per(clicks, ARTICLE), "rows", ["user_id"], "left"
+        clicks, marked, ARTICLE, _rows_per(clicks, ARTICLE), "rows", clicks.columns, "left"
     )
     return joined.where("known IS NULL").drop("known")
 
@@ -107,10 +108,8 @@ def nonzero_preferences(matrix: DataFrame) -> DataFrame:
 
 def clicks_with_keywords(clicks: DataFrame, keywords: DataFrame) -> DataFrame:
     """The keywords behind every click; articles without any add nothing."""
-    key = ["news_id"]
-    return salted_join(
-        clicks, keywords, key, _rows_per(clicks, key), "rows", ["user_id"]
-    )
+    rows = _rows_per(clicks, ["news_id"])
+    return salted_join(clicks, keywords, "news_id", rows, "rows", clicks.columns)
 
 
 def _weigh(clicks: DataFrame, keywords: DataFrame, amount: Column) -> DataFrame:

@@ -99,7 +99,9 @@ def recommend_by_preference(
 def in_preferred_categories(articles: DataFrame, preferences: DataFrame) -> DataFrame:
     """Articles whose category somebody reads."""
     wanted = preferences.where("share <> 0").select("category").distinct()
-    return articles.join(wanted, "category", "left_semi")
+    return salted_join(
+        articles, wanted, "category", category_sizes(articles), "n_news", ["news_id"]
+    )
 
 
 def recommend_new(classified: DataFrame, preferences: DataFrame) -> DataFrame:

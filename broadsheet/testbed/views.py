@@ -2,8 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from broadsheet.functions.text import one_line
 from broadsheet.functions.times import parse_publish_time
+from broadsheet.plans.skew import salted_join
 from broadsheet.settings import NULL_TEXT, PUBLISH_PATTERN_OUT
 
 AS_OF = "timestamp_ntz'2024-01-31 00:00:00'"
@@ -69,20 +69,11 @@ def click_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_log(spark: SparkSession, sf: str) -> DataFrame:
     """The click log with the article in every line."""
-    return clicks(spark, sf).join(
-        news(spark, sf).select("news_id", "title", "content", "publish_text"), "news_id"
-    ).select("user_id", "news_id", "click_ts", "title", "content", "publish_text")
-
-
-def log_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The click log as its text form holds it: whole seconds, one line each."""
-    return raw_log(spark, sf).select(
-        "user_id",
-        "news_id",
-        F.date_trunc("second", "click_ts").cast("timestamp_ntz").alias("click_ts"),
-        one_line(F.col("title")).alias("title"),
-        one_line(F.col("content")).alias("content"),
-        "publish_text",
+    clicked = clicks(spark, sf)
+    rows = clicked.groupBy("news_id").agg(F.count(F.lit(1)).alias("rows"))
+    texts = news(spark, sf).select("news_id", "title", "content", "publish_text")
+    return salted_join(clicked, texts, "news_id", rows, "rows", clicked.columns).select(
+        "user_id", "news_id", "click_ts", "title", "content", "publish_text"
     )
 
 
