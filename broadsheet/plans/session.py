@@ -3,6 +3,8 @@
 from pyspark.sql import SparkSession
 
 SETTINGS = {
+    # Times of a click log carry no zone; this keeps them as they are.
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Before a job runs, Spark guesses sizes, and for exploded texts far too

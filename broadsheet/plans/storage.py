@@ -2,10 +2,16 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="broadsheet-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which every executor can reach.
 
@@ -16,8 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="broadsheet-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 
