@@ -98,7 +98,7 @@ SQL: dict[str, str] = {
     "op8_quality": rf"""
         WITH split AS (
             SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS} AS words,
-                   list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+                   [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
             FROM documents
         ),
         grams AS (
