@@ -6,7 +6,7 @@
    takes each phrase from the document of smallest id that has it, compiles an
    Aho-Corasick automaton of its phrases and streams the pieces of all
    documents through it. At each occurrence the windows around it are confirmed
-   word by word against those of documents of smaller id.
+   by their hash (128 bits) against those of documents of smaller id.
 3. The confirmed windows go back to their documents, whose covered words are
    left out.
 
@@ -20,10 +20,12 @@ the same doc_id, or repeated rows, don't remove words from each other.
 
 import hashlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from broadsheet.llm.anchors import Copies, Roller, anchor_rows, key_runs, unpacked_places, with_places
@@ -33,7 +35,8 @@ from broadsheet.plans.storage import stored
 
 WINDOW = 50
 PHRASE = 10
-HOT = 5_000
+#: pieces of a phrase that one task takes: their windows' hashes need some 120 MB
+HOT = 20_000
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[32, *range(9, 14)]] = True
@@ -111,24 +114,23 @@ def repeats_in_shard(pieces: list[tuple[int, int, int, int, int, bytes]], window
             phrases[text] = len(phrases)
             automaton.add_word(text, (phrases[text], len(text)))
     automaton.make_automaton()
-    known: dict[str, int] = {}  # window -> smallest doc_id
+    known: dict[int, int] = {}  # hash of a window, 128 bits -> smallest doc_id
     order = sorted(range(len(pieces)), key=lambda i: pieces[i][1])
     for i in order:
-        _, number, row, first, _, _ = pieces[i]
+        _, number, row, first, _, data = pieces[i]
         text, words = f" {cut[i]} ", split[i]
-        starts = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words]))).tolist()
-        place = {at: nth for nth, at in enumerate(starts)}
+        place = {at: nth for nth, at in enumerate(accumulate(map(len, words), lambda at, n: at + n + 1, initial=0))}
+        # words of the piece are joined by one space, in bytes too
+        starts = [0, *(np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1).tolist(), len(data) + 1]
         wanted: set[int] = set()
         for end, (_, length) in automaton.iter(text):
             at = place[end - length + 1]  # the space before the phrase stands where its first word does in the piece
             wanted.update(range(max(0, at + phrase - window), min(at, len(words) - window) + 1))
         run = None
         for start in sorted(wanted):
-            own = cut[i][starts[start] : starts[start + window] - 1]
+            own = xxhash.xxh3_128_intdigest(data[starts[start] : starts[start + window] - 1])
             if known.setdefault(own, number) < number:
-                if run and run[1] == start + window - 1:
-                    run[1] = start + window
-                elif run and start < run[1]:
+                if run and start <= run[1]:
                     run[1] = start + window
                 else:
                     if run:
