@@ -31,7 +31,7 @@ from broadsheet.plans.skew import salted_join
 from broadsheet.plans.storage import stored
 
 WINDOW = 200
-GRAM = 50
+GRAM = 100
 SHALLOW = 64
 HOT = 20_000
 
