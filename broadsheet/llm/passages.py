@@ -174,12 +174,15 @@ def repeated_spans(
     )
     if shared.where("_hot").isEmpty():
         return spans
-    windows = stored(
-        map_columns(placed, "w1 long, w2 long, _d long, _r long, a long", _hot_windows(window), most=1 << 20), "hot"
+    # in one plan with the pieces, so that the texts dealt by _r are used again
+    windows = map_columns(
+        placed.where(F.exists("_found", lambda x: x["_hot"])),
+        "w1 long, w2 long, _d long, _r long, a long", _hot_windows(window), most=1 << 20,
     )
-    firsts = stored(
-        windows.groupBy("w1", "w2").agg(F.min("_d").alias("_low"), F.max("_d").alias("_high"), F.count(F.lit(1)).alias("_n")).where("_low < _high"),
-        "hotfirst",
+    firsts = (
+        windows.groupBy("w1", "w2")
+        .agg(F.min("_d").alias("_low"), F.max("_d").alias("_high"), F.count(F.lit(1)).alias("_n"))
+        .where("_low < _high")
     )
     again = salted_join(windows, firsts.select("w1", "w2", "_low"), ["w1", "w2"], firsts, "_n", ["_r", "a"])
     return spans.unionByName(again.where("_d > _low").select("_d", "_r", "a", (F.col("a") + window).alias("b")))
