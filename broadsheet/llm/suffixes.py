@@ -31,7 +31,7 @@ from broadsheet.plans.skew import salted_join
 from broadsheet.plans.storage import stored
 
 WINDOW = 200
-GRAM = 100
+GRAM = 50
 SHALLOW = 64
 HOT = 20_000
 
@@ -265,11 +265,12 @@ def repeated_spans(rows: DataFrame, texts: DataFrame, window: int = WINDOW, gram
     spans = pieces.repartition("_key").sortWithinPartitions("_key").mapInArrow(_shard(window), "_d long, _r long, a long, b long")
     if shared.where("_hot").isEmpty():
         return spans
-    windows = stored(
-        map_columns(placed, "w1 long, w2 long, _d long, _r long, a long", _hot_windows(window), most=1 << 18).dropDuplicates(["w1", "w2", "_r", "a"]),
-        "hot",
-    )
-    counts = stored(windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "hotcount")
+    # in one plan with the pieces, so that the texts dealt by _r are used again
+    windows = map_columns(
+        placed.where(F.exists("_found", lambda x: x["_hot"])),
+        "w1 long, w2 long, _d long, _r long, a long", _hot_windows(window), most=1 << 18,
+    ).dropDuplicates(["w1", "w2", "_r", "a"])
+    counts = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     again = salted_join(windows, counts.select("w1", "w2"), ["w1", "w2"], counts, "_n", ["_r", "a"])
     return spans.unionByName(again.select("_d", "_r", "a", (F.col("a") + window).alias("b")))
 
