@@ -10,7 +10,8 @@ def inverse_frequency(n_docs: Column, df: Column) -> Column:
 
 
 def gravity(votes: Column, hours: Column) -> Column:
-    return votes / F.pow(hours + GRAVITY_OFFSET_HOURS, F.lit(GRAVITY))
+    """An article published after the time of asking counts as published just then."""
+    return votes / F.pow(F.greatest(hours, F.lit(0)) + GRAVITY_OFFSET_HOURS, F.lit(GRAVITY))
 
 
 def recover_count(tf: Column, n_terms: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-# --- fixed values: a term is a maximal run of letters and digits -------------
+# a term is a maximal run of letters and digits
 TERM_PATTERN = r"([\p{L}\p{N}]+)"
 HAN_RUN_PATTERN = r"(\p{IsHan}+|[\p{L}\p{N}&&[^\p{IsHan}]]+)"
 

@@ -11,7 +11,6 @@ from broadsheet.functions.text import keyword_hash
 from broadsheet.functions.times import hour_slot, hours_between
 from broadsheet.plans.skew import salted_join
 from broadsheet.settings import (
-    CLUSTERS,
     HALF_LIFE_HOURS,
     PROFILE_PART_TERMS,
     SLOT_BOOST,
@@ -70,8 +69,14 @@ def category_list(assignment: DataFrame) -> DataFrame:
 
 
 def preference_matrix(shares: DataFrame, categories: list[int] | None = None) -> DataFrame:
-    """One row per user, one column per category, zero where nothing was read."""
-    categories = list(range(CLUSTERS)) if categories is None else categories
+    """One row per user, one column per category, zero where nothing was read.
+
+    Without a list, the columns are all categories read, in text order. Their
+    number is the width of the table, so it is small.
+    """
+    if categories is None:
+        categories = [r.category for r in shares.select("category").distinct().collect() if r.category is not None]
+        categories.sort(key=str)
     wide = shares.groupBy("user_id").pivot("category", categories).agg(F.first("share"))
     return wide.select(
         "user_id",

@@ -8,7 +8,6 @@ second block holds our own defaults, all of them overridable by parameter.
 TOP_TERMS = 50                 # keywords per article, category track
 BODY_TERMS = 20                # keywords per article body, profile track
 TITLE_TERMS = 5                # keywords per article title, profile track
-MAX_ARTICLE_TAGS = BODY_TERMS + TITLE_TERMS
 MATRIX_WIDTH = 2029            # columns of the dense matrix export
 CLUSTERS = 10                  # k of k-means
 CLUSTER_STEPS = 3              # iterations of k-means

@@ -154,21 +154,40 @@ def read_keyword_map(spark: SparkSession, path: str) -> DataFrame:
 # --- labelled tables ----------------------------------------------------------------
 
 
+CELL_PATTERN = r'("(?:[^"\\]|\\.|"")*"|[^,]*),'  # one cell and the comma after it
+
+
 def write_labelled_csv(frame: DataFrame, path: str) -> None:
     """Label and cells of each row, comma separated, no header."""
     frame.write.mode("overwrite").csv(path)
 
 
 def read_labelled_csv(
-    spark: SparkSession, path: str, width: int, label_index: int = 0, header: bool = False
+    spark: SparkSession, path: str, label_index: int = 0, header: bool = False
 ) -> DataFrame:
-    """Rows of label and cells; cells stay text until they are indexed."""
-    names = [f"f{i}" for i in range(width)]
-    raw = spark.read.csv(
-        path, schema=", ".join(f"{n} STRING" for n in names), header=header
+    """Rows of label and cells; cells stay text until they are indexed.
+
+    Rows may have any number of cells, each its own. A cell in quotes may hold
+    commas, and quotes that are doubled or follow a backslash, but no line end.
+    With ``header``, lines like the first one are left out; empty lines are.
+    """
+    lines = spark.read.text(path).where("value <> ''")
+    if header and (first := lines.first()):
+        lines = lines.where(F.col("value") != F.lit(first[0]))
+    found = F.regexp_extract_all(F.concat("value", F.lit(",")), F.lit(CELL_PATTERN), F.lit(1))
+    bare = F.transform(
+        found,
+        lambda c: F.when(
+            c.startswith('"'), F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), r'["\\]"', '"')
+        ).otherwise(c),
+    )
+    cells = lines.select(bare.alias("all"))
+    return cells.select(
+        F.get("all", F.lit(label_index)).alias("label"),
+        F.concat(
+            F.slice("all", 1, label_index), F.slice("all", label_index + 2, F.size("all"))
+        ).alias("cells"),
     )
-    cells = [F.coalesce(F.col(n), F.lit("")) for i, n in enumerate(names) if i != label_index]
-    return raw.select(F.col(names[label_index]).alias("label"), F.array(*cells).alias("cells"))
 
 
 def cell_rows(rows: DataFrame) -> DataFrame:

@@ -103,7 +103,7 @@ PARTS = {
         SELECT user_id, category, clicks / sum(clicks) OVER (PARTITION BY user_id) AS share
         FROM user_categories""",
     "gravities": """
-        SELECT category, news_id, votes, age_h, votes / pow(age_h + 2, 1.8) AS gravity FROM (
+        SELECT category, news_id, votes, age_h, votes / pow(greatest(age_h, 0) + 2, 1.8) AS gravity FROM (
             SELECT category, news_id, n_news AS votes,
                    datesub('hour', publish_ts, timestamp '2024-01-31 00:00:00') AS age_h
             FROM assignment
@@ -377,7 +377,7 @@ BODIES = {
     "new_doc_matrix": "SELECT news_id, term_id, n FROM new_top JOIN train_words USING (term)",
     "gravity_score": "SELECT category, news_id, votes, age_h, round(gravity, 6) AS gravity FROM gravities",
     "gravity_by_clicks": """
-        SELECT category, news_id, votes, age_h, round(votes / pow(age_h + 2, 1.8), 6) AS gravity FROM (
+        SELECT category, news_id, votes, age_h, round(votes / pow(greatest(age_h, 0) + 2, 1.8), 6) AS gravity FROM (
             SELECT category, news_id, age_h, coalesce(n, 1) - 1 AS votes FROM gravities
             LEFT JOIN (SELECT news_id, count(*) AS n FROM clicks GROUP BY news_id) USING (news_id))""",
     "recommend_by_preference": """

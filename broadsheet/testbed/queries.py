@@ -164,7 +164,7 @@ def _labelled_rows(spark, sf):
     path = fresh_path(spark, "labelled")
     rows = _labelled_table(spark, sf).join(views.labels(spark, sf), "news_id")
     tables.write_labelled_csv(rows.select("label", "lang", "source", "n_chars"), path)
-    return tables.read_labelled_csv(spark, path, width=4)
+    return tables.read_labelled_csv(spark, path)
 
 
 @query

@@ -205,16 +205,27 @@ def test_gravity_ranks_newer_articles_first(frame, at, rows):
     assert rows(ranked, "category", "rank", "news_id") == [(1, 1, 3), (1, 2, 2), (1, 3, 1), (2, 1, 9)]
 
 
+@pytest.mark.parametrize("age", [-5, -2, -1, 0])
+def test_gravity_of_articles_from_the_future(frame, at, rows, age):
+    known = frame([(1, at(30 - age), 1), (2, at(0), 1)], "news_id long, publish_ts timestamp_ntz, category int")
+    ranked = ranking.rank_in_category(ranking.gravity_scores(known, F.lit(at(30)).cast("timestamp_ntz")))
+    assert rows(ranked, "rank", "news_id") == [(1, 1), (2, 2)]
+    assert all(0 < r.gravity < 1 for r in ranked.collect())
+
+
+def test_preference_columns_come_from_the_data(frame):
+    shares = frame([(1, 0, 0.5), (1, 10, 0.25), (1, 72, 0.25), (1, 9, 0.0)], "user_id long, category int, share double")
+    wide = profiles.preference_matrix(shares)
+    assert wide.columns == ["user_id", "cat_0", "cat_10", "cat_72", "cat_9"]
+    assert profiles.nonzero_preferences(wide).count() == 3
+
+
 def brute_overlap(user, article):
-    """The score as a loop over the article's tags."""
-    same, rest = 0.000001, sum(user.values())
-    for tag, weight in article.items():
-        if tag in user:
-            same += weight + user[tag]
-            rest -= user[tag]
-        else:
-            rest += weight
-    return same / (same + rest)
+    """Weight of the tags that both have, as a part of the weight of all tags of both."""
+    both = user.keys() & article.keys()
+    shared = sum(user[t] + article[t] for t in both)
+    differing = sum(side[t] for side in (user, article) for t in side.keys() - both)
+    return (shared + 1e-6) / (shared + differing + 1e-6)
 
 
 def as_rows(weights):

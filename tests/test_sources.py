@@ -55,10 +55,19 @@ def test_keyword_map_keeps_full_precision_and_skips_broken_entries(spark, frame,
 def test_labelled_csv_with_header_and_label_elsewhere(spark, tmp_path, rows):
     path = tmp_path / "l.csv"
     path.write_text("h1,h2,h3\n1,yes,0.5\nred,no,2\n")
-    read = tables.read_labelled_csv(spark, str(path), 3, label_index=1, header=True)
+    read = tables.read_labelled_csv(spark, str(path), label_index=1, header=True)
     assert sorted((r["label"], tuple(r["cells"])) for r in read.collect()) == [("no", ("red", "2")), ("yes", ("1", "0.5"))]
 
 
+def test_labelled_csv_of_any_width(spark, tmp_path, frame):
+    path = tmp_path / "l.csv"
+    path.write_text('1,a,b,c\n2\n3,"x, ""y""",\n')
+    read = tables.read_labelled_csv(spark, str(path))
+    assert sorted((r["label"], tuple(r["cells"])) for r in read.collect()) == [("1", ("a", "b", "c")), ("2", ()), ("3", ('x, "y"', ""))]
+    tables.write_labelled_csv(frame([("1", 'q"uo,te', None)], "label string, a string, b string"), str(tmp_path / "w"))
+    assert [tuple(r["cells"]) for r in tables.read_labelled_csv(spark, str(tmp_path / "w")).collect()] == [('q"uo,te', "")]
+
+
 def test_cells_are_numbers_ids_or_zero(frame, rows):
     seen = frame([("red",), ("blue",), ("red",), ("3",)], "cell string")
     words = tables.cell_dictionary(seen)
