@@ -26,6 +26,10 @@ def terms_with_bigrams(text: Column) -> Column:
     return F.flatten(F.transform(runs, pairs))
 
 
+#: Ways to cut a text, by the name that a trained model keeps.
+SPLITS = {"terms": terms, "bigrams": terms_with_bigrams}
+
+
 def keyword_hash(keyword: Column) -> Column:
     return F.md5(F.trim(keyword))
 

@@ -121,7 +121,8 @@ def seed_centres(matrix: DataFrame, k: int = CLUSTERS) -> DataFrame:
 def nearest_centres(matrix: DataFrame, centre: DataFrame, k: int = CLUSTERS) -> DataFrame:
     """The nearest centre of every article, by |c|² − 2 x·c.
 
-    |x|² is the same for all centres of an article and left out.
+    |x|² is the same for all centres of an article and left out. A centre that
+    is zero never had an article (there were fewer than ``k``) and takes none.
     """
     names = _columns(k)
     norms = centre.agg(F.array(*[F.sum(F.col(c) * F.col(c)) for c in names])).scalar()
@@ -134,8 +135,9 @@ def nearest_centres(matrix: DataFrame, centre: DataFrame, k: int = CLUSTERS) ->
     )
     compared = F.transform(
         F.arrays_zip(F.col("norms"), F.col("dots")),
-        lambda z, i: F.struct(
-            rank_key(z["norms"] - 2 * z["dots"]).alias("d"), i.alias("cluster")
+        lambda z, i: F.when(
+            z["norms"] > 0,
+            F.struct(rank_key(z["norms"] - 2 * z["dots"]).alias("d"), i.alias("cluster")),
         ),
     )
     return dots.withColumn("norms", norms).select(
@@ -143,44 +145,50 @@ def nearest_centres(matrix: DataFrame, centre: DataFrame, k: int = CLUSTERS) ->
     )
 
 
-def mean_centres(matrix: DataFrame, assigned: DataFrame, k: int = CLUSTERS) -> DataFrame:
-    """Mean count of each term in each cluster."""
+def mean_centres(
+    matrix: DataFrame, assigned: DataFrame, centre: DataFrame, k: int = CLUSTERS
+) -> DataFrame:
+    """Mean count of each term in each cluster; one without members stays where it was.
+
+    ``was0``, ``was1``, … are the centres before, from the same aggregate, so
+    that how far they moved needs no join.
+    """
+    names = _columns(k)
     sizes = assigned.agg(
         F.array(*[F.count_if(F.col("cluster") == i) for i in range(k)])
     ).scalar()
-    members = matrix.join(assigned, "news_id")
-    sums = members.groupBy("term").agg(
+    zero = F.lit(0.0)
+    members = matrix.join(assigned, "news_id").select(
+        "term",
         *[
-            F.sum(F.when(F.col("cluster") == i, F.col("n")).otherwise(0)).alias(c)
-            for i, c in enumerate(_columns(k))
-        ]
+            F.when(F.col("cluster") == i, F.col("n").cast("double")).otherwise(zero).alias(c)
+            for i, c in enumerate(names)
+        ],
+        *[zero.alias(f"was{i}") for i in range(k)],
+    )
+    before = centre.select(
+        "term", *[zero.alias(c) for c in names], *[F.col(c).alias(f"was{i}") for i, c in enumerate(names)]
     )
-    sized = sums.withColumn("sizes", sizes)
-    return sized.select(
+    columns = [*names, *[f"was{i}" for i in range(k)]]
+    sums = members.unionByName(before).groupBy("term").agg(*[F.sum(c).alias(c) for c in columns])
+    return sums.withColumn("sizes", sizes).select(
         "term",
         *[
-            F.when(F.col("sizes")[i] > 0, F.col(c) / F.col("sizes")[i]).otherwise(0.0).alias(c)
-            for i, c in enumerate(_columns(k))
+            F.when(F.col("sizes")[i] > 0, F.col(c) / F.col("sizes")[i]).otherwise(F.col(f"was{i}")).alias(c)
+            for i, c in enumerate(names)
         ],
+        *[f"was{i}" for i in range(k)],
     )
 
 
-def _largest_move(old: DataFrame, new: DataFrame, k: int) -> float:
+def _largest_move(moved: DataFrame, k: int) -> float:
     """How far the centre that moved most went."""
     names = _columns(k)
-    a, b = old.alias("a"), new.alias("b")
-    moved = a.join(b, "term", "full_outer").agg(
-        *[
-            F.sum(
-                F.pow(
-                    F.coalesce(F.col(f"a.{c}"), F.lit(0.0)) - F.coalesce(F.col(f"b.{c}"), F.lit(0.0)),
-                    F.lit(2.0),
-                )
-            ).alias(c)
-            for c in names
-        ]
+    squares = moved.agg(
+        *[F.sum(F.pow(F.col(c) - F.col(f"was{i}"), F.lit(2.0))).alias(c) for i, c in enumerate(names)]
     )
-    distance = moved.select(F.sqrt(F.greatest(*names)).alias("d")).first()["d"]
+    largest = F.greatest(*names) if k > 1 else F.col(names[0])
+    distance = squares.select(F.sqrt(largest).alias("d")).first()["d"]
     return 0.0 if distance is None else distance
 
 
@@ -189,15 +197,15 @@ def cluster_articles(
 ) -> DataFrame:
     """Categories of articles from their (article, term, count) cells.
 
-    Each step is two jobs over the cells; its centres are stored, so
-    that the plan does not grow with the steps. Steps end early when no centre
-    moves further than ``delta``.
+    An assignment is stored, as the sizes and the sums both need it, and so are
+    the centres, so that the plan does not grow with the steps. Steps end early
+    when no centre moves further than ``delta``.
     """
-    centre = stored(seed_centres(matrix, k))
+    centre = stored(seed_centres(matrix, k), "centres")
     for _ in range(steps):
-        moved = stored(mean_centres(matrix, nearest_centres(matrix, centre, k), k))
-        distance = _largest_move(centre, moved, k)
-        centre = moved
-        if distance <= delta:
+        assigned = stored(nearest_centres(matrix, centre, k), "assigned")
+        moved = stored(mean_centres(matrix, assigned, centre, k), "centres")
+        centre = moved.select("term", *_columns(k))
+        if _largest_move(moved, k) <= delta:
             break
     return nearest_centres(matrix, centre, k)

@@ -98,10 +98,18 @@ def tfidf(
     return scored.withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
-def article_tfidf(articles: DataFrame, text: str = "content") -> DataFrame:
-    """TF-IDF of articles, one row each, against their own corpus."""
+def article_tfidf(
+    articles: DataFrame, text: str = "content", split=terms, n_docs: Column | None = None
+) -> DataFrame:
+    """TF-IDF of articles, one row each, against their own corpus.
+
+    ``split`` cuts a text in terms. ``n_docs`` is a fixed corpus size; without
+    it the articles are counted.
+    """
     return tfidf(
-        term_counts(articles, text), corpus_size(articles), text_frequency(articles, text)
+        term_counts(articles, text, split),
+        corpus_size(articles) if n_docs is None else n_docs,
+        text_frequency(articles, text, split),
     )
 
 
@@ -122,15 +130,18 @@ def recover_counts(scored: DataFrame) -> DataFrame:
     return scored.withColumn("recovered", recover_count(F.col("tf"), F.col("n_terms")))
 
 
-def title_body_keywords(articles: DataFrame) -> DataFrame:
+def title_body_keywords(
+    articles: DataFrame, split=terms, n_docs: Column | None = None
+) -> DataFrame:
     """Keywords of body and title together; weights of shared ones add up.
 
     Both use the frequencies of the bodies. Only positive weights make a
     keyword: a term in every article says nothing about any of them.
     """
-    n_docs, df = corpus_size(articles), text_frequency(articles)
-    body = top_keywords(tfidf(term_counts(articles), n_docs, df), BODY_TERMS)
-    title_scores = tfidf(term_counts(articles, "title"), n_docs, df, other_corpus=True)
+    n_docs = corpus_size(articles) if n_docs is None else n_docs
+    df = text_frequency(articles, split=split)
+    body = top_keywords(tfidf(term_counts(articles, split=split), n_docs, df), BODY_TERMS)
+    title_scores = tfidf(term_counts(articles, "title", split), n_docs, df, other_corpus=True)
     title = top_keywords(title_scores, TITLE_TERMS)
     both = body.select("news_id", "term", "tfidf").unionByName(
         title.select("news_id", "term", "tfidf")
@@ -154,8 +165,9 @@ def hash_keywords(keywords: DataFrame) -> DataFrame:
     )
 
 
-def unhash_keywords(hashed: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Hashes replaced by their keyword."""
+def unhash_keywords(
+    hashed: DataFrame, dictionary: DataFrame, spread_by: tuple[str, ...] = ("news_id",)
+) -> DataFrame:
+    """Hashes replaced by their keyword; rows of a hot one are dealt by ``spread_by``."""
     rows = hashed.groupBy("term_hash").agg(F.count(F.lit(1)).alias("rows"))
-    spread = [c for c in hashed.columns if c.endswith("_id")]
-    return salted_join(hashed, dictionary, "term_hash", rows, "rows", spread)
+    return salted_join(hashed, dictionary, "term_hash", rows, "rows", spread_by)

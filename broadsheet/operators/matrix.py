@@ -1,12 +1,11 @@
 """Vocabulary and the article-term matrix, sparse first."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from broadsheet.functions.text import glue_key
 from broadsheet.functions.times import epoch_millis
 from broadsheet.operators.keywords import doc_frequency
 from broadsheet.plans.skew import ranked, salted_join
-from broadsheet.settings import MATRIX_WIDTH
 
 
 def vocabulary(keywords: DataFrame) -> DataFrame:
@@ -16,17 +15,6 @@ def vocabulary(keywords: DataFrame) -> DataFrame:
     return numbered.select("term", (F.col("position") - 1).alias("term_id"))
 
 
-def frequent_vocabulary(keywords: DataFrame, width: int = MATRIX_WIDTH) -> DataFrame:
-    """The ``width`` keywords of most articles, numbered from 0 in that order.
-
-    For dense exports, whose rows are as long as the vocabulary. Sorting in one
-    task is fine here: there are only ``width`` rows.
-    """
-    most = doc_frequency(keywords).orderBy(F.desc("df"), "term").limit(width)
-    order = Window.orderBy(F.desc("df"), "term")
-    return most.select("term", (F.row_number().over(order) - 1).cast("bigint").alias("term_id"))
-
-
 def known_terms(keywords: DataFrame, words: DataFrame) -> DataFrame:
     """Keywords that are in the vocabulary."""
     return _on_vocabulary(keywords, words.select("term"))
@@ -56,50 +44,34 @@ def binary_matrix(matrix: DataFrame) -> DataFrame:
     return matrix.where("n = 1").select("news_id", "term_id", F.lit(1).alias("cell"))
 
 
-def _cells_in_order(articles: DataFrame, matrix: DataFrame) -> DataFrame:
-    """Every article with its cells, sorted by column; none for an empty row.
+def zero_filled(articles: DataFrame, matrix: DataFrame, words: DataFrame) -> DataFrame:
+    """Every article as a vector over the whole vocabulary ``words``.
 
-    The cells of one article are its keywords, TOP_TERMS at most.
+    ``width`` is the number of columns, ``indices`` and ``values`` are the
+    cells that are not zero, by column; all others are zero and not written
+    out. Articles without cells have none. An article has few cells, its
+    keywords, so a row is short however many columns there are.
     """
     rows = matrix.groupBy("news_id").agg(
         F.array_sort(F.collect_list(F.struct("term_id", "n"))).alias("cells")
     )
-    return articles.join(rows, "news_id", "left").withColumn(
-        "cells", F.coalesce("cells", F.expr("cast(array() as array<struct<term_id:bigint,n:bigint>>)"))
-    )
-
-
-def zero_filled(articles: DataFrame, matrix: DataFrame, width: int = MATRIX_WIDTH) -> DataFrame:
-    """Dense rows: for each article an array with one count per column.
-
-    Built from the sparse cells of the row alone: the zeros between two cells
-    are an array of their distance, so articles are never paired with the
-    vocabulary.
-    """
-    cells = F.col("cells")
-
-    def zeros(count: Column) -> Column:
-        return F.array_repeat(F.lit(0).cast("bigint"), count.cast("int"))
-
-    def with_gap(cell: Column, i: Column) -> Column:
-        last = F.coalesce(F.get(cells, i - 1)["term_id"], F.lit(-1))
-        return F.concat(zeros(cell["term_id"] - last - 1), F.array(cell["n"]))
-
-    tail = F.coalesce(F.get(cells, F.size(cells) - 1)["term_id"], F.lit(-1))
-    dense = F.concat(
-        F.flatten(F.transform(cells, with_gap)), zeros(F.lit(width) - 1 - tail)
+    width = words.agg(F.count(F.lit(1)).alias("width")).scalar()
+    none = F.expr("cast(array() as array<bigint>)")
+    return articles.join(rows, "news_id", "left").select(
+        *articles.columns,
+        width.alias("width"),
+        F.coalesce(F.col("cells.term_id"), none).alias("indices"),
+        F.coalesce(F.col("cells.n"), none).alias("values"),
     )
-    return _cells_in_order(articles, matrix).withColumn("cells", dense)
 
 
-def dense_lines(
-    articles: DataFrame, matrix: DataFrame, width: int = MATRIX_WIDTH, sep: str = " "
-) -> DataFrame:
-    """Dense rows as text: ``id|milliseconds`` and the counts."""
+def sparse_lines(articles: DataFrame, matrix: DataFrame, words: DataFrame, sep: str = " ") -> DataFrame:
+    """The vectors as text: ``id|milliseconds``, the width, and ``column:count`` pairs."""
     key = glue_key(F.col("news_id"), epoch_millis(F.col("publish_ts")))
-    counts = F.array_join(F.col("cells").cast("array<string>"), sep)
-    filled = zero_filled(articles.select("news_id", "publish_ts"), matrix, width)
-    return filled.select("news_id", F.concat_ws(sep, key, counts).alias("line"))
+    pairs = F.zip_with("indices", "values", lambda i, n: F.concat_ws(":", i.cast("string"), n.cast("string")))
+    filled = zero_filled(articles.select("news_id", "publish_ts"), matrix, words)
+    line = F.concat_ws(sep, key, F.col("width").cast("string"), pairs)
+    return filled.select("news_id", line.alias("line"))
 
 
 def label_rows(labels: DataFrame, keywords: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from broadsheet.functions.times import hour_slot, hours_between
 from broadsheet.plans.skew import salted_join
 from broadsheet.settings import (
     HALF_LIFE_HOURS,
-    PROFILE_PART_TERMS,
+    PROFILE_PARTS,
     SLOT_BOOST,
     SLOT_HOURS,
 )
@@ -27,10 +27,12 @@ def _rows_per(frame: DataFrame, keys: list[str]) -> DataFrame:
 # --- by category --------------------------------------------------------------
 
 
-def clicks_with_category(clicks: DataFrame, assignment: DataFrame) -> DataFrame:
+def clicks_with_category(
+    clicks: DataFrame, assignment: DataFrame, on: list[str] = ARTICLE
+) -> DataFrame:
     """Clicks of articles that have a category."""
-    rows = _rows_per(clicks, ARTICLE)
-    return salted_join(clicks, assignment, ARTICLE, rows, "rows", clicks.columns)
+    rows = _rows_per(clicks, on)
+    return salted_join(clicks, assignment, on, rows, "rows", clicks.columns)
 
 
 def clicks_without_category(clicks: DataFrame, assignment: DataFrame) -> DataFrame:
@@ -42,11 +44,13 @@ def clicks_without_category(clicks: DataFrame, assignment: DataFrame) -> DataFra
     return joined.where("known IS NULL").drop("known")
 
 
-def user_category_counts(clicks: DataFrame, assignment: DataFrame) -> DataFrame:
+def user_category_counts(
+    clicks: DataFrame, assignment: DataFrame, on: list[str] = ARTICLE
+) -> DataFrame:
     """Clicks per (user, category), repeated clicks included."""
-    counted = clicks.groupBy("user_id", *ARTICLE).agg(F.count(F.lit(1)).alias("clicks"))
+    counted = clicks.groupBy("user_id", *on).agg(F.count(F.lit(1)).alias("clicks"))
     return (
-        clicks_with_category(counted, assignment)
+        clicks_with_category(counted, assignment, on)
         .groupBy("user_id", "category")
         .agg(F.sum("clicks").alias("clicks"))
     )
@@ -179,29 +183,26 @@ def slot_boosted_profile(
     )
 
 
-def profile_parts(profile: DataFrame, part_terms: int = PROFILE_PART_TERMS) -> DataFrame:
-    """Deals the keywords of a user over parts of about ``part_terms``, by hash.
+def profile_parts(profile: DataFrame, parts: int = PROFILE_PARTS) -> DataFrame:
+    """Deals the keywords of every user over ``parts`` rows, by a hash of the term.
 
-    Nearly all users have one part; more keep any single row of a collected
-    profile from growing without limit.
+    The number is the same for all users, so the shape of a collected profile
+    does not depend on how much there is of it; raise it for longer profiles.
     """
-    sizes = profile.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_terms"))
     bucket = F.conv(F.substring(keyword_hash(F.col("term")), 1, 8), 16, 10).cast("bigint")
-    parts = F.ceil(F.col("n_terms") / F.lit(part_terms))
-    dealt = salted_join(profile, sizes, "user_id", sizes, "n_terms", ["term"])
-    return dealt.withColumn("part", F.pmod(bucket, parts)).drop("n_terms")
+    return profile.withColumn("part", F.pmod(bucket, F.lit(parts)))
 
 
 def profile_maps(
-    profile: DataFrame, users: DataFrame | None = None, part_terms: int = PROFILE_PART_TERMS
+    profile: DataFrame, users: DataFrame | None = None, parts: int = PROFILE_PARTS
 ) -> DataFrame:
-    """Profiles as maps, a row per user and part.
+    """Profiles as maps, a row per user and part that has keywords.
 
     With ``users`` those without any keyword get an empty map.
     """
     entries = F.array_sort(F.collect_list(F.struct("term", "weight")))
     maps = (
-        profile_parts(profile, part_terms)
+        profile_parts(profile, parts)
         .groupBy("user_id", "part")
         .agg(F.map_from_entries(entries).alias("profile"))
     )

@@ -189,14 +189,18 @@ def recommend_by_overlap(
     keywords: DataFrame,
     n: int = LIST_LENGTH,
     read: DataFrame | None = None,
-    pad: bool = True,
+    articles: DataFrame | None = None,
+    users: DataFrame | None = None,
 ) -> DataFrame:
     """The ``n`` articles of each user with the largest overlap score.
 
     Articles a user has read stay in unless ``read`` (user, article) is given.
-    A user who shares keywords with fewer than ``n`` articles gets, with
-    ``pad``, the best of the others: those of smallest total weight. Lists
-    without the read articles are not padded.
+    A user who shares keywords with fewer than ``n`` articles also gets the
+    best of the others, those of smallest total weight, so that all lists have
+    ``n`` articles if there are as many. ``articles`` (``news_id``) are all
+    candidates, also those without keywords, whose weight is zero; ``users``
+    are all readers, also those with an empty profile. Without them, those in
+    ``keywords`` and ``profile``. Scores are compared on nine digits.
     """
     pairs = _shared(profile, keywords)
     if read is not None:
@@ -209,36 +213,55 @@ def recommend_by_overlap(
     best = first_per_group(pairs, ["user_id"], order, n).select(
         "user_id", "news_id", "score", "rank"
     )
-    if read is not None or not pad:
-        return best
     best = stored(best, "lists")
-    return best.unionByName(_padding(best, profile, keywords, n))
+    weights = _total(keywords, "news_id", "news_weight", articles)
+    readers = _total(profile, "user_id", "user_weight", users)
+    return best.unionByName(_padding(best, readers, weights, n, read))
 
 
-def _padding(best: DataFrame, profile: DataFrame, keywords: DataFrame, n: int) -> DataFrame:
+def _total(weighted: DataFrame, key: str, name: str, everyone: DataFrame | None) -> DataFrame:
+    """Total weight per key; zero for those in ``everyone`` that have none."""
+    totals = weighted.groupBy(key).agg(F.sum("weight").alias(name))
+    if everyone is None:
+        return totals
+    return everyone.select(key).distinct().join(totals, key, "left").fillna(0.0, [name])
+
+
+def _padding(
+    best: DataFrame, users: DataFrame, articles: DataFrame, n: int, read: DataFrame | None
+) -> DataFrame:
     """The tail of lists that overlap alone leaves short.
 
     Without shared keywords the score only depends on the article's total
-    weight, so the same few light articles serve all users; ``2 n`` are enough
-    to leave ``n`` after a list's own articles are taken out.
+    weight, so one order of the articles, lightest first, serves all users. A
+    user looks at as many of its first places as are missing, and one more for
+    each article that is on the list or read already: no user meets all
+    articles.
     """
-    totals = keywords.groupBy("news_id").agg(F.sum("weight").alias("news_weight"))
+    order = [(rank_key(F.col("news_weight")), "asc"), (F.col("news_id"), "desc")]
+    places = stored(ranked(articles, order, "place"), "places")
     lengths = best.groupBy("user_id").agg(F.max("rank").alias("filled"))
-    users = profile.groupBy("user_id").agg(F.sum("weight").alias("user_weight"))
-    short = (
-        users.join(lengths, "user_id", "left")
-        .withColumn("filled", F.coalesce("filled", F.lit(0)))
-        .where(F.col("filled") < n)
+    short = stored(
+        users.join(lengths, "user_id", "left").fillna(0, ["filled"]).where(F.col("filled") < n), "short"
+    )
+    out = best.select("user_id", "news_id")
+    if read is not None:
+        out = out.unionByName(read.select("user_id", "news_id")).distinct()
+    out = stored(out.join(short, "user_id", "left_semi"), "out")
+    seen = out.groupBy("news_id").agg(F.count(F.lit(1)).alias("seen"))
+    taken = salted_join(out, places.select("news_id", "place"), "news_id", seen, "seen", ["user_id"])
+    taken = stored(taken.select("user_id", "place"), "taken")
+    left_out = taken.groupBy("user_id").agg(F.count(F.lit(1)).alias("left_out"))
+    missing = n - F.col("filled")
+    looked_at = (
+        short.join(left_out, "user_id", "left")
+        .withColumn("place", F.explode(F.sequence(F.lit(1).cast("bigint"), missing + F.coalesce("left_out", F.lit(0)))))
+        .join(taken, ["user_id", "place"], "left_anti")
     )
-    weight_key = rank_key(F.col("news_weight"))
-    lightest_first = [(weight_key, "asc"), (F.col("news_id"), "desc")]
-    lightest = totals.orderBy(weight_key.asc(), F.desc("news_id")).limit(2 * n)
-    candidates = short.withColumn(
-        "a", F.explode(lightest.agg(F.collect_list(F.struct("*"))).scalar())
-    ).select("user_id", "user_weight", "filled", "a.*")
-    fresh = candidates.join(best.select("user_id", "news_id"), ["user_id", "news_id"], "left_anti")
-    ranks = first_per_group(fresh, ["user_id"], lightest_first, n, "next")
-    return ranks.where(F.col("filled") + F.col("next") <= n).select(
+    free = first_per_group(looked_at, ["user_id"], [(F.col("place"), "asc")], n, "next")
+    free = stored(free.where(F.col("next") <= missing).drop("left_out"), "free")
+    wanted = free.groupBy("place").agg(F.count(F.lit(1)).alias("wanted"))
+    return salted_join(free, places, "place", wanted, "wanted", ["user_id"]).select(
         "user_id",
         "news_id",
         overlap_score(F.lit(0.0), F.col("user_weight"), F.col("news_weight")).alias("score"),

@@ -6,6 +6,7 @@ tables of known size.
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from broadsheet.functions.text import SPLITS
 from broadsheet.functions.times import parse_publish_time
 from broadsheet.operators import articles, bayes, clusters, keywords, profiles, ranking
 from broadsheet.plans.session import prepare
@@ -23,15 +24,28 @@ def article_list(log: DataFrame) -> DataFrame:
     return latest.withColumn("publish_ts", parse_publish_time(F.col("publish_text")))
 
 
+def _keep_split(spark: SparkSession, split: str, folder: str) -> None:
+    save_state({"split": spark.range(1).select(F.lit(split).alias("split"))}, folder)
+
+
+def _kept_split(spark: SparkSession, folder: str):
+    """How the model cut its texts, so that new ones are cut alike."""
+    return SPLITS[load_state(spark, folder, ["split"])["split"].first()["split"]]
+
+
 # --- by keyword profile ---------------------------------------------------------
 
 
-def train_profiles(log: DataFrame, folder: str) -> dict[str, DataFrame]:
-    """Article keywords, keyword dictionary and user profiles, kept in ``folder``."""
+def train_profiles(log: DataFrame, folder: str, split: str = "terms") -> dict[str, DataFrame]:
+    """Article keywords, keyword dictionary and user profiles, kept in ``folder``.
+
+    ``split`` is "terms", or "bigrams" for Chinese texts; it is kept as well.
+    """
     spark = prepare(log.sparkSession)
+    _keep_split(spark, split, folder)
     save_state({"articles": article_list(log)}, folder)
     news = load_state(spark, folder, ["articles"])["articles"]
-    save_state({"tags": keywords.title_body_keywords(news)}, folder)
+    save_state({"tags": keywords.title_body_keywords(news, SPLITS[split])}, folder)
     tags = load_state(spark, folder, ["tags"])["tags"]
     clicks = articles.brief_clicks(log)
     save_state(
@@ -61,23 +75,27 @@ def recommend_from_profiles(
     if users is not None:
         profile = profile.join(users.select("user_id").distinct(), "user_id", "left_semi")
     news = stored(article_list(candidates), "candidates")
-    tags = stored(keywords.title_body_keywords(news), "tags")
-    return ranking.attach_titles(ranking.recommend_by_overlap(profile, tags, n), news)
+    tags = stored(keywords.title_body_keywords(news, _kept_split(spark, folder)), "tags")
+    lists = ranking.recommend_by_overlap(profile, tags, n, articles=news, users=users)
+    return ranking.attach_titles(lists, news)
 
 
 # --- by category ------------------------------------------------------------------
 
 
-def _cells(news: DataFrame) -> DataFrame:
-    top = keywords.top_keywords(keywords.article_tfidf(news))
+def _cells(news: DataFrame, split) -> DataFrame:
+    top = keywords.top_keywords(keywords.article_tfidf(news, split=split))
     return stored(top.select("news_id", "term", "n"), "top-keywords")
 
 
-def train_categories(log: DataFrame, folder: str, k: int = CLUSTERS) -> dict[str, DataFrame]:
+def train_categories(
+    log: DataFrame, folder: str, k: int = CLUSTERS, split: str = "terms"
+) -> dict[str, DataFrame]:
     """Categories of the articles and a classifier for new ones, in ``folder``."""
     spark = prepare(log.sparkSession)
     news = stored(article_list(log), "articles")
-    cells = _cells(news)
+    _keep_split(spark, split, folder)
+    cells = _cells(news, SPLITS[split])
     grouped = clusters.cluster_articles(cells, k).withColumnRenamed("cluster", "category")
     assigned = grouped.join(news.select("news_id", "publish_ts"), "news_id")
     save_state({"assignment": assigned}, folder)
@@ -99,7 +117,7 @@ def classify_new(spark: SparkSession, folder: str, candidates: DataFrame) -> Dat
     prepare(spark)
     model = load_state(spark, folder, CATEGORY_TABLES)
     news = stored(article_list(candidates), "candidates")
-    predicted = bayes.predict(news, _cells(news), model["terms"], model["classes"])
+    predicted = bayes.predict(news, _cells(news, _kept_split(spark, folder)), model["terms"], model["classes"])
     return predicted.select("news_id", F.col("label").alias("category")).join(
         news.select("news_id", "publish_ts"), "news_id"
     )
@@ -108,10 +126,11 @@ def classify_new(spark: SparkSession, folder: str, candidates: DataFrame) -> Dat
 def preferences(log: DataFrame, assignment: DataFrame) -> DataFrame:
     """Share of each category in what a user reads.
 
-    Clicks and categories meet on article and publish time; clicks whose line
-    carries another time than the article's latest version do not count.
+    Clicks and categories meet on the article alone: a line may carry the
+    publish time of an older version, and its click counts like the others.
     """
-    counts = profiles.user_category_counts(articles.user_news_map(log), assignment)
+    categories = assignment.select("news_id", "category")
+    counts = profiles.user_category_counts(articles.user_news_map(log), categories, ["news_id"])
     return profiles.user_category_share(counts).select("user_id", "category", "share")
 
 

@@ -8,7 +8,6 @@ second block holds our own defaults, all of them overridable by parameter.
 TOP_TERMS = 50                 # keywords per article, category track
 BODY_TERMS = 20                # keywords per article body, profile track
 TITLE_TERMS = 5                # keywords per article title, profile track
-MATRIX_WIDTH = 2029            # columns of the dense matrix export
 CLUSTERS = 10                  # k of k-means
 CLUSTER_STEPS = 3              # iterations of k-means
 CLUSTER_DELTA = 0.01           # stop when no centre moves further than this
@@ -27,5 +26,5 @@ HALF_LIFE_HOURS = 24.0
 SLOT_HOURS = 4
 SMOOTHING = 1.0                # additive smoothing of Naive Bayes
 RANK_DIGITS = 9                # digits on which scores are compared
-PROFILE_PART_TERMS = 4096      # keywords of one map row of a user profile
+PROFILE_PARTS = 16             # rows that a user profile is dealt over, by term; the same for all users
 BROADCAST_ROWS = 1_000_000     # narrow tables up to this size are sent to all executors

@@ -8,7 +8,7 @@ from broadsheet.functions.text import glue_key, key_part, one_line
 from broadsheet.functions.times import epoch_millis
 from broadsheet.operators.profiles import profile_parts
 from broadsheet.plans.skew import ranked, salted_join
-from broadsheet.settings import PROFILE_PART_TERMS
+from broadsheet.settings import PROFILE_PARTS
 
 # --- fixed values: record layouts ----------------------------------------------
 CLICK_LOG = "user_id STRING, news_id STRING, click_s STRING, title STRING, content STRING, publish_text STRING"
@@ -118,10 +118,10 @@ def keyword_lines(keywords: DataFrame, digits: int | None = None) -> DataFrame:
 
 
 def profile_lines(
-    profile: DataFrame, digits: int | None = None, part_terms: int = PROFILE_PART_TERMS
+    profile: DataFrame, digits: int | None = None, parts: int = PROFILE_PARTS
 ) -> DataFrame:
-    """User profiles as text; long ones over several lines, told apart by ``part``."""
-    return profile_parts(profile, part_terms).groupBy("user_id", "part").agg(
+    """User profiles as text, a line per user and part (see ``profile_parts``)."""
+    return profile_parts(profile, parts).groupBy("user_id", "part").agg(
         _entries(digits)
     )
 

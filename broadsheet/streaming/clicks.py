@@ -137,6 +137,8 @@ def run_updates(running: DataFrame, keys: list[str]) -> DataFrame:
     """Take all input there is, then return the table."""
     spark = running.sparkSession
     table, checkpoint = fresh_path(spark, "updates"), fresh_path(spark, "state")
+    # so that there is a table to read when the stream is empty
+    spark.createDataFrame([], running.schema).write.parquet(f"{table}/epoch=-1")
     start_updates(running, table, checkpoint, availableNow=True).awaitTermination()
     return latest(spark, table, keys)
 
@@ -145,5 +147,6 @@ def run_append(finished: DataFrame) -> DataFrame:
     """Take all input there is, then return the rows that are final."""
     spark = finished.sparkSession
     table, checkpoint = fresh_path(spark, "final"), fresh_path(spark, "state")
+    spark.createDataFrame([], finished.schema).write.parquet(table)  # the stream may be empty
     start_append(finished, table, checkpoint, availableNow=True).awaitTermination()
     return spark.read.schema(finished.schema).parquet(table)

@@ -2,7 +2,8 @@
 
 import re
 
-from broadsheet.settings import MATRIX_WIDTH
+from broadsheet.settings import PROFILE_PARTS
+from broadsheet.testbed.views import HAN, LETTERS
 
 PARTS = {
     "news": """
@@ -46,15 +47,21 @@ PARTS = {
     "top": "SELECT * FROM best WHERE rank <= 50",
     "words": "SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_id FROM (SELECT DISTINCT term FROM top)",
     "sparse_cells": "SELECT news_id, term_id, n FROM top JOIN words USING (term)",
-    "common": f"""
-        SELECT term, row_number() OVER (ORDER BY df DESC, term) - 1 AS term_id
-        FROM (SELECT term, count(*) AS df FROM top GROUP BY term ORDER BY df DESC, term LIMIT {MATRIX_WIDTH})""",
-    "positions": f"SELECT unnest(range({MATRIX_WIDTH})) AS term_id",
-    "dense": """
-        SELECT news_id, publish_ts, term_id, coalesce(n, 0) AS n
-        FROM news CROSS JOIN positions
-        LEFT JOIN (SELECT news_id, term_id, n FROM top JOIN common USING (term)) c
-        USING (news_id, term_id)""",
+    "han_counts": rf"""
+        SELECT news_id, term, count(*) AS n FROM (
+            SELECT news_id, unnest(CASE WHEN regexp_full_match(run, '\p{{Han}}{{2,}}')
+                THEN list_transform(range(1, length(run)), lambda i: substr(run, i, 2))
+                ELSE [run] END) AS term
+            FROM (SELECT news_id, unnest(regexp_extract_all(token, '\p{{Han}}+|[^\p{{Han}}]+')) AS run
+                  FROM (SELECT news_id, unnest(regexp_extract_all(
+                            translate(lower(content), '{LETTERS}', '{HAN}'), '[\p{{L}}\p{{N}}]+')) AS token FROM news)))
+        GROUP BY news_id, term""",
+    "han_scored": """
+        SELECT news_id, term, cast(n AS double) / n_terms
+                 * log10(cast((SELECT count(*) FROM news) AS double) / df) AS tfidf
+        FROM han_counts
+        JOIN (SELECT news_id, sum(n) AS n_terms FROM han_counts GROUP BY news_id) USING (news_id)
+        JOIN (SELECT term, count(*) AS df FROM han_counts GROUP BY term) USING (term)""",
     # profile track
     "title_tokens": r"""
         SELECT news_id, unnest(regexp_extract_all(lower(title), '[\p{L}\p{N}]+')) AS term FROM news""",
@@ -75,20 +82,25 @@ PARTS = {
     "profile": """
         SELECT user_id, term, sum(weight) AS weight FROM clicks JOIN tags USING (news_id)
         GROUP BY user_id, term""",
+    "dealt": f"""
+        SELECT *, cast('0x' || substr(md5(term), 1, 8) AS bigint) % {PROFILE_PARTS} AS part FROM profile""",
     "pairs": """
-        SELECT user_id, news_id, count(t.term) FILTER (p.term IS NOT NULL) AS n_shared,
-               coalesce(sum(p.weight + t.weight) FILTER (p.term IS NOT NULL), 0) AS shared
-        FROM (SELECT DISTINCT user_id FROM profile) u
-        CROSS JOIN tags t LEFT JOIN profile p USING (user_id, term)
-        GROUP BY user_id, news_id""",
+        SELECT user_id, news_id, coalesce(n_shared, 0) AS n_shared, coalesce(shared, 0) AS shared
+        FROM (SELECT DISTINCT user_id FROM clicks) u CROSS JOIN (SELECT news_id FROM news) a
+        LEFT JOIN (SELECT user_id, news_id, count(*) AS n_shared, sum(p.weight + t.weight) AS shared
+                   FROM profile p JOIN tags t USING (term) GROUP BY user_id, news_id)
+        USING (user_id, news_id)""",
     "overlap": """
-        SELECT user_id, news_id, n_shared, user_tags + news_tags - 2 * n_shared AS n_differing,
-               1e-6::double + shared AS s1, user_weight + news_weight - shared AS s2, news_weight
+        SELECT user_id, news_id, n_shared,
+               coalesce(user_tags, 0) + coalesce(news_tags, 0) - 2 * n_shared AS n_differing,
+               1e-6::double + shared AS s1,
+               coalesce(user_weight, 0) + coalesce(news_weight, 0) - shared AS s2,
+               coalesce(news_weight, 0) AS news_weight
         FROM pairs
-        JOIN (SELECT user_id, sum(weight) AS user_weight, count(*) AS user_tags
-              FROM profile GROUP BY user_id) USING (user_id)
-        JOIN (SELECT news_id, sum(weight) AS news_weight, count(*) AS news_tags
-              FROM tags GROUP BY news_id) USING (news_id)""",
+        LEFT JOIN (SELECT user_id, sum(weight) AS user_weight, count(*) AS user_tags
+                   FROM profile GROUP BY user_id) USING (user_id)
+        LEFT JOIN (SELECT news_id, sum(weight) AS news_weight, count(*) AS news_tags
+                   FROM tags GROUP BY news_id) USING (news_id)""",
     "overlap_lists": """
         SELECT *, s1 / (s1 + s2) AS score, row_number() OVER (
             PARTITION BY user_id ORDER BY n_shared > 0 DESC,
@@ -194,20 +206,20 @@ PARTS["lloyd_centres_0"] = "SELECT cluster, term, cast(n AS double) AS x FROM to
 for _step in range(4):
     PARTS[f"lloyd_assigned_{_step}"] = f"""
         SELECT d.news_id, k.cluster FROM (SELECT DISTINCT news_id FROM top) d
-        CROSS JOIN (SELECT unnest(range({K})) AS cluster) k
-        LEFT JOIN (SELECT cluster, sum(x * x) AS norm FROM lloyd_centres_{_step} GROUP BY cluster) c
-            USING (cluster)
+        CROSS JOIN (SELECT cluster, sum(x * x) AS norm FROM lloyd_centres_{_step} GROUP BY cluster) k
         LEFT JOIN (SELECT news_id, cluster, sum(n * x) AS dot FROM top
                    JOIN lloyd_centres_{_step} USING (term) GROUP BY news_id, cluster) p
             USING (news_id, cluster)
         QUALIFY row_number() OVER (PARTITION BY d.news_id ORDER BY
-            round(coalesce(norm, 0) - 2 * coalesce(dot, 0), 9), k.cluster) = 1"""
+            round(norm - 2 * coalesce(dot, 0), 9), k.cluster) = 1"""
     PARTS[f"lloyd_centres_{_step + 1}"] = f"""
         SELECT cluster, term, sum(n) / any_value(members) AS x
         FROM top JOIN lloyd_assigned_{_step} USING (news_id)
         JOIN (SELECT cluster, cast(count(*) AS double) AS members FROM lloyd_assigned_{_step}
               GROUP BY cluster) USING (cluster)
-        GROUP BY cluster, term"""
+        GROUP BY cluster, term
+        UNION ALL SELECT cluster, term, x FROM lloyd_centres_{_step}
+        WHERE cluster NOT IN (SELECT cluster FROM lloyd_assigned_{_step})"""
 
 
 def _keyword_text(source: str, key: str, term: str = "term") -> str:
@@ -252,6 +264,10 @@ BODIES = {
             SELECT 'clicks' AS source, news_id, user_id, NULL AS category FROM timed_clicks
             UNION ALL SELECT 'assignments', news_id, NULL, category FROM assignment)
         GROUP BY source, news_id""",
+    "write_table": "SELECT doc_id, lang, source, n_chars FROM documents",
+    "save_state": """
+        SELECT 'assignment' AS source, news_id, cast(category AS bigint) AS value FROM assignment
+        UNION ALL SELECT 'labels', news_id, cast(label AS bigint) FROM graded""",
     # projections and filters
     "brief_clicks": "SELECT user_id, news_id, click_ts FROM raw_log",
     "user_news_map": """
@@ -313,9 +329,10 @@ BODIES = {
         SELECT user_id, news_id, click_ts, term, round(weight, 6) AS weight
         FROM clicks JOIN tags USING (news_id)""",
     "doc_vocab_zero_fill": """
-        SELECT news_id, count(*) AS width, count(*) FILTER (n > 0) AS n_nonzero,
-               string_agg(n, ',' ORDER BY term_id) AS cells
-        FROM dense GROUP BY news_id""",
+        SELECT news_id, (SELECT count(*) FROM words) AS width,
+               coalesce(string_agg(term_id, ',' ORDER BY term_id), '') AS indices,
+               coalesce(string_agg(n, ',' ORDER BY term_id), '') AS values
+        FROM news LEFT JOIN sparse_cells USING (news_id) GROUP BY news_id""",
     "hash_to_keyword": "SELECT news_id, md5(term) AS term_hash, term, round(weight, 6) AS weight FROM tags",
     "attach_titles": """
         SELECT user_id, rank, news_id, title FROM overlap_lists JOIN news USING (news_id) WHERE rank <= 10""",
@@ -337,15 +354,12 @@ BODIES = {
     "user_keyword_profile": "SELECT user_id, term, round(weight, 6) AS weight FROM profile",
     "user_profile_map": """
         SELECT user_id, part, string_agg(term, '|' ORDER BY term) AS terms, round(sum(weight), 6) AS total
-        FROM (SELECT *, cast('0x' || substr(md5(term), 1, 8) AS bigint)
-                     % cast(ceil(count(*) OVER (PARTITION BY user_id) / 4096.0) AS bigint) AS part FROM profile)
+        FROM dealt
         GROUP BY user_id, part
         UNION ALL SELECT DISTINCT user_id, 0, '', 0.0 FROM clicks
         WHERE user_id NOT IN (SELECT user_id FROM profile)""",
     "user_profile_lines": _keyword_text(
-        """(SELECT *, cast('0x' || substr(md5(term), 1, 8) AS bigint)
-            % cast(ceil(count(*) OVER (PARTITION BY user_id) / 4096.0) AS bigint) AS part FROM profile)""",
-        "user_id, part",
+        "dealt", "user_id, part"
     ),
     "news_keyword_hashed": _keyword_text("tags", "news_id", "md5(term)"),
     "classification_accuracy": """
@@ -354,12 +368,16 @@ BODIES = {
         FROM train_predicted p JOIN graded q USING (news_id)""",
     # ranking
     "top_keywords": "SELECT news_id, term, rank, round(tfidf, 6) AS tfidf FROM top",
+    "han_keywords": """
+        SELECT news_id, term, round(tfidf, 6) AS tfidf,
+               row_number() OVER (PARTITION BY news_id ORDER BY round(tfidf, 9) DESC, term) AS rank
+        FROM han_scored QUALIFY rank <= 50""",
     "gravity_rank_in_category": """
         SELECT category, news_id, row_number() OVER (PARTITION BY category
                    ORDER BY round(gravity, 9) DESC, news_id) AS rank, round(gravity, 6) AS gravity
         FROM gravities""",
     "top10_per_user": """
-        SELECT user_id, news_id, rank FROM overlap_lists WHERE rank <= 10 AND n_shared > 0""",
+        SELECT user_id, news_id, rank FROM overlap_lists WHERE rank <= 10""",
     "user_score_order": "SELECT user_id, news_id, category, rank, round(score, 6) AS score FROM preferred",
     "first_n_keywords": "SELECT news_id, term, rank FROM best WHERE rank <= 5",
     # text scoring and recommendation
@@ -370,9 +388,9 @@ BODIES = {
     "title_body_keywords": "SELECT news_id, term, round(weight, 6) AS weight FROM tags",
     "doc_term_matrix": "SELECT news_id, term_id, n FROM sparse_cells",
     "doc_term_dense": """
-        SELECT news_id, news_id || '|' || epoch_ms(publish_ts) || ' '
-               || string_agg(n, ' ' ORDER BY term_id) AS line
-        FROM dense GROUP BY news_id, publish_ts""",
+        SELECT news_id, concat_ws(' ', news_id || '|' || epoch_ms(publish_ts), (SELECT count(*) FROM words),
+                                  string_agg(term_id || ':' || n, ' ' ORDER BY term_id)) AS line
+        FROM news LEFT JOIN sparse_cells USING (news_id) GROUP BY news_id, publish_ts""",
     "doc_term_binary": "SELECT news_id, term_id, 1 AS cell FROM sparse_cells WHERE n = 1",
     "new_doc_matrix": "SELECT news_id, term_id, n FROM new_top JOIN train_words USING (term)",
     "gravity_score": "SELECT category, news_id, votes, age_h, round(gravity, 6) AS gravity FROM gravities",
@@ -391,7 +409,6 @@ BODIES = {
         SELECT user_id, news_id, round(score, 6) AS score,
                row_number() OVER (PARTITION BY user_id ORDER BY rank) AS rank
         FROM overlap_lists ANTI JOIN clicks USING (user_id, news_id)
-        WHERE n_shared > 0
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rank) <= 10""",
     "overlap_counts": """
         SELECT user_id, news_id, n_shared, n_differing, round(s1, 6) AS s1, round(s2, 6) AS s2

@@ -71,6 +71,13 @@ def _profile_and_tags(spark, sf):
     return _stored_profile(spark, sf, tags), tags
 
 
+def _overlap_lists(spark, sf, read=None):
+    """Lists of all readers over all articles, also those without keywords."""
+    return ranking.recommend_by_overlap(
+        *_profile_and_tags(spark, sf), read=read, articles=views.news(spark, sf), users=views.clicks(spark, sf)
+    )
+
+
 def _category_counts(spark, sf):
     return profiles.user_category_counts(
         views.timed_clicks(spark, sf), views.assignment(spark, sf)
@@ -195,6 +202,27 @@ def union_tagged_sources(spark, sf):
     )
 
 
+@query
+def write_table(spark, sf):
+    """A table written over another."""
+    documents = views.table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    path = fresh_path(spark, "table")
+    tables.write_table(documents.where("lang IS NOT NULL"), path)
+    tables.write_table(documents, path)
+    return spark.read.parquet(path)
+
+
+@query
+def save_state(spark, sf):
+    """Two tables of a model, kept and loaded."""
+    folder = fresh_path(spark, "model")
+    tables.save_state({"assignment": views.assignment(spark, sf), "labels": views.labels(spark, sf)}, folder)
+    kept = tables.load_state(spark, folder, ["assignment", "labels"])
+    kinds = [kept["assignment"].withColumnRenamed("category", "value"), kept["labels"].withColumnRenamed("label", "value")]
+    named = tables.tagged_union({"assignment": kinds[0], "labels": kinds[1]})
+    return named.select("source", "news_id", F.col("value").cast("bigint").alias("value"))
+
+
 # --- projections and filters ----------------------------------------------------------
 
 
@@ -359,22 +387,15 @@ def clicks_join_keywords(spark, sf):
     )
 
 
-def _frequent_cells(spark, sf):
-    top = _stored_top(spark, sf)
-    return matrix.doc_term_matrix(top, matrix.frequent_vocabulary(top))
-
-
 @query
 def doc_vocab_zero_fill(spark, sf):
-    all_news = views.news(spark, sf).select("news_id")
-    filled = matrix.zero_filled(all_news, _frequent_cells(spark, sf))
-    cells = F.col("cells")
-    return filled.select(
-        "news_id",
-        F.size(cells).cast("bigint").alias("width"),
-        F.size(F.filter(cells, lambda n: n > 0)).cast("bigint").alias("n_nonzero"),
-        F.array_join(cells.cast("array<string>"), ",").alias("cells"),
+    top = _stored_top(spark, sf)
+    words = stored(matrix.vocabulary(top), "vocabulary")
+    filled = matrix.zero_filled(
+        views.news(spark, sf).select("news_id"), matrix.doc_term_matrix(top, words), words
     )
+    texts = [F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("indices", "values")]
+    return filled.select("news_id", "width", *texts)
 
 
 @query
@@ -388,7 +409,7 @@ def hash_to_keyword(spark, sf):
 
 @query
 def attach_titles(spark, sf):
-    lists = ranking.recommend_by_overlap(*_profile_and_tags(spark, sf))
+    lists = _overlap_lists(spark, sf)
     return ranking.attach_titles(lists, views.news(spark, sf)).select(
         "user_id", "rank", "news_id", "title"
     )
@@ -507,7 +528,7 @@ def gravity_rank_in_category(spark, sf):
 
 @query
 def top10_per_user(spark, sf):
-    lists = ranking.recommend_by_overlap(*_profile_and_tags(spark, sf), pad=False)
+    lists = _overlap_lists(spark, sf)
     return lists.select("user_id", "news_id", "rank")
 
 
@@ -523,6 +544,13 @@ def first_n_keywords(spark, sf):
     return keywords.first_keywords(_scored(spark, sf)).select("news_id", "term", "rank")
 
 
+@query
+def han_keywords(spark, sf):
+    """Keywords of texts without spaces between words: letters become Han characters."""
+    scored = keywords.article_tfidf(views.han_news(spark, sf), split=text_functions.terms_with_bigrams)
+    return keywords.top_keywords(scored).select("news_id", "term", "rank", r6("tfidf"))
+
+
 # --- text scoring and recommendation ------------------------------------------------------------------------
 
 
@@ -557,7 +585,9 @@ def doc_term_matrix(spark, sf):
 
 @query
 def doc_term_dense(spark, sf):
-    return matrix.dense_lines(views.news(spark, sf), _frequent_cells(spark, sf))
+    top = _stored_top(spark, sf)
+    words = stored(matrix.vocabulary(top), "vocabulary")
+    return matrix.sparse_lines(views.news(spark, sf), matrix.doc_term_matrix(top, words), words)
 
 
 @query
@@ -600,7 +630,7 @@ def recommend_new_articles(spark, sf):
 
 @query
 def recommend_by_overlap(spark, sf):
-    return ranking.recommend_by_overlap(*_profile_and_tags(spark, sf)).select(
+    return _overlap_lists(spark, sf).select(
         "user_id", "news_id", "rank", r6("score")
     )
 
@@ -608,9 +638,7 @@ def recommend_by_overlap(spark, sf):
 @query
 def recommend_unread_by_overlap(spark, sf):
     read = views.clicks(spark, sf).select("user_id", "news_id").distinct()
-    return ranking.recommend_by_overlap(
-        *_profile_and_tags(spark, sf), read=read
-    ).select("user_id", "news_id", "rank", r6("score"))
+    return _overlap_lists(spark, sf, read).select("user_id", "news_id", "rank", r6("score"))
 
 
 @query

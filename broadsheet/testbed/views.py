@@ -46,6 +46,15 @@ def news(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+HAN = "".join(chr(0x4E00 + i) for i in range(len(LETTERS)))
+
+
+def han_news(spark: SparkSession, sf: str) -> DataFrame:
+    """The articles with a Han character in place of each Latin letter."""
+    return news(spark, sf).withColumn("content", F.translate(F.lower("content"), LETTERS, HAN))
+
+
 def _as_clicks(events: DataFrame) -> DataFrame:
     return events.where(F.col("event_type").isin("click", "view")).select(
         "user_id",

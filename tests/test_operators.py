@@ -115,17 +115,22 @@ def test_vocabulary_is_numbered_in_term_order(cells, rows):
     assert rows(matrix.vocabulary(cells), "term_id", "term") == [(0, "a"), (1, "b"), (2, "c"), (3, "zz")]
 
 
-def test_zero_filled_rows(frame, cells):
+def test_rows_over_the_whole_vocabulary(frame, cells):
     docs = frame([(i,) for i in (1, 2, 3)], "news_id long")
     words = matrix.vocabulary(cells)
-    filled = matrix.zero_filled(docs, matrix.doc_term_matrix(cells, words), 5)
-    assert {r["news_id"]: r["cells"] for r in filled.collect()} == {
-        1: [2, 0, 1, 0, 0], 2: [0, 1, 3, 0, 0], 3: [0, 0, 0, 0, 0],
+    filled = matrix.zero_filled(docs, matrix.doc_term_matrix(cells, words), words)
+    assert {r["news_id"]: (r["width"], r["indices"], r["values"]) for r in filled.collect()} == {
+        1: (4, [0, 2], [2, 1]), 2: (4, [1, 2], [1, 3]), 3: (4, [], []),
     }
 
 
-def test_frequent_vocabulary(cells, rows):
-    assert rows(matrix.frequent_vocabulary(cells, 2), "term_id", "term") == [(0, "c"), (1, "a")]
+def test_no_keyword_is_cut_from_a_wide_vocabulary(frame, at):
+    cells = frame([(d, f"t{d}-{i}", i + 1) for d in range(60) for i in range(50)], "news_id long, term string, n long")
+    docs = frame([(d, at(d)) for d in range(60)], "news_id long, publish_ts timestamp_ntz")
+    words = matrix.vocabulary(cells)
+    lines = matrix.sparse_lines(docs, matrix.doc_term_matrix(cells, words), words).collect()
+    assert all(r["line"].split(" ")[1] == "3000" for r in lines)
+    assert sum(int(pair.split(":")[1]) for r in lines for pair in r["line"].split(" ")[2:]) == 60 * 51 * 25
 
 
 def test_known_and_unknown_terms_part_the_cells(cells, frame, rows):
@@ -175,14 +180,14 @@ def test_profile_sums_over_clicks_and_keeps_users_without_keywords(frame, at):
     assert {r["user_id"]: r["profile"] for r in maps.collect()} == {1: {"a": 2.0, "b": 0.5}, 2: {}}
 
 
-def test_long_profiles_are_cut_in_parts(frame):
-    profile = frame([(1, f"t{i}", 1.0) for i in range(100)] + [(2, "x", 1.0)], "user_id long, term string, weight double")
-    maps = profiles.profile_maps(profile, part_terms=10).collect()
+def test_profiles_are_dealt_over_the_same_parts_for_all_users(frame):
+    profile = frame([(1, f"t{i}", 1.0) for i in range(100)] + [(2, "t7", 1.0)], "user_id long, term string, weight double")
     parts = defaultdict(dict)
-    for r in maps:
+    for r in profiles.profile_maps(profile, parts=10).collect():
         parts[r["user_id"]][r["part"]] = r["profile"]
     assert len(parts[1]) > 5 and sum(map(len, parts[1].values())) == 100
-    assert parts[2] == {0: {"x": 1.0}}
+    ((part, only),) = parts[2].items()
+    assert only == {"t7": 1.0} and "t7" in parts[1][part]
 
 
 def test_half_life_and_slot_boost(frame, at):
@@ -275,9 +280,22 @@ def test_overlap_lists_equal_brute_force(frame, monkeypatch, small):
 
 def test_read_articles_can_be_left_out(frame, rows):
     profile = frame(as_rows({1: {"a": 1.0}}), "user_id long, term string, weight double")
-    tags = frame(as_rows({5: {"a": 1.0}, 6: {"a": 2.0}}), TAGS)
-    read = frame([(1, 6)], "user_id long, news_id long")
-    assert rows(ranking.recommend_by_overlap(profile, tags, read=read), "news_id", "rank") == [(5, 1)]
+    tags = frame(as_rows({5: {"a": 1.0}, 6: {"a": 2.0}, 7: {"b": 3.0}}), TAGS)
+    read = frame([(1, 6), (1, 6), (2, 5)], "user_id long, news_id long")
+    got = ranking.recommend_by_overlap(profile, tags, read=read)
+    assert rows(got, "news_id", "rank") == [(5, 1), (7, 2)]
+
+
+def test_lists_of_empty_profiles_and_articles_without_keywords(frame, rows):
+    profile = frame(as_rows({1: {"a": 1.0}}), "user_id long, term string, weight double")
+    tags = frame(as_rows({5: {"a": 1.0}, 6: {"b": 2.0}, 7: {"b": 3.0}}), TAGS)
+    articles = frame([(n,) for n in (5, 6, 7, 8)], "news_id long")
+    users = frame([(1,), (2,), (2,)], "user_id long")
+    read = frame([(2, 8)], "user_id long, news_id long")
+    got = ranking.recommend_by_overlap(profile, tags, 3, read, articles, users)
+    assert rows(got, "user_id", "rank", "news_id") == [
+        (1, 1, 5), (1, 2, 8), (1, 3, 6), (2, 1, 5), (2, 2, 6), (2, 3, 7),
+    ]
 
 
 def test_lists_by_preference_equal_the_head_of_the_whole_order(frame):
@@ -340,11 +358,22 @@ def test_sparse_k_means_equals_dense_steps(frame):
         groups = nearest()
         for i in range(k):
             members = [dense[d] for d in dense if groups[d] == i]
-            centres[i] = [sum(c) / len(members) for c in zip(*members)] if members else [0.0] * len(terms)
+            centres[i] = [sum(c) / len(members) for c in zip(*members)] if members else centres[i]
     got = {r["news_id"]: r["cluster"] for r in clusters.cluster_articles(cells, k).collect()}
     assert got == nearest()
 
 
+def test_an_empty_cluster_keeps_its_centre(frame):
+    """Equal seeds leave one cluster empty; a cluster that never had a seed takes nobody."""
+    cells = frame([(d, "a", 1) for d in range(38)] + [(99, "b", 5)], "news_id long, term string, n long")
+    seeded = {r["news_id"] for r in clusters.seeds(cells.select("news_id").distinct(), "news_id", 2).collect()}
+    assert 99 not in seeded
+    got = {r["news_id"]: r["cluster"] for r in clusters.cluster_articles(cells, 2).collect()}
+    assert set(got.values()) == {0}
+    few = {r["news_id"]: r["cluster"] for r in clusters.cluster_articles(cells.where("news_id > 36"), 5).collect()}
+    assert len(few) == 2 and set(few.values()) == {0, 1}
+
+
 def test_label_index(frame, rows):
     labels = frame([(1, "b"), (2, "a"), (3, "b")], "news_id long, label string")
     assert rows(bayes.label_index(labels), "index", "label") == [(0, "a"), (1, "b")]

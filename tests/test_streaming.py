@@ -93,3 +93,11 @@ def test_a_stopped_stream_goes_on_where_it_was(spark, feed, tags, at, tmp_path,
     got = streams.latest(spark, table, ["user_id", "term"])
     want = profiles.keyword_profile(batch, tags)
     assert rows(got, "user_id", "term", "weight") == rows(want, "user_id", "term", "weight")
+
+
+def test_a_stream_without_input_gives_no_rows(spark, frame, tmp_path):
+    (tmp_path / "empty").mkdir()
+    feed = spark.readStream.schema(CLICKS).parquet(str(tmp_path / "empty"))
+    tags = frame([(5, "a", 1.0)], "news_id long, term string, weight double")
+    assert streams.run_updates(streams.profile_stream(feed, tags), ["user_id", "term"]).collect() == []
+    assert streams.run_append(streams.daily_click_stream(feed)).collect() == []
