@@ -2,7 +2,7 @@
 
 Large-star and small-star steps in turn: every node's larger neighbours are
 hung on the smallest node it sees, then its smaller ones. Links only shrink
-towards stars, so few rounds do. The smallest neighbour comes from an aggregate
+towards stars, and rounds end when all are stars. The smallest neighbour comes from an aggregate
 that is combined before its shuffle, and links of a node with very many are
 dealt over salts. Each round is a written table, which cuts the lineage.
 """
@@ -25,22 +25,26 @@ def _hang(links: DataFrame, kept: DataFrame) -> DataFrame:
     return hung.select(F.col("b").alias("a"), F.col("_least").alias("b")).where("a <> b")
 
 
+def _flat(links: DataFrame) -> bool:
+    """Whether every node hangs on one other only, which hangs on none."""
+    ends = links.select("a", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("a"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("a").agg((F.sum("up") + F.max("down")).alias("ends"))
+    return nodes.agg(F.count_if(F.col("ends") > 1)).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and component (its smallest node) for every node in ``links`` (a, b)."""
     links = stored(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links"
     )
-    before = None
-    while True:
+    while not _flat(links):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = stored(_hang(both, both.where("b > a")).distinct(), "links")
         # small star: a > b in every link now; the node itself hangs on the smallest too
         own = _least(large).select("a", F.col("_least").alias("b"))
         links = stored(_hang(large, large).unionByName(own).where("a <> b").distinct(), "links")
-        now = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == before:
-            break
-        before = now
     tops = links.select(F.col("b").alias("node")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         tops.select("node", F.col("node").alias("component"))
