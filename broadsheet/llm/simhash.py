@@ -10,8 +10,8 @@ has up to 18 keys, (exact segment, codeword of the next segment), and each link
 shows in one of them.
 
 Equal fingerprints are one row from the start. Keys are shuffled, not pairs;
-within a key, links are verified and only a forest that spans them is kept, so
-a key of n fingerprints gives at most n - 1 rows. Where a key has many
+links are verified within a key, and of a task's batch of whole keys only a
+forest that spans them is kept, so n fingerprints give at most n - 1 rows. Where a key has many
 fingerprints, links are found through the words one bit away from each instead
 of by comparing pairs.
 
@@ -172,9 +172,10 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def work(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
         left, right = _linked(keys, prints)
-        label = _spanning(len(keys), left, right)
-        hung = np.flatnonzero(label != np.arange(len(keys)))
-        columns = [prints[hung].view(np.int64), prints[label[hung]].view(np.int64)]
+        nodes, node = np.unique(prints, return_inverse=True)  # a fingerprint under several keys is one node
+        label = _spanning(len(nodes), node[left], node[right])
+        hung = np.flatnonzero(label != np.arange(len(nodes)))
+        columns = [nodes[hung].view(np.int64), nodes[label[hung]].view(np.int64)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b"])
 
     for batch in batches:
