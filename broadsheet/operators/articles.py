@@ -7,9 +7,9 @@ from broadsheet.functions.times import epoch_millis, parse_publish_time
 
 
 def brief_clicks(log: DataFrame) -> DataFrame:
-    """Who clicked what when."""
+    """Who clicked what when; an id that is no number is null."""
     return log.select(
-        *[F.trim(F.col(c).cast("string")).cast("bigint").alias(c) for c in ("user_id", "news_id")],
+        *[F.trim(F.col(c).cast("string")).try_cast("bigint").alias(c) for c in ("user_id", "news_id")],
         "click_ts",
     )
 

@@ -146,6 +146,13 @@ def decayed_profile(
     return _weigh(clicks, keywords, F.sum(faded))
 
 
+def merged_profile(trained: DataFrame, updates: DataFrame) -> DataFrame:
+    """A trained profile and the sums of the clicks since then as one profile."""
+    columns = ["user_id", "term", "weight"]
+    both = trained.select(*columns).unionByName(updates.select(*columns))
+    return both.groupBy("user_id", "term").agg(F.sum("weight").alias("weight"))
+
+
 def user_hours(clicks: DataFrame, slot_hours: int = SLOT_HOURS) -> DataFrame:
     """When users read: share of clicks per slot of the day."""
     counted = clicks.groupBy(

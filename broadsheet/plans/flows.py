@@ -14,8 +14,8 @@ from broadsheet.plans.storage import stored
 from broadsheet.settings import CLUSTERS, LIST_LENGTH
 from broadsheet.sources.tables import load_state, save_state
 
-PROFILE_TABLES = ["articles", "tags", "dictionary", "profiles"]
-CATEGORY_TABLES = ["assignment", "terms", "classes"]
+PROFILE_TABLES = ["articles", "tags", "dictionary", "profiles", "split"]
+CATEGORY_TABLES = ["assignment", "terms", "classes", "split"]
 
 
 def article_list(log: DataFrame) -> DataFrame:
@@ -71,7 +71,47 @@ def recommend_from_profiles(
     the readers; without it all that have a profile get a list.
     """
     prepare(spark)
-    profile = load_state(spark, folder, ["profiles"])["profiles"]
+    return _lists(spark, folder, load_state(spark, folder, ["profiles"])["profiles"], candidates, users, n)
+
+
+def recommend_after_updates(
+    spark: SparkSession,
+    folder: str,
+    updates: DataFrame,
+    candidates: DataFrame,
+    users: DataFrame | None = None,
+    n: int = LIST_LENGTH,
+) -> DataFrame:
+    """The same lists with the clicks since the training.
+
+    ``updates`` (user, term, weight) are the running sums of a stream over the
+    kept ``tags``, as ``streaming.clicks.latest`` reads them.
+    """
+    prepare(spark)
+    trained = load_state(spark, folder, ["profiles"])["profiles"]
+    profile = stored(profiles.merged_profile(trained, updates), "merged")
+    return _lists(spark, folder, profile, candidates, users, n)
+
+
+def recommend_for_session(
+    spark: SparkSession,
+    folder: str,
+    log: DataFrame,
+    candidates: DataFrame,
+    as_of: Column,
+    users: DataFrame | None = None,
+    n: int = LIST_LENGTH,
+) -> DataFrame:
+    """Lists for one moment: what users read in its time slot weighs more."""
+    prepare(spark)
+    tags = load_state(spark, folder, ["tags"])["tags"]
+    boosted = profiles.slot_boosted_profile(articles.brief_clicks(log), tags, as_of)
+    return _lists(spark, folder, stored(boosted, "boosted"), candidates, users, n)
+
+
+def _lists(
+    spark: SparkSession, folder: str, profile: DataFrame, candidates: DataFrame, users: DataFrame | None, n: int
+) -> DataFrame:
     if users is not None:
         profile = profile.join(users.select("user_id").distinct(), "user_id", "left_semi")
     news = stored(article_list(candidates), "candidates")
@@ -142,3 +182,15 @@ def recommend_from_categories(
     shares = stored(preferences(log, assignment), "shares")
     scored = stored(ranking.gravity_scores(assignment, as_of), "gravity")
     return ranking.recommend_by_preference(shares, scored, n)
+
+
+def recommend_new(
+    spark: SparkSession, folder: str, log: DataFrame, candidates: DataFrame, as_of: Column, n: int = LIST_LENGTH
+) -> DataFrame:
+    """The ``n`` best new articles of every user: classified first, then by preference and gravity."""
+    prepare(spark)
+    assignment = load_state(spark, folder, ["assignment"])["assignment"]
+    shares = stored(preferences(log, assignment), "shares")
+    new = stored(classify_new(spark, folder, candidates), "classified")
+    scored = stored(ranking.gravity_scores(new, as_of), "gravity")
+    return ranking.recommend_by_preference(shares, scored, n)

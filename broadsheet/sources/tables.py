@@ -1,4 +1,8 @@
-"""Reading and writing the text tables and the model tables."""
+"""Reading and writing the text tables and the model tables.
+
+A field that should be a number and is none is read as null; no bad line ends
+a job.
+"""
 
 from collections.abc import Mapping
 
@@ -91,8 +95,8 @@ def read_assignments(spark: SparkSession, path: str) -> DataFrame:
     raw = _read_tsv(spark, path, ASSIGNMENTS)
     key = F.col("article_key")
     return raw.select(
-        key_part(key, 1).cast("bigint").alias("news_id"),
-        F.timestamp_millis(key_part(key, 2).cast("bigint")).cast("timestamp_ntz").alias("publish_ts"),
+        key_part(key, 1).try_cast("bigint").alias("news_id"),
+        F.timestamp_millis(key_part(key, 2).try_cast("bigint")).cast("timestamp_ntz").alias("publish_ts"),
         "category",
     )
 
@@ -137,7 +141,7 @@ def parse_keyword_lines(lines: DataFrame, key: str = "news_id") -> DataFrame:
         .select(
             key,
             F.trim(F.col("pair")[0]).alias("term"),
-            F.trim(F.col("pair")[1]).cast("double").alias("weight"),
+            F.trim(F.col("pair")[1]).try_cast("double").alias("weight"),
         )
     )
 

@@ -454,6 +454,15 @@ BODIES = {
         FROM clicks GROUP BY day, slot
         HAVING day + 1 <= (SELECT max(click_ts) - INTERVAL 1 HOUR FROM clicks)""",
 }
+PARTS["boosted_profile"] = """
+        SELECT user_id, term, CASE WHEN boosted THEN weight * 1.1::double ELSE weight END AS weight
+        FROM (SELECT user_id, term, sum(weight) AS weight, bool_or(floor(hour(click_ts) / 4) = 0) AS boosted
+              FROM clicks JOIN tags USING (news_id) GROUP BY user_id, term)"""
+for _part in ("pairs", "overlap", "overlap_lists"):  # the same lists from the boosted profile
+    PARTS[f"boosted_{_part}"] = re.sub(r"\b(profile|pairs|overlap)\b", r"boosted_\1", PARTS[_part])
+BODIES["recommend_for_session"] = """
+        SELECT user_id, news_id, rank, round(score, 6) AS score FROM boosted_overlap_lists WHERE rank <= 10"""
+BODIES["recommend_after_updates"] = BODIES["recommend_by_overlap"]
 BODIES["stream_user_profile"] = BODIES["user_keyword_profile"]
 BODIES["stream_decayed_profile"] = BODIES["decayed_profile"]
 BODIES["stream_category_counts"] = BODIES["user_category_counts"]

@@ -641,6 +641,32 @@ def recommend_unread_by_overlap(spark, sf):
     return _overlap_lists(spark, sf, read).select("user_id", "news_id", "rank", r6("score"))
 
 
+def _lists_of(spark, sf, profile, tags):
+    lists = ranking.recommend_by_overlap(
+        profile, tags, articles=views.news(spark, sf), users=views.clicks(spark, sf)
+    )
+    return lists.select("user_id", "news_id", "rank", r6("score"))
+
+
+@query
+def recommend_for_session(spark, sf):
+    """Slot boost, then overlap, then ten articles."""
+    tags = _stored_tags(spark, sf)
+    boosted = profiles.slot_boosted_profile(views.clicks(spark, sf), tags, views.as_of())
+    return _lists_of(spark, sf, stored(boosted, "boosted"), tags)
+
+
+@query
+def recommend_after_updates(spark, sf):
+    """A profile of the earlier clicks, with the later ones from a stream."""
+    tags = _stored_tags(spark, sf)
+    late = F.col("click_ts") >= F.expr(views.LATE_CLICKS)
+    trained = profiles.keyword_profile(views.clicks(spark, sf).where(~late), tags)
+    running = streams.profile_stream(views.click_stream(spark, sf).where(late), tags)
+    updates = streams.run_updates(running, ["user_id", "term"])
+    return _lists_of(spark, sf, stored(profiles.merged_profile(trained, updates), "merged"), tags)
+
+
 @query
 def overlap_counts(spark, sf):
     return ranking.overlap_counts(*_profile_and_tags(spark, sf)).select(

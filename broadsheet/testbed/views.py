@@ -7,6 +7,7 @@ from broadsheet.plans.skew import salted_join
 from broadsheet.settings import NULL_TEXT, PUBLISH_PATTERN_OUT
 
 AS_OF = "timestamp_ntz'2024-01-31 00:00:00'"
+LATE_CLICKS = "timestamp_ntz'2024-01-16 00:00:00'"
 STREAM_START = "timestamp_ntz'2024-01-01 00:00:00'"
 
 

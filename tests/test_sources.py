@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from broadsheet.operators import articles, profiles
 from broadsheet.plans import flows
 from broadsheet.sources import tables
 
@@ -101,6 +102,42 @@ def test_profile_flow(spark, log, tmp_path, rows, frame):
     assert everyone.groupBy("user_id").count().where("count <> 5").count() == 0
 
 
+def test_lists_with_later_clicks_equal_those_of_all_clicks(spark, log, tmp_path, rows):
+    first, whole = str(tmp_path / "first"), str(tmp_path / "whole")
+    flows.train_profiles(log, whole)
+    tags = flows.train_profiles(log, first)["tags"]
+    later = F.col("user_id") == 2
+    profiles.keyword_profile(articles.brief_clicks(log.where(~later)), tags).write.mode("overwrite").parquet(f"{first}/profiles")
+    updates = profiles.keyword_profile(articles.brief_clicks(log.where(later)), tags)
+    columns = ["user_id", "rank", "news_id"]
+    expected = rows(flows.recommend_from_profiles(spark, whole, log), *columns)
+    assert rows(flows.recommend_after_updates(spark, first, updates, log), *columns) == expected
+
+
+def test_session_flow_boosts_what_was_read_in_the_slot(spark, log, tmp_path, at):
+    folder = str(tmp_path / "model")
+    tags = flows.train_profiles(log, folder)["tags"]
+    now = F.lit(at(40)).cast("timestamp_ntz")
+    lists = flows.recommend_for_session(spark, folder, log, log, now, n=3)
+    assert lists.groupBy("user_id").count().where("count <> 3").count() == 0
+    boosted = profiles.slot_boosted_profile(articles.brief_clicks(log), tags, now)
+    plain = flows.ranking.recommend_by_overlap(boosted, tags, 3, articles=flows.article_list(log))
+    key = lambda r: (r["user_id"], r["rank"], r["news_id"])
+    assert sorted(map(key, lists.collect())) == sorted(map(key, plain.collect()))
+
+
+def test_lines_with_bad_numbers_become_nulls(spark, frame, tmp_path):
+    path = str(tmp_path / "lines")
+    frame([("x|y\t3",), ("5|0\t4",)], "value string").write.text(path)
+    read = tables.read_assignments(spark, path)
+    assert sorted((r["news_id"] or 0, r["category"]) for r in read.collect()) == [(0, 3), (5, 4)]
+    lines = frame([(1, "a:0.5|b:heavy|")], "news_id long, keywords string")
+    found = {r["term"]: r["weight"] for r in tables.parse_keyword_lines(lines).collect()}
+    assert found == {"a": 0.5, "b": None}
+    log = frame([("1", "one", None)], "user_id string, news_id string, click_ts timestamp_ntz")
+    assert [tuple(r) for r in articles.brief_clicks(log).collect()] == [(1, None, None)]
+
+
 def test_category_flow(spark, log, tmp_path, at):
     folder = str(tmp_path / "model")
     model = flows.train_categories(log, folder, k=2)
@@ -109,3 +146,6 @@ def test_category_flow(spark, log, tmp_path, at):
     now = F.lit(at(40)).cast("timestamp_ntz")
     lists = flows.recommend_from_categories(log, model["assignment"], now, 3)
     assert {r["user_id"] for r in lists.collect()} == {1, 2, 3, 4}
+    new = flows.recommend_new(spark, folder, log, log, now, 2)
+    assert {r["user_id"] for r in new.collect()} == {1, 2, 3, 4}
+    assert new.where("rank > 2").count() == 0
