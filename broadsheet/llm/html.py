@@ -2,9 +2,11 @@
 
 Tags are cut by the standard library's tokeniser. A tree builder applies the
 implied tags: an open paragraph ends before a block, list items, options,
-table rows and cells end before their next; end tags close what they find open
-within their table cell or list, and are ignored otherwise. Whatever is open at
-the end of the page is closed. Elements that are never shown, and those hidden
+table rows and cells end before their next, the head before what may not stand
+in it; a cell or row that starts directly in a table or table section gets its
+row and section; end tags close what they find open within their table cell or
+list, and are ignored otherwise. Whatever is open at the end of the page is
+closed. Elements that are never shown, and those hidden
 by attribute or inline style, are skipped with all they hold.
 
 The renderer collapses white space outside of preformatted text, puts blocks on
@@ -38,12 +40,15 @@ BLOCKS = frozenset(
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table ul ol dl figure".split())
 TABLE_PARTS = frozenset("tr td th thead tbody tfoot caption colgroup".split())
+#: what may stand in a head
+IN_HEAD = frozenset("base link meta title style script noscript template noframes".split())
 #: an open element ends before one of these begins
 ENDS_BEFORE = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"}, "optgroup": {"optgroup"},
     "td": {"td", "th", "tr", "thead", "tbody", "tfoot"}, "th": {"td", "th", "tr", "thead", "tbody", "tfoot"},
     "tr": {"tr", "thead", "tbody", "tfoot"}, "thead": {"tbody", "tfoot"}, "tbody": {"tbody", "tfoot"},
-    "tfoot": {"tbody"}, "caption": {"tr", "thead", "tbody", "tfoot", "td", "th"}, "colgroup": {"tr", "thead", "tbody", "tfoot"},
+    "tfoot": {"tbody"}, "caption": {"tr", "thead", "tbody", "tfoot", "td", "th"},
+    "colgroup": {"tr", "thead", "tbody", "tfoot", "td", "th"},
     "rt": {"rt", "rp"}, "rp": {"rt", "rp"}, "head": {"body"},
     **{h: {"h1", "h2", "h3", "h4", "h5", "h6"} for h in ("h1", "h2", "h3", "h4", "h5", "h6")},
 }
@@ -81,14 +86,18 @@ class TreeBuilder(HTMLParser):
             return
         if tag in BLOCKS or tag in TABLE_PARTS:
             self._end("p", BLOCKS - {"p"})
-            if self.open[-1].tag == "head" and tag != "head":
-                self.open.pop()
+        if self.open[-1].tag == "head" and tag not in IN_HEAD:
+            self.open.pop()
         self._imply(tag)
+        if tag in ("tr", "td", "th"):
+            self._imply_rows(tag)
+        self._put(Node(tag, dict(attrs)), tag not in VOID)
+
+    def _put(self, node: Node, left_open: bool) -> None:
         while len(self.open) >= DEEPEST:
             self.open.pop()
-        node = Node(tag, dict(attrs))
         self.open[-1].children.append(node)
-        if tag not in VOID:
+        if left_open:
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
@@ -129,10 +138,24 @@ class TreeBuilder(HTMLParser):
             if tag in ENDS_BEFORE.get(name, ()):
                 del self.open[at:]
                 return self._imply(tag)
-            if name in ("table", "ul", "ol", "dl", "menu", "select") or (name in SCOPES and tag not in TABLE_PARTS):
+            if name in ("table", "ul", "ol", "dl", "menu", "select", "template") or (name in SCOPES and tag not in TABLE_PARTS):
                 return None
         return None
 
+    def _imply_rows(self, tag: str) -> None:
+        """The section and row of a cell or row that starts in a table without them."""
+        for at in range(len(self.open) - 1, 0, -1):
+            name = self.open[at].tag
+            if name in ("td", "th", "caption", "template"):
+                return
+            if name in ("table", "thead", "tbody", "tfoot", "tr"):
+                del self.open[at + 1 :]  # what stands outside of cells ends before them
+                if name == "table":
+                    self._put(Node("tbody"), True)
+                if name != "tr" and tag != "tr":
+                    self._put(Node("tr"), True)
+                return
+
 
 def parsed(page: str) -> Node:
     builder = TreeBuilder()
@@ -334,7 +357,7 @@ def _outside_cells(node: Node, out: Layout) -> None:
             continue
         elif child.tag in ("thead", "tbody", "tfoot", "tr"):
             _outside_cells(child, out)
-        elif child.tag not in ("td", "th"):
+        elif child.tag not in ("td", "th") or node.tag != "tr":  # at the greatest depth, cells have no row
             render(child, out)
     out.end()
 

@@ -163,3 +163,32 @@ def test_language_cases(frame, rows):
     found = rows(language.predicted(docs).where("doc_id < 3"), "doc_id", "lang_pred", "score")
     assert found == [(1, "und", 0.0), (2, "und", 0.0)]
     assert language.predicted(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<table><td>A<td>B</table>", "A  B"),
+        ("<table><thead><th>A</th></thead><tbody><td>b<tr><td>c</table>tail", "A\nb\nc\n\ntail"),
+        ("<table><tr><td>a</td></tr><td>b</td><th>c</th><tfoot><td>d</table>", "a\nb  c\nd"),
+        ("<table><colgroup><col><td>A</table>", "A"),
+        ("<table><tr><div>before<td>A</table>", "before\nA"),
+        ("<table><td>A<table><td>in</table>B<td>C</table>", "A   C\n\nin\n\nB"),
+    ],
+)
+def test_cells_without_rows(page, text):
+    assert html.page_text(page) == text
+
+
+def test_cells_at_any_depth():
+    for depth in range(html.DEEPEST - 8, html.DEEPEST + 3):
+        for rows in ("<td>one<td>two", "<tr><td>one<td>two", "<tbody><tr><th>one<tr><td>two"):
+            text = html.page_text("<div>" * depth + f"<table>{rows}</table>")
+            assert "one" in text and "two" in text
+
+
+@pytest.mark.parametrize("tag", ["a", "span", "x-card", "b", "img alt=see", "label", "basefont"])
+def test_head_ends_before_what_may_not_stand_in_it(tag):
+    page = f"<head><meta charset=utf-8><title>T</title><{tag}>text<p>more"
+    assert html.page_text(page) in ("text\n\nmore", "seetext\n\nmore")
+    assert html.page_title(html.parsed(page)) == "T"
