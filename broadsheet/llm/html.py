@@ -6,13 +6,16 @@ table rows and cells end before their next, the head before what may not stand
 in it; a cell or row that starts directly in a table or table section gets its
 row and section; end tags close what they find open within their table cell or
 list, and are ignored otherwise. Whatever is open at the end of the page is
-closed. Elements that are never shown, and those hidden
-by attribute or inline style, are skipped with all they hold.
+closed. SVG and MathML keep their own rules: a slash closes their elements, and
+an HTML element that may not stand in them ends them. Elements that are never
+shown, and those hidden by attribute or inline style, are skipped with all they
+hold.
 
 The renderer collapses white space outside of preformatted text, puts blocks on
 lines of their own with a blank line around paragraphs and headings, marks list
 items with bullets or numbers, indents nested lists, and sets the cells of a
-table in aligned columns. The text of every visible node is emitted.
+table in aligned columns. The text of every visible node is emitted, that of
+SVG, formulas and all options of a select too.
 
 Null or empty pages give an empty text. Elements nest at most ``DEEPEST`` deep;
 deeper ones are laid out as children of the one at that depth.
@@ -32,13 +35,24 @@ DEEPEST = 200
 # Elements by how they are shown.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset(
-    "head title script style noscript template iframe object audio video canvas svg math select datalist".split()
+    "head title script style noscript template iframe object audio video canvas datalist".split()
+)
+#: in SVG and MathML, besides these
+NEVER_WITHIN = {"svg": frozenset("desc metadata".split()), "math": frozenset("annotation annotation-xml mphantom".split())}
+#: parts of SVG and MathML in which the rules of HTML hold
+HTML_WITHIN = {"svg": frozenset("foreignobject desc title".split()), "math": frozenset("mi mo mn ms mtext".split())}
+#: elements of HTML that end SVG and MathML
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr"
+    " ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table ul caption".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table ul ol dl figure".split())
+#: inline elements with space around them
+APART = frozenset("select option optgroup mtr mtd".split())
 TABLE_PARTS = frozenset("tr td th thead tbody tfoot caption colgroup".split())
 #: what may stand in a head
 IN_HEAD = frozenset("base link meta title style script noscript template noframes".split())
@@ -64,9 +78,14 @@ class Node:
     tag: str
     attrs: dict[str, str | None] = field(default_factory=dict)
     children: list["Node | str"] = field(default_factory=list)
+    within: str = ""  # svg or math, for these and their elements
 
     def shown(self) -> bool:
-        return self.tag not in NEVER and "hidden" not in self.attrs and not _HIDDEN.search(self.attrs.get("style") or "")
+        if self.tag in NEVER or self.tag in NEVER_WITHIN.get(self.within, ()):
+            return False
+        if self.within == "svg" and (self.attrs.get("display") == "none" or self.attrs.get("visibility") in ("hidden", "collapse")):
+            return False
+        return "hidden" not in self.attrs and not _HIDDEN.search(self.attrs.get("style") or "")
 
 
 class TreeBuilder(HTMLParser):
@@ -84,6 +103,8 @@ class TreeBuilder(HTMLParser):
             for name, value in attrs:
                 self.root.attrs.setdefault(name, value)
             return
+        if within := self._foreign(tag, attrs):
+            return self._put(Node(tag, dict(attrs), within=within), True)
         if tag in BLOCKS or tag in TABLE_PARTS:
             self._end("p", BLOCKS - {"p"})
         if self.open[-1].tag == "head" and tag not in IN_HEAD:
@@ -91,7 +112,21 @@ class TreeBuilder(HTMLParser):
         self._imply(tag)
         if tag in ("tr", "td", "th"):
             self._imply_rows(tag)
-        self._put(Node(tag, dict(attrs)), tag not in VOID)
+        self._put(Node(tag, dict(attrs), within=tag if tag in ("svg", "math") else ""), tag not in VOID)
+
+    def _foreign(self, tag: str, attrs: list[tuple[str, str | None]]) -> str:
+        """svg or math, if ``tag`` is an element of it here; ends what ``tag`` may not stand in."""
+        ends = tag in ENDS_FOREIGN or (tag == "font" and any(name in ("color", "face", "size") for name, _ in attrs))
+        while within := self.open[-1].within:
+            holder = self.open[-1]
+            if holder.tag in HTML_WITHIN[within] and tag not in ("mglyph", "malignmark"):
+                return ""
+            if holder.tag == "annotation-xml" and (tag == "svg" or "html" in (holder.attrs.get("encoding") or "").lower()):
+                return ""
+            if not ends:
+                return within
+            self.open.pop()
+        return ""
 
     def _put(self, node: Node, left_open: bool) -> None:
         while len(self.open) >= DEEPEST:
@@ -101,7 +136,9 @@ class TreeBuilder(HTMLParser):
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
+        self.handle_starttag(tag, attrs)
+        if (node := self.open[-1]).within and node.tag == tag:  # the slash means nothing in HTML
+            self.open.pop()
 
     def handle_endtag(self, tag):
         if tag == "br":
@@ -116,6 +153,10 @@ class TreeBuilder(HTMLParser):
         else:
             self._end(tag, SCOPES)
 
+    def unknown_decl(self, data):
+        if self.open[-1].within and data.startswith("CDATA["):
+            self.handle_data(data[6:])
+
     def handle_data(self, data):
         if self.open[-1].tag == "head" and data.strip():
             self.open.pop()
@@ -251,6 +292,12 @@ def render(node: Node, out: Layout, pre: bool = False) -> None:
         return out.apart()
     if tag in ("textarea", "pre"):
         pre = True
+    apart = tag in APART or (node.within == "svg" and tag == "text")
+    if apart:
+        out.space = True
+    if tag == "optgroup" or (tag == "option" and not any(c.strip() for c in node.children if isinstance(c, str))):
+        out.text(node.attrs.get("label") or "")
+        out.space = True
     block = tag in BLOCKS
     if block:
         out.apart() if tag in SPACED else out.end()
@@ -265,6 +312,8 @@ def render(node: Node, out: Layout, pre: bool = False) -> None:
     if tag == "q":
         out.space = False
         out.text('"')
+    if apart:
+        out.space = True
     if block:
         out.end()
         out.indent = outer

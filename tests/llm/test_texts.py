@@ -192,3 +192,25 @@ def test_head_ends_before_what_may_not_stand_in_it(tag):
     page = f"<head><meta charset=utf-8><title>T</title><{tag}>text<p>more"
     assert html.page_text(page) in ("text\n\nmore", "seetext\n\nmore")
     assert html.page_title(html.parsed(page)) == "T"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p><svg class=i /> text</p>more", "text\n\nmore"),
+        ("<p>a<svg><path d='M0 0'/><use href='#x'/></svg>b<math/>c<p>d", "abc\n\nd"),
+        ("<svg><title>no</title><desc>no</desc><metadata>no</metadata><text>one</text><text>two</text></svg> three", "one two three"),
+        ("<svg><text><![CDATA[a < b]]></text></svg>", "a < b"),
+        ("<svg><title/><desc/>after</svg>", "after"),
+        ("<svg><metadata><p>a paragraph ends SVG", "a paragraph ends SVG"),
+        ("<svg><foreignObject><div/>in it<p>more</foreignObject><g/><text>t</text></svg>", "in it\n\nmore\n\nt"),
+        ("<svg style='display:none'><text>no</text></svg><svg><text display=none>no</text></svg>yes", "yes"),
+        ("x <math><mi>a</mi><mo>=</mo><mn>2</mn></math> y", "x a=2 y"),
+        ("<math><semantics><mi>a</mi><annotation>no</annotation></semantics></math>b", "ab"),
+        ("Pick <select><optgroup label=G><option>one<option selected>two</optgroup><option label=three></select>now", "Pick G one two three now"),
+        ("<div/>in<p/>out", "in\n\nout"),
+        ("<table><tr><td><svg><path/></svg>A<td><select><option>B</select></table>", "A  B"),
+    ],
+)
+def test_svg_formulas_and_options(page, text):
+    assert html.page_text(page) == text
