@@ -6,7 +6,8 @@ to ASCII, invisible characters to nothing, spelled digits to digits, and
 written-out "at" and "dot" to @ and full stops. Every piece of the rewritten
 text keeps the source offsets it comes from. The same detectors run on the
 rewritten text, and what they find there is mapped back to source offsets. It
-is added where a rewritten piece takes part and no span of that kind overlaps.
+is added where a rewritten or left-out piece takes part and no span of that kind
+covers it; it may overlap a base span, which stays.
 
 A null text counts as empty and has no spans. Offsets are code points, ends
 exclusive.
@@ -153,14 +154,16 @@ class Rewritten:
         return self
 
     def back(self, start: int, end: int) -> tuple[int, int, bool]:
-        """The source span of text[start:end], and whether a changed piece takes part."""
+        """The source span of text[start:end], and whether a changed or left-out piece takes part."""
         first, last = bisect_right(self.starts, start) - 1, bisect_right(self.starts, end - 1) - 1
         a, a_end, a_changed = self.source[first]
         b, b_end, b_changed = self.source[last]
         if not a_changed:
             a += start - self.starts[first]
         to = b_end if b_changed else b + (end - self.starts[last])
-        return a, to, any(c for _, _, c in self.source[first : last + 1])
+        taken = self.source[first : last + 1]
+        left_out = any(one[1] < two[0] for one, two in zip(taken, taken[1:]))
+        return a, to, left_out or any(c for _, _, c in taken)
 
     def replaced(self, changes: list[tuple[int, int, str]]) -> "Rewritten":
         """With the spans of ``changes`` (in order, of the present text) replaced."""
@@ -259,15 +262,20 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
         return []
     added: list[Span] = []
     for kind, detect in DETECTORS.items():
-        taken = [(a, b) for a, b, k in base if k == kind]
-        for start, end in detect(plain.text):
-            a, b, changed = plain.back(start, end)
-            if changed and not any(a < y and x < b for x, y in taken):
-                taken.append((a, b))
-                added.append((a, b, kind))
+        found = {(a, b) for start, end in detect(plain.text) for a, b, changed in [plain.back(start, end)] if changed}
+        added += [(a, b, kind) for a, b in uncovered(found, [(a, b) for a, b, k in base if k == kind])]
     return added
 
 
+def uncovered(found: set[tuple[int, int]], base: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The spans found that no base span and no other one found covers, by start."""
+    reach = 0
+    for a, b, own in sorted([(*s, False) for s in base] + [(*s, True) for s in found], key=lambda s: (s[0], -s[1], s[2])):
+        if own and b > reach:
+            yield a, b
+        reach = max(reach, b)
+
+
 def as_text(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for a, b, kind in spans)
 

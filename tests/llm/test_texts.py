@@ -214,3 +214,21 @@ def test_head_ends_before_what_may_not_stand_in_it(tag):
 )
 def test_svg_formulas_and_options(page, text):
     assert html.page_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "address",
+    [
+        "jоhn@example.com", "јohn@example.com", "jo\u200bhn@example.com", "john\u200b@example.com", "j\u00adohn@example.com",
+        "john@example.cоm", "john@example.co\u200bm", "john@exаmple.com", "john@exam\u2060ple.com", "jоhn@exаmple.cоm",
+    ],
+)
+def test_disguised_addresses_are_found_whole(address):
+    text = f"mail {address} or kim@example.org"
+    base = pii.base_spans(text)
+    assert [text[a:b] for a, b, _ in pii.added_spans(text, base)] == [address]
+    assert base == pii.base_spans(text) and "kim@example.org" in [text[a:b] for a, b, _ in base]
+
+
+def test_spans_that_base_spans_cover_are_not_added():
+    assert list(pii.uncovered({(1, 4), (2, 6), (7, 9), (7, 12), (20, 22)}, [(0, 5), (7, 9)])) == [(2, 6), (7, 12), (20, 22)]
