@@ -3,8 +3,10 @@
 Base detectors find e-mail addresses, IP addresses, card and phone numbers as
 they stand. For disguises, transducers rewrite the text: look-alike characters
 to ASCII, invisible characters to nothing, spelled digits to digits, and
-written-out "at" and "dot" to @ and full stops. Every piece of the rewritten
-text keeps the source offsets it comes from. The same detectors run on the
+written-out "at" and "dot" to @ and full stops, in addresses and between digits.
+Spelled digits are read in two ways: long runs of single digits as one number,
+and any spelled digit beside other digits, whose groups stay as they are. Every
+piece of a rewritten text keeps the source offsets it comes from. The same detectors run on the
 rewritten text, and what they find there is mapped back to source offsets. It
 is added where a rewritten or left-out piece takes part and no span of that kind
 covers it; it may overlap a base span, which stays.
@@ -118,17 +120,26 @@ _DIGIT_RUN = re.compile(
     rf"(?<![A-Za-z0-9])(?:plus{_GAP}|\+\s?)?(?:(?:{_SPELLED})|[0-9])(?:{_GAP}(?:(?:{_SPELLED})|[0-9])){{6,}}(?![A-Za-z0-9])",
     re.I,
 )
+_BRACKETED_DOT = r"\s*+[\[({<]\s*+(?:dot|\.)\s*+[\])}>]\s*+"
+_WRITTEN_DOT = rf"(?:{_BRACKETED_DOT}|\s++dot\s++)"
+_WIDE_GAP = rf"(?:{_WRITTEN_DOT}|[\s.,-]++)"
 #: a spelled digit beside another digit
-_TWO_DIGITS = re.compile(rf"\b(?:{_SPELLED}){_GAP}(?:[0-9]|{_SPELLED})\b|[0-9]{_GAP}(?:{_SPELLED})\b")
+_TWO_DIGITS = re.compile(rf"\b(?:{_SPELLED}){_WIDE_GAP}(?:[0-9]|(?:{_SPELLED})\b)|[0-9]{_WIDE_GAP}(?:{_SPELLED})\b")
+#: digits, spelled or not, with what may stand between them; those beside an @ are part of an address
+_DIGITS = rf"(?:{_SPELLED}|[0-9]++)(?![A-Za-z0-9@])"
+_MIXED_RUN = re.compile(rf"(?<![A-Za-z0-9@])(?:plus[\s.,-]++)?{_DIGITS}(?:{_WIDE_GAP}{_DIGITS})++", re.I)
+_MIXED_TOKEN = re.compile(rf"plus|{_SPELLED}|[0-9]++", re.I)
+_DOT_IN_DIGITS = re.compile(rf"(?<=[0-9]){_WRITTEN_DOT}(?=[0-9])", re.I)
 _DIGIT_TOKEN = re.compile(rf"plus|{_SPELLED}|[0-9]|\+", re.I)
 _NAME = r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9])?"  # a local part has 64 characters at most, a label 63
 _LABEL = r"[A-Za-z0-9-]{1,63}"
-_AT = r"(?:\s?[\[({<]\s?(?:at|@)\s?[\])}>]\s?|\s(?:at|@)\s)"
-_DOT = r"(?:\s?[\[({<]\s?(?:dot|\.)\s?[\])}>]\s?|\sdot\s|\.)"
-#: name, at, labels with dots; an "at" in words needs a "dot" in words
-_ADDRESS = re.compile(rf"(?<![A-Za-z0-9._%+@-])({_NAME}(?:{_DOT}{_NAME})?)({_AT}|@)({_LABEL}(?:{_DOT}{_LABEL}){{1,8}})", re.I)
-_AT_TRIGGER = re.compile(r"\bdot\b|[\[({<]\s?(?:at|@|\.)\s?[\])}>]|\s@\s", re.I)
+_AT = r"(?:\s*+[\[({<]\s*+(?:at|@)\s*+[\])}>]\s*+|\s++(?:at|@)\s++)"
+_DOT = rf"(?:{_WRITTEN_DOT}|\.)"
+#: name, at, labels with dots; an "at" in words needs a written dot; 64 characters hold 32 names at most
+_ADDRESS = re.compile(rf"(?<![A-Za-z0-9._%+@-])({_NAME}(?:{_WRITTEN_DOT}{_NAME}){{0,31}})({_AT}|@)({_LABEL}(?:{_DOT}{_LABEL}){{1,8}})", re.I)
+_AT_TRIGGER = re.compile(r"\bdot\b|[\[({<]\s*+(?:at|@|\.)\s*+[\])}>]|\s@\s", re.I)
 _DOT_ONLY = re.compile(_DOT, re.I)
+_DOT_WRITTEN = re.compile(r"\bdot\b|[\[({<]", re.I)
 _IN_WORDS = re.compile(r"\s*at\s*", re.I)
 
 
@@ -230,15 +241,52 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
     return changes
 
 
+def mixed_digits(text: str) -> list[tuple[int, int, str]]:
+    """Any spelled digit beside other digits, spelled or not.
+
+    Between single digits, one of them spelled, nothing is left; full stops and
+    what stands beside groups of digits stay, wider white space as one space.
+    """
+    changes = []
+    lower = text.lower()
+    if not any(word in lower for word in _VALUES) or not _TWO_DIGITS.search(lower):
+        return changes
+    for m in _MIXED_RUN.finditer(text):
+        tokens = [(t[0].lower(), *t.span()) for t in _MIXED_TOKEN.finditer(text, m.start(), m.end())]
+        if not any(t in _VALUES for t, _, _ in tokens):
+            continue
+        before, done = "", m.start()
+        for token, start, end in tokens:
+            gap = text[done:start]
+            if before == "plus":
+                changes.append((done, start, ""))
+            elif gap and not gap.strip(" \t\n\r\f\v,-") and (before in _VALUES or token in _VALUES):
+                if all(len(t) == 1 or t in _VALUES for t in (before, token)):
+                    changes.append((done, start, ""))
+                elif len(gap) > 1 and gap.isspace():
+                    changes.append((done, start, " "))
+            if token == "plus" or token in _VALUES:
+                changes.append((start, end, "+" if token == "plus" else _VALUES[token]))
+            before, done = token, end
+    return changes
+
+
+def dots_in_digits(text: str) -> list[tuple[int, int, str]]:
+    """Written dots between digits."""
+    if not ("dot" in text.lower() or any(c in text for c in "[({<")):
+        return []
+    return [(*m.span(), ".") for m in _DOT_IN_DIGITS.finditer(text)]
+
+
 def written_addresses(text: str) -> list[tuple[int, int, str]]:
     changes = []
-    if not ("dot" in text.lower() or " @ " in text or any(c in text for c in "[({<")) or not _AT_TRIGGER.search(text):
+    if not ("dot" in text.lower() or "@" in text or any(c in text for c in "[({<")) or not _AT_TRIGGER.search(text):
         return changes
     for m in _ADDRESS.finditer(text):
         name, at, domain = m.groups()
         if m[0] == f"{name}@{domain}" and not re.search(r"[\s\[({<]", m[0]):
             continue  # not disguised
-        if _IN_WORDS.fullmatch(at) and not re.search(r"\bdot\b", domain, re.I):
+        if _IN_WORDS.fullmatch(at) and not _DOT_WRITTEN.search(domain):
             continue  # prose
         # a full stop at the end of a sentence is no part of a domain
         new = _DOT_ONLY.sub(".", name) + "@" + _DOT_ONLY.sub(".", domain)
@@ -246,25 +294,34 @@ def written_addresses(text: str) -> list[tuple[int, int, str]]:
     return changes
 
 
-def rewritten(text: str) -> Rewritten | None:
-    """The text without disguises, or None if it has none."""
-    out = None
-    for find in (look_alikes, spelled_digits, written_addresses):
-        if changes := find(out.text if out else text):
-            out = (out or Rewritten(text)).replaced(changes)
-    return out
+def rewritten(text: str) -> Iterator[Rewritten]:
+    """The text without disguises, once for each way to read spelled digits; nothing if it has none."""
+    known = {text}
+    for digits in (spelled_digits, mixed_digits):
+        out = None
+        for find in (look_alikes, digits, written_addresses, dots_in_digits):
+            if changes := find(out.text if out else text):
+                out = (out or Rewritten(text)).replaced(changes)
+        # only characters are left out or replaced, in the same places if the texts are equal
+        if out and out.text not in known:
+            known.add(out.text)
+            yield out
 
 
 def added_spans(text: str, base: list[Span]) -> list[Span]:
     """Spans that only the rewritten text shows."""
-    plain = rewritten(text)
-    if plain is None:
-        return []
-    added: list[Span] = []
-    for kind, detect in DETECTORS.items():
-        found = {(a, b) for start, end in detect(plain.text) for a, b, changed in [plain.back(start, end)] if changed}
-        added += [(a, b, kind) for a, b in uncovered(found, [(a, b) for a, b, k in base if k == kind])]
-    return added
+    found: dict[str, set[tuple[int, int]]] = {}
+    for plain in rewritten(text):
+        for kind, detect in DETECTORS.items():
+            for start, end in detect(plain.text):
+                a, b, changed = plain.back(start, end)
+                if changed:
+                    found.setdefault(kind, set()).add((a, b))
+    return [
+        (a, b, kind)
+        for kind, spans in found.items()
+        for a, b in uncovered(spans, [(a, b) for a, b, k in base if k == kind])
+    ]
 
 
 def uncovered(found: set[tuple[int, int]], base: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from tokenizers import Tokenizer
@@ -232,3 +233,37 @@ def test_disguised_addresses_are_found_whole(address):
 
 def test_spans_that_base_spans_cover_are_not_added():
     assert list(pii.uncovered({(1, 4), (2, 6), (7, 9), (7, 12), (20, 22)}, [(0, 5), (7, 9)])) == [(2, 6), (7, 12), (20, 22)]
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("host 192[.]168[.]1[.]10 is up", ("ip", "192[.]168[.]1[.]10")),
+        ("host 192 dot 168 dot 1 dot 10 is up", ("ip", "192 dot 168 dot 1 dot 10")),
+        ("host 192 (dot) 168.1[dot]10", ("ip", "192 (dot) 168.1[dot]10")),
+        ("host one nine two dot one six eight dot one dot one zero.", ("ip", "one nine two dot one six eight dot one dot one zero")),
+        ("host 192.168.1.one, or", ("ip", "192.168.1.one")),
+        ("ring +1 555 867 five three oh nine today", ("phone", "+1 555 867 five three oh nine")),
+        ("ring plus 1 555 867  five three zero 9 today", ("phone", "plus 1 555 867  five three zero 9")),
+        ("ring +1 (555) 867-five three oh nine", ("phone", "+1 (555) 867-five three oh nine")),
+        ("ring +1 dot 555 dot 867 dot 5309", ("phone", "+1 dot 555 dot 867 dot 5309")),
+        ("card 4111 1111 1111 one one one one", ("card", "4111 1111 1111 one one one one")),
+        ("in 2024, " + "four" + " one" * 15 + ".", ("card", "four" + " one" * 15)),
+        ("to a dot b dot c at x dot com", ("email", "a dot b dot c at x dot com")),
+        ("to john  dot  doe   at  example  dot  com", ("email", "john  dot  doe   at  example  dot  com")),
+        ("to john at example[.]com", ("email", "john at example[.]com")),
+        ("to john \t@\texample.com", ("email", "john \t@\texample.com")),
+        ("one, two@example.com and version 2 dot 5, three of 4", None),
+        ("plus 100 000 000 or 192 dot 168 dot 1 or 300[.]1[.]1[.]1", None),
+    ],
+)
+def test_disguised_numbers_and_dots(text, found):
+    added = pii.added_spans(text, pii.base_spans(text))
+    assert [(k, text[a:b]) for a, b, k in added] == ([found] if found else [])
+
+
+def test_disguises_take_time_in_proportion():
+    for text in ("a.b" * 20000, "a dot " * 20000, "one two " * 20000, "1 dot 2 (" * 20000, "x" + " " * 60000 + "dot", "[ " * 30000):
+        began = time.process_time()
+        pii.added_spans(text, pii.base_spans(text))
+        assert time.process_time() - began < 5
