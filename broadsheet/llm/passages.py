@@ -14,6 +14,9 @@ A phrase that very many pieces share (more than ``HOT``) is not gathered in
 one task: its windows are counted by their own hash (128 bits), smallest
 doc_id first, combined before the shuffle.
 
+Words have no length limit: in a piece, one of over ``LONG`` bytes is stood for
+by its hash (128 bits).
+
 A null text has no words. A null doc_id counts as the largest. Documents of
 the same doc_id, or repeated rows, don't remove words from each other.
 """
@@ -37,6 +40,8 @@ WINDOW = 50
 PHRASE = 10
 #: pieces of a phrase that one task takes: their windows' hashes need some 120 MB
 HOT = 20_000
+#: bytes of a word that goes into an automaton, which fails on phrases of megabytes
+LONG = 1000
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[32, *range(9, 14)]] = True
@@ -51,7 +56,7 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit hash of every word, block by block."""
+    """A 64-bit hash of every word, block by block; a word longer than a block has one of its own."""
     starts, ends = word_bounds(data)
     if not len(starts):
         return np.zeros(0, np.uint64)
@@ -60,6 +65,10 @@ def word_hashes(data: bytes) -> np.ndarray:
     while at < len(starts):
         stop = max(at + 1, int(np.searchsorted(ends, starts[at] + _BLOCK, side="right")))
         low = int(starts[at])
+        if ends[at] - low > _BLOCK:
+            out.append(np.array([xxhash.xxh3_64_intdigest(data[low : int(ends[at])])], np.uint64))
+            at = stop
+            continue
         roller = Roller(values[low : int(ends[stop - 1])].astype(np.uint64))
         out.append(roller.runs(starts[at:stop] - low, ends[at:stop] - low))
         at = stop
@@ -69,6 +78,11 @@ def word_hashes(data: bytes) -> np.ndarray:
 _BLOCK = 1 << 20
 
 
+def _stand_in(word: bytes) -> bytes:
+    """The word, or a name of a long one that no word can have."""
+    return word if len(word) <= LONG else b"\t" + xxhash.xxh3_128_hexdigest(word).encode()
+
+
 def _pieces(window: int):
     """Rows of (_key, _d, _r, first window, window range, piece) around the anchors of a text."""
 
@@ -79,7 +93,7 @@ def _pieces(window: int):
                 if one["_hot"]:
                     continue
                 place, first, last = (int(x) for x in unpacked_places(np.int64(one["_p"])))
-                yield one["_h"], number, key, first, place - first, b" ".join(words[first : last + window])
+                yield one["_h"], number, key, first, place - first, b" ".join(map(_stand_in, words[first : last + window]))
 
     return rows
 

@@ -196,3 +196,18 @@ def test_pipeline(spark, tmp_path):
     result = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert result.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and result.count() > 100
     assert hashlib.sha256(b"").hexdigest() not in {r.ids_sha256 for r in result.collect()}
+
+
+@pytest.mark.parametrize("hot", [20_000, 1])
+def test_words_have_no_length_limit(spark, hot):
+    def text(name, long):
+        return " ".join([f"{name}{i}" for i in range(10)] + [f"w{i}" for i in range(40)] + [long] + [f"v{i}" for i in range(40)])
+
+    big, other = "x" * (2 << 20), "x" * (2 << 20) + "y"
+    assert len(set(passages.word_hashes(f"a {big} b {other} {big} a {'z' * (1 << 20)}".encode()).tolist())) == 5
+    rows = [(1, text("a", big)), (2, text("b", big)), (3, text("c", other)), (4, big), (5, text("d", "z" * 2000)), (6, text("e", "z" * 2000))]
+    found = passages.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in found) == (
+        [(1, 91, 0), (2, 91, 81), (3, 91, 0), (4, 1, 0), (5, 91, 0), (6, 91, 81)]
+    )
+    assert {r.doc_id: r.kept_text for r in found}[4] == big
