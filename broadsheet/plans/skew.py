@@ -110,6 +110,42 @@ def ranked(
     )
 
 
+def running_sums(
+    frame: DataFrame, within: Sequence[str], order_by: Sequence[tuple[Column, str]], sums: Sequence[str]
+) -> DataFrame:
+    """Replace each column of ``sums`` by its running sum, the row's own value included.
+
+    Like :func:`ranked`, a group of any size may lie over many tasks: sums run
+    within each task's part of a group and are shifted by what the parts before
+    hold. ``order_by`` must order the rows of a group totally.
+    """
+    keyed = frame.select("*", *[c.alias(f"_key{i}") for i, (c, _) in enumerate(order_by)])
+    names = [f"_key{i}" for i in range(len(order_by))]
+    order = [F.col(c) for c in within] + [
+        F.desc(n) if way == "desc" else F.asc(n) for n, (_, way) in zip(names, order_by)
+    ]
+    placed = stored(
+        keyed.repartitionByRange(*order).select("*", F.spark_partition_id().alias("_part")), "runs"
+    )
+    group = ["_part", *within]
+    before = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = placed.groupBy(*group).agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
+    # only the first group of a part can have begun in an earlier one
+    carried = carried.select(
+        *group,
+        F.count(F.lit(1)).over(before).alias("_earlier"),
+        *[F.sum(f"_sum_{c}").over(before).alias(f"_sum_{c}") for c in sums],
+    ).where("_earlier > 0")
+    local = Window.partitionBy(*group).orderBy(*order[len(within) :]).rowsBetween(Window.unboundedPreceding, 0)
+    run = placed.select(
+        *group, *[c for c in frame.columns if c not in sums and c not in within], *[F.sum(c).over(local).alias(c) for c in sums]
+    )
+    shifted = run.join(F.broadcast(carried), group, "left")
+    return shifted.select(
+        *[(F.col(c) + F.coalesce(f"_sum_{c}", F.lit(0))).alias(c) if c in sums else F.col(c) for c in frame.columns]
+    )
+
+
 def first_per_group(
     frame: DataFrame,
     by: Sequence[str],
