@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import bpe, exact, html, language, mixing, passages, pii, quality, simhash, suffixes
+from broadsheet.llm import bpe, conversations, exact, html, language, mixing, passages, pii, quality, simhash, suffixes
 from broadsheet.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,11 +59,16 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(table(spark, sf_dir, "pages"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_language_id, op3_simhash, op4_bpe, op5_pii,
         op6_substring_dedup, op7_suffix_dedup, op8_quality, op9_mixing, op10_html,
+        op12_conversation_trie,
     )
 }
 
@@ -180,4 +185,62 @@ SQL: dict[str, str] = {
                CAST(times * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken
         FROM ordered
     """,
+    "op12_conversation_trie": """
+        WITH RECURSIVE ids AS (
+            SELECT conv_id AS c, CAST(conv_id AS VARCHAR) AS digits, count(*) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ),
+        crc AS (
+            SELECT c, digits, 0 AS i, CAST(4294967295 AS BIGINT) AS v FROM ids
+            UNION ALL
+            SELECT c, digits, i + 1, CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END
+            FROM (
+                SELECT c, digits, i, CASE WHEN i % 8 = 0 THEN xor(v, ascii(substr(digits, i // 8 + 1, 1))) ELSE v END AS x
+                FROM crc WHERE i < 8 * length(digits)
+            )
+        ),
+        heads AS (
+            SELECT crc.c, xor(v, 4294967295) % 9 AS h, least(xor(v, 4294967295) % 9, coalesce(first.turns, 0)) AS m
+            FROM crc LEFT JOIN ids AS first ON first.c = crc.c - crc.c % 5 WHERE i = 8 * length(crc.digits)
+        ),
+        marked AS (
+            SELECT conv_id AS c, turn, strlen(coalesce(text, '')) AS bytes,
+                   md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        placed AS (
+            SELECT c, digest, bytes, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, digest) AS p FROM marked
+        ),
+        rebuilt AS (
+            SELECT heads.c, p AS d, digest, bytes FROM heads JOIN placed ON placed.c = heads.c - heads.c % 5 WHERE p <= m
+            UNION ALL
+            SELECT c, m + p - h, digest, bytes FROM heads JOIN placed USING (c) WHERE p > h
+        ),
+        paths AS (
+            SELECT c, d, bytes, string_agg(digest, '') OVER (PARTITION BY c ORDER BY d) AS node FROM rebuilt
+            UNION ALL
+            SELECT c, 0, 0, '' FROM heads
+        ),
+        nodes AS (SELECT node, d, min(c) AS conv_id, count(*) AS n, max(bytes) AS bytes FROM paths GROUP BY node, d),
+        children AS (
+            SELECT substr(node, 1, length(node) - 32) AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+        ),
+        below AS (
+            SELECT paths.node, sum((nodes.n - 1) * nodes.bytes) AS saved, count(*) FILTER (n_children IS NULL) AS leaves
+            FROM nodes LEFT JOIN children USING (node) JOIN paths ON paths.c = nodes.conv_id AND paths.d <= nodes.d
+            GROUP BY paths.node
+        ),
+        lengths AS (SELECT c, max(d) AS d FROM paths GROUP BY c),
+        ends AS (
+            SELECT node, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM paths JOIN lengths USING (c, d) GROUP BY node
+        )
+        SELECT nodes.conv_id, nodes.d AS depth, parents.conv_id AS parent_conv_id, nodes.n AS n_convs,
+               coalesce(n_children, 0) AS n_children, leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+               sha256(coalesce(ids, '')) AS ends_sha256
+        FROM nodes
+        LEFT JOIN nodes AS parents ON nodes.d > 0 AND parents.node = substr(nodes.node, 1, length(nodes.node) - 32)
+        LEFT JOIN children ON children.node = nodes.node
+        JOIN below ON below.node = nodes.node
+        LEFT JOIN ends ON ends.node = nodes.node
+    """,
 }
