@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import bpe, conversations, exact, html, language, mixing, passages, pii, quality, simhash, suffixes
+from broadsheet.llm import bpe, conversations, exact, html, language, mixing, passages, phrases, pii, quality, simhash, suffixes
 from broadsheet.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,10 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(table(spark, sf_dir, "pages"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -68,7 +72,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_exact_dedup, op2_language_id, op3_simhash, op4_bpe, op5_pii,
         op6_substring_dedup, op7_suffix_dedup, op8_quality, op9_mixing, op10_html,
-        op12_conversation_trie,
+        op11_collocations, op12_conversation_trie,
     )
 }
 
@@ -185,6 +189,46 @@ SQL: dict[str, str] = {
                CAST(times * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken
         FROM ordered
     """,
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'
+            )) AS piece
+            FROM documents
+        ),
+        split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+        placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM split),
+        shown AS (
+            SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+            FROM placed, (VALUES (1), (2), (3)) AS size(k) WHERE i + k - 1 <= len(words)
+        ),
+        counts AS (SELECT lang, k, phrase, count(*) AS f FROM shown GROUP BY lang, k, phrase),
+        sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+        candidates AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE k > 1 AND f >= 10),
+        cuts AS (
+            SELECT lang, k, phrase, a, c, array_to_string(w[1:c], ' ') AS first_part, array_to_string(w[c + 1:k], ' ') AS rest
+            FROM candidates, (VALUES (1), (2)) AS place(c) WHERE c < k
+        ),
+        scored AS (
+            SELECT cuts.*, x.f AS l, y.f AS r,
+                   CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM cuts
+            JOIN counts AS x ON x.lang = cuts.lang AND x.phrase = first_part AND x.k = c
+            JOIN counts AS y ON y.lang = cuts.lang AND y.phrase = rest AND y.k = cuts.k - c
+        ),
+        lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+        longer AS (
+            SELECT lang, part, max(a) AS most FROM (
+                SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM candidates WHERE k = 3
+            ) GROUP BY lang, part
+        ),
+        ranked AS (
+            SELECT lowest.lang, row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+            FROM lowest LEFT JOIN longer ON longer.lang = lowest.lang AND part = phrase
+            WHERE most IS NULL OR 100 * most < 50 * a
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+    """,
     "op12_conversation_trie": """
         WITH RECURSIVE ids AS (
             SELECT conv_id AS c, CAST(conv_id AS VARCHAR) AS digits, count(*) AS turns
