@@ -204,8 +204,9 @@ SQL: dict[str, str] = {
         ),
         counts AS (SELECT lang, k, phrase, count(*) AS f FROM shown GROUP BY lang, k, phrase),
         sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
-        candidates AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE k > 1 AND f >= 10),
-        cuts AS (
+        parts AS MATERIALIZED (SELECT lang, phrase AS part, f FROM counts WHERE k < 3 AND f >= 10),
+        candidates AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE k > 1 AND f >= 10),
+        cuts AS MATERIALIZED (
             SELECT lang, k, phrase, a, c, array_to_string(w[1:c], ' ') AS first_part, array_to_string(w[c + 1:k], ' ') AS rest
             FROM candidates, (VALUES (1), (2)) AS place(c) WHERE c < k
         ),
@@ -213,8 +214,8 @@ SQL: dict[str, str] = {
             SELECT cuts.*, x.f AS l, y.f AS r,
                    CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
             FROM cuts
-            JOIN counts AS x ON x.lang = cuts.lang AND x.phrase = first_part AND x.k = c
-            JOIN counts AS y ON y.lang = cuts.lang AND y.phrase = rest AND y.k = cuts.k - c
+            JOIN parts AS x ON x.lang = cuts.lang AND x.part = first_part
+            JOIN parts AS y ON y.lang = cuts.lang AND y.part = rest
         ),
         lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
         longer AS (
