@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import bpe, conversations, exact, html, language, mixing, passages, phrases, pii, quality, simhash, suffixes
+from broadsheet.llm import bpe, conversations, exact, html, language, minhash, mixing, passages, phrases, pii, quality, simhash, suffixes
 from broadsheet.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,12 +67,16 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_language_id, op3_simhash, op4_bpe, op5_pii,
         op6_substring_dedup, op7_suffix_dedup, op8_quality, op9_mixing, op10_html,
-        op11_collocations, op12_conversation_trie,
+        op11_collocations, op12_conversation_trie, op13_minhash,
     )
 }
 
