@@ -40,15 +40,14 @@ COVERED = 50  # percent of its occurrences from which a longer phrase replaces o
 FIRST = 2000  # phrases given for each lang
 SAMPLE = 0.25  # part of the documents that proposes
 LOWERED = 2  # occurrences in the sample that make a proposal; 2.5 would be LEAST's share
-WORD_BITS, PAIR_BITS = 1 << 26, 1 << 27
+WORD_BITS, PAIR_BITS = 1 << 26, 1 << 26
 SLOTS = 64  # parts in which a lang's phrases are cut to the first before they meet
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 SEED = 42  # of Spark's xxhash64
 
 _BREAK = b"\n"
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + _BREAK * 9 + b" ")
-_SCHEMA = "lang string, words int, phrase string, n long"
-_COUNTED = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+_COUNTED = pa.schema([("key", pa.string()), ("n", pa.int64())])  # key: lang, line feed, phrase
 
 # ---- hashes, as Spark's xxhash64 gives them ------------------------------------
 
@@ -128,9 +127,9 @@ class Proposed:
         return np.ones(len(hashes), bool) if bits is None else hits(bits, hashes.view(np.int64))
 
 
-def _rows(lang: str, words: int, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array([lang] * len(n), pa.string()), pa.array(np.full(len(n), words, np.int32)), phrases.cast(pa.string()), pa.array(n)]
-    return pa.RecordBatch.from_arrays(columns, schema=_COUNTED)
+def _rows(lang: str, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    keys = pc.binary_join_element_wise(pa.scalar(lang.encode(), pa.binary()), phrases, b"\n")
+    return pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(n)], schema=_COUNTED)
 
 
 def counted_block(
@@ -146,8 +145,8 @@ def counted_block(
     if before is None:
         n = np.bincount(ids[carried:], minlength=len(names))
         seen = np.flatnonzero(real & (n > 0))
-        yield _rows(lang, 0, pa.array([b""]), np.array([n[seen].sum()]))
-        yield _rows(lang, 1, vocabulary.take(pa.array(seen)), n[seen])
+        yield _rows(lang, pa.array([b""]), np.array([n[seen].sum()]))
+        yield _rows(lang, vocabulary.take(pa.array(seen)), n[seen])
     good = real & now.has("words", hashes)
     old = np.zeros(len(names), bool) if before is None else real & before.has("words", hashes)
     at = np.flatnonzero(good[ids[:-1]] & good[ids[1:]])  # where a pair starts
@@ -158,7 +157,7 @@ def counted_block(
     phrase = pc.binary_join_element_wise(vocabulary.take(pa.array(left)), vocabulary.take(pa.array(right)), b" ")
     n = np.bincount(pair[at + 1 >= carried], minlength=len(code))
     new = np.flatnonzero((n > 0) & ~(old[left] & old[right]))
-    yield _rows(lang, 2, phrase.take(pa.array(new)), n[new])
+    yield _rows(lang, phrase.take(pa.array(new)), n[new])
     if longest < 3:
         return
     pair_hash = pair_hashes(hashes[left], hashes[right])
@@ -171,25 +170,40 @@ def counted_block(
     phrase3 = pc.binary_join_element_wise(
         phrase.take(pa.array(code3 // len(names))), vocabulary.take(pa.array(code3 % len(names))), b" "
     )
-    yield _rows(lang, 3, phrase3, n3)
+    yield _rows(lang, phrase3, n3)
 
 
-def counts(docs: DataFrame, now: Callable[[], Proposed], before: Callable[[], Proposed] | None, longest: int = 3) -> DataFrame:
-    """lang, words, phrase, n over all ``docs`` (lang, text); words 0 has the number of words of a lang."""
+def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[str]]]:
+    """The texts of each lang, a block's worth of rows at a time."""
+    step = max(1, batch.num_rows * BLOCK // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, step):
+        part = batch.slice(at, step)
+        texts: dict[str, list[str]] = {}
+        for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            texts.setdefault(lang, []).append(text)
+        yield from texts.items()
+
+
+def counts(
+    docs: DataFrame, now: Callable[[], Proposed], before: Callable[[], Proposed] | None, least: int, longest: int = 3
+) -> DataFrame:
+    """lang, words, phrase, n of phrases with ``n >= least`` in ``docs`` (lang, text); words 0: all words of a lang."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         proposed, earlier = now(), before and before()
         for batch in batches:
-            by_lang: dict[str, list[str]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by_lang.setdefault(lang, []).append(text)
-            for lang, texts in by_lang.items():
+            for lang, texts in _by_lang(batch):
                 for tokens, carried in token_blocks(texts):
                     if tokens:
                         yield from counted_block(lang, tokens, carried, proposed, earlier, longest)
 
-    found = docs.select("lang", "text").mapInArrow(run, _SCHEMA)
-    return found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    found = docs.select("lang", "text").mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    kept = found.where((F.col("n") >= least) | F.col("key").endswith("\n"))
+    phrase = F.substring_index("key", "\n", -1)
+    lang = F.left(F.col("key"), F.length("key") - F.length(phrase) - 1)
+    named = kept.select(lang.alias("lang"), phrase.alias("phrase"), "n")
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.regexp_count("phrase", F.lit(" ")) + 1)
+    return named.select("lang", words.alias("words"), "phrase", "n")
 
 
 # ---- passes ---------------------------------------------------------------------------
@@ -230,12 +244,10 @@ def frequent_phrases(
     """Exact counts (lang, words, phrase, n) of all phrases with ``n >= least``; words 0: all words of a lang."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), whole_text().alias("text"), "doc_id")
     picked = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(10_000)) < F.lit(int(sample * 10_000)))
-    guess = counts(picked, lambda: Proposed(None, None), None, longest=2)
-    guess = stored(guess.where(F.col("n") >= lowered).where("words > 0"), "proposals")
+    guess = stored(counts(picked, lambda: Proposed(None, None), None, lowered, longest=2).where("words > 0"), "proposals")
     proposed, earlier, found = _Proposals(_word_filter(guess.where("words = 1")), _pair_filter(guess.where("words = 2"))), None, []
     while True:
-        passed = counts(texts, proposed.load, earlier and earlier.load)
-        found.append(stored(passed.where((F.col("n") >= least) | (F.col("words") == 0)), "frequent"))
+        found.append(stored(counts(texts, proposed.load, earlier and earlier.load, least), "frequent"))
         words, pairs = proposed.failures(found[-1])
         if words.isEmpty() and pairs.isEmpty():
             break
