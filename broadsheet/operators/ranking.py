@@ -4,9 +4,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from broadsheet.functions.scores import gravity, rank_key
 from broadsheet.functions.times import age_hours
-from broadsheet.plans.skew import first_per_group, fits_broadcast, ranked, salted_join
+from broadsheet.plans.skew import first_per_group, ranked, salted_join, two_sided_join
 from broadsheet.plans.storage import stored
-from broadsheet.settings import LIST_LENGTH, OVERLAP_EPSILON
+from broadsheet.settings import FLOOR_TERMS, LIST_BLOCK, LIST_LENGTH, OVERLAP_EPSILON, RANK_DIGITS
+
+FLOOR_SLACK = 2 * 10.0**-RANK_DIGITS  # scores are compared rounded
 
 # --- gravity ------------------------------------------------------------------
 
@@ -54,19 +56,11 @@ def preference_scores(preferences: DataFrame, scored: DataFrame) -> DataFrame:
     """Preference times gravity for the articles of every category a user reads.
 
     There are few categories and many users, so the join key is always hot:
-    preferences are spread over all tasks.
+    pairs are dealt over all tasks. The result has a row for each user and
+    article; give it the articles that can matter, as :func:`category_heads`.
     """
-    users = preferences.groupBy("category").agg(F.count(F.lit(1)).alias("users"))
-    articles = scored.select("category", "news_id", "gravity")
-    joined = salted_join(
-        preferences.where("share <> 0"),
-        articles,
-        "category",
-        users,
-        "users",
-        ["user_id"],
-        widens=True,
-    )
+    articles = scored.select("category", "news_id", "gravity", *[c for c in scored.columns if c == "place"])
+    joined = two_sided_join(preferences.where("share <> 0"), articles, "category", ["user_id"], ["news_id"])
     return joined.withColumn("score", F.col("share") * F.col("gravity"))
 
 
@@ -76,24 +70,35 @@ def _best_score_first() -> list[tuple[Column, str]]:
     return [(rank_key(F.col("score")), "desc"), *_heavier_first()]
 
 
+def category_heads(scored: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` articles of each category in gravity order, with their ``place`` in it."""
+    return first_per_group(scored, ["category"], _heavier_first(), n, "place")
+
+
 def user_score_order(preferences: DataFrame, scored: DataFrame) -> DataFrame:
-    """The whole list of each user, best first."""
+    """The whole list of each user, best first; it has all pairs of users and articles they may see."""
     scores = preference_scores(preferences, scored)
     return ranked(scores, _best_score_first(), "rank", ["user_id"])
 
 
+def user_score_page(preferences: DataFrame, scored: DataFrame, first: int = 1, n: int = LIST_LENGTH) -> DataFrame:
+    """Places ``first`` to ``first + n - 1`` of the whole order of each user.
+
+    A category's order is the same for all its readers, so a user's order is a
+    merge of the ranked lists of the categories read, and a place in it is never
+    before the place in the category's own list: the heads of the lists up to
+    the page's end are all that is merged. This is exact.
+    """
+    last = first + n - 1
+    scores = preference_scores(preferences, category_heads(scored, last)).drop("place")
+    return first_per_group(scores, ["user_id"], _best_score_first(), last).where(F.col("rank") >= first)
+
+
 def recommend_by_preference(
     preferences: DataFrame, scored: DataFrame, n: int = LIST_LENGTH
 ) -> DataFrame:
-    """The ``n`` best articles of each user.
-
-    Within a category the order is the same for all users, so only the first
-    ``n`` articles of a category can reach anybody's list; the others need not
-    be joined. This is exact.
-    """
-    heads = first_per_group(scored, ["category"], _heavier_first(), n).drop("rank")
-    scores = preference_scores(preferences, heads)
-    return first_per_group(scores, ["user_id"], _best_score_first(), n)
+    """The ``n`` best articles of each user: the first page of the order."""
+    return user_score_page(preferences, scored, 1, n)
 
 
 def in_preferred_categories(articles: DataFrame, preferences: DataFrame) -> DataFrame:
@@ -104,19 +109,20 @@ def in_preferred_categories(articles: DataFrame, preferences: DataFrame) -> Data
     )
 
 
-def recommend_new(classified: DataFrame, preferences: DataFrame) -> DataFrame:
-    """Newly classified articles in the categories a user reads."""
-    liked = preferences.where("share <> 0").select("user_id", "category")
-    users = liked.groupBy("category").agg(F.count(F.lit(1)).alias("users"))
-    return salted_join(
-        liked,
-        classified.select("news_id", "category"),
-        "category",
-        users,
-        "users",
-        ["user_id"],
-        widens=True,
-    ).select("user_id", "news_id", "category")
+def recommend_new(
+    classified: DataFrame, preferences: DataFrame, first: int = 1, n: int = LIST_LENGTH
+) -> DataFrame:
+    """Newly classified articles in the categories a user reads, from place ``first`` on, ``n`` of them.
+
+    The best liked category comes first; within a category articles go by id.
+    """
+    last = first + n - 1
+    heads = first_per_group(classified.select("news_id", "category"), ["category"], [(F.col("news_id"), "asc")], last, "place")
+    liked = preferences.where("share <> 0").select("user_id", "category", "share")
+    met = two_sided_join(liked, heads.drop("place"), "category", ["user_id"], ["news_id"])
+    order = [(rank_key(F.col("share")), "desc"), (F.col("category"), "asc"), (F.col("news_id"), "asc")]
+    page = first_per_group(met, ["user_id"], order, last).where(F.col("rank") >= first)
+    return page.select("user_id", "news_id", "category", "rank")
 
 
 # --- by weighted keyword overlap --------------------------------------------------
@@ -126,24 +132,15 @@ def _shared(profile: DataFrame, keywords: DataFrame) -> DataFrame:
     """Every (user, article) that share a keyword, with both sides' totals.
 
     Totals are attached before the join on the keyword: the pairs, which are by
-    far the largest set here, are never joined again. When the candidate
-    articles are few enough to send to every executor, profiles are partitioned
-    by user and the pairs are not even shuffled; a user then meets each of
-    those keywords once at most. Otherwise profiles are spread by keyword.
+    far the largest set here, are never joined again. A keyword may have very
+    many readers and very many articles.
     """
     tags = _with_news_totals(keywords).withColumnRenamed("weight", "tag_weight")
     totals = profile.groupBy("user_id").agg(
         F.sum("weight").alias("user_weight"), F.count(F.lit(1)).alias("user_tags")
     )
-    if fits_broadcast(keywords):
-        parts = int(profile.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        words = F.broadcast(keywords.select("term").distinct())
-        users = profile.join(words, "term", "left_semi").repartition(parts, "user_id")
-        joined = users.join(totals, "user_id").join(F.broadcast(tags), "term")
-    else:
-        users = salted_join(profile, totals, "user_id", totals, "user_tags", ["term"])
-        readers = profile.groupBy("term").agg(F.count(F.lit(1)).alias("readers"))
-        joined = salted_join(users, tags, "term", readers, "readers", ["user_id"], widens=True)
+    users = salted_join(profile, totals, "user_id", totals, "user_tags", ["term"])
+    joined = two_sided_join(users, tags, "term", ["user_id"], ["news_id"])
     return joined.groupBy("user_id", "news_id").agg(
         F.sum(F.col("weight") + F.col("tag_weight")).alias("shared"),
         F.count(F.lit(1)).alias("n_shared"),
@@ -184,6 +181,130 @@ def overlap_score(shared: Column, user_weight: Column, news_weight: Column) -> C
     return (epsilon + shared) / (epsilon + user_weight + news_weight)
 
 
+# The lists of readers are found without scoring all pairs. What a user and an
+# article can share is bounded in two ways. By the user: the article's best
+# shared keyword has a reach (the user's weight and the largest of any article),
+# the others at most the reaches of the user's next best ones. By the article:
+# its potential, the sum over its keywords of the largest share that one has in
+# any profile. A few articles scored first give each user a floor, the n-th best
+# of them; only blocks of a keyword's list that may come up to it are looked at.
+
+
+def _with_potential(profile: DataFrame, tags: DataFrame) -> DataFrame:
+    """Keywords that somebody has, with the article's number (``known``), weight and potential of such."""
+    user = Window.partitionBy("user_id")
+    part = profile.select("term", (F.col("weight") / F.sum("weight").over(user)).alias("part"))
+    shares = part.groupBy("term").agg(F.max("part").alias("share"))
+    rows = tags.groupBy("term").agg(F.count(F.lit(1)).alias("rows"))
+    met = salted_join(tags, shares, "term", rows, "rows", ["news_id"])
+    article = Window.partitionBy("news_id")
+    return met.select(
+        *tags.columns,
+        F.count(F.lit(1)).over(article).alias("known"),
+        F.sum("tag_weight").over(article).alias("known_weight"),
+        F.sum("share").over(article).alias("potential"),
+    )
+
+
+def _impact_lists(tags: DataFrame) -> DataFrame:
+    """Each keyword's articles from the highest potential on, in blocks with bounds of what is in them."""
+    order = [(F.col("potential"), "desc"), (F.col("news_id"), "asc")]
+    posting = F.struct("tag_weight", "news_weight", "known", "known_weight", "potential", "news_id")
+    return (
+        ranked(tags, order, "_nth", ["term"])
+        .groupBy("term", F.floor((F.col("_nth") - 1) / LIST_BLOCK).alias("block"))
+        .agg(
+            F.struct(
+                F.max("tag_weight").alias("tag_weight"),
+                F.min("news_weight").alias("news_weight"),
+                F.max("known").alias("known"),
+                F.max("known_weight").alias("known_weight"),
+                F.max("potential").alias("potential"),
+            ).alias("bound"),
+            F.collect_list(posting).alias("postings"),
+        )
+    )
+
+
+def _reaches(profile: DataFrame, lists: DataFrame) -> DataFrame:
+    """A user's keywords that articles have, by falling reach.
+
+    ``onward`` is the sum of the reaches after a keyword, of as many as the
+    longest article has besides.
+    """
+    user = Window.partitionBy("user_id")
+    weighed = profile.select("user_id", "term", "weight", F.sum("weight").over(user).alias("user_weight"))
+    bounds = lists.groupBy("term").agg(F.max("bound.tag_weight").alias("list_top"))
+    readers = profile.groupBy("term").agg(F.count(F.lit(1)).alias("readers"))
+    known = salted_join(weighed, bounds, "term", readers, "readers", ["user_id"])
+    known = known.withColumn("reach", F.col("weight") + F.col("list_top")).drop("list_top")
+    besides = (lists.agg(F.max("bound.known")).first()[0] or 1) - 1
+    falling = user.orderBy(F.desc("reach"), "term")
+    onward = F.sum("reach").over(falling.rowsBetween(1, besides)) if besides else F.lit(0.0)
+    return known.select(
+        "*", F.row_number().over(falling).alias("place"), F.coalesce(onward, F.lit(0.0)).alias("onward")
+    )
+
+
+def _may_reach(article: str) -> Column:
+    """Whether an article whose best shared keyword is this one may come up to the floor."""
+    of = F.col(article).getField
+    by_user = F.col("weight") + of("tag_weight") + F.least(F.col("onward"), (of("known") - 1) * F.col("reach"))
+    by_article = F.col("user_weight") * of("potential") + of("known_weight")
+    most = overlap_score(F.least(by_user, by_article), F.col("user_weight"), of("news_weight"))
+    return F.col("floor").isNull() | (most >= F.col("floor") - FLOOR_SLACK)
+
+
+def _pair_scores(pairs: DataFrame, profile: DataFrame, tags: DataFrame) -> DataFrame:
+    """The exact score of pairs (user, article), ``user_weight`` being known."""
+    uses = stored(pairs.groupBy("news_id").agg(F.count(F.lit(1)).alias("uses")), "uses")
+    rows = salted_join(pairs, tags, "news_id", uses, "uses", ["user_id"], widens=True)
+    shared = rows.join(profile.select("user_id", "term", "weight"), ["user_id", "term"])
+    return (
+        shared.groupBy("user_id", "news_id")
+        .agg(
+            F.sum(F.col("weight") + F.col("tag_weight")).alias("shared"),
+            F.max("user_weight").alias("user_weight"),
+            F.max("news_weight").alias("news_weight"),
+        )
+        .withColumn("score", overlap_score(F.col("shared"), F.col("user_weight"), F.col("news_weight")))
+        .select("user_id", "news_id", "score", "user_weight")
+    )
+
+
+def _unread(pairs: DataFrame, read: DataFrame | None) -> DataFrame:
+    return pairs if read is None else pairs.join(read, ["user_id", "news_id"], "left_anti")
+
+
+def overlap_candidates(
+    profile: DataFrame, tags: DataFrame, n: int, read: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs (user, article) that may be among a user's first ``n``; and those scored for the floor.
+
+    ``tags`` carry their article's totals (``tag_weight``, ``news_weight``,
+    ``news_tags``). Weights must not be negative.
+    """
+    lists = stored(_impact_lists(_with_potential(profile, tags)), "lists")
+    reaches = stored(_reaches(profile, lists), "reaches")
+    # the first articles of a user's best keywords, a few for each user
+    heads = lists.where("block = 0").select("term", F.explode(F.slice("postings", 1, n)).alias("p")).select("term", "p.news_id")
+    best = reaches.where(F.col("place") <= FLOOR_TERMS).select("user_id", "term", "user_weight")
+    asked = best.groupBy("term").agg(F.count(F.lit(1)).alias("asked"))
+    tried = salted_join(best, heads, "term", asked, "asked", ["user_id"]).select("user_id", "news_id", "user_weight").distinct()
+    tried = stored(_pair_scores(_unread(tried, read), profile, tags), "tried")
+    worst = first_per_group(tried, ["user_id"], _best_overlap_first(), n).where(F.col("rank") == n)
+    floors = worst.select("user_id", F.col("score").alias("floor"))
+    wanted = stored(reaches.join(floors, "user_id", "left"), "wanted")
+    blocks = two_sided_join(wanted, lists, "term", ["user_id"], ["block"]).where(_may_reach("bound"))
+    posted = blocks.withColumn("p", F.explode("postings")).where(_may_reach("p"))
+    pairs = posted.select("user_id", "p.news_id", "user_weight").distinct()
+    return _unread(pairs.join(tried.select("user_id", "news_id"), ["user_id", "news_id"], "left_anti"), read), tried
+
+
+def _best_overlap_first() -> list[tuple[Column, str]]:
+    return [(rank_key(F.col("score")), "desc"), (F.col("news_id"), "desc")]
+
+
 def recommend_by_overlap(
     profile: DataFrame,
     keywords: DataFrame,
@@ -200,19 +321,13 @@ def recommend_by_overlap(
     ``n`` articles if there are as many. ``articles`` (``news_id``) are all
     candidates, also those without keywords, whose weight is zero; ``users``
     are all readers, also those with an empty profile. Without them, those in
-    ``keywords`` and ``profile``. Scores are compared on nine digits.
+    ``keywords`` and ``profile``. Scores are compared on nine digits; weights
+    must not be negative. Lists are exact, though most pairs are never made.
     """
-    pairs = _shared(profile, keywords)
-    if read is not None:
-        pairs = pairs.join(read, ["user_id", "news_id"], "left_anti")
-    pairs = pairs.select("user_id", "news_id", "shared", "user_weight", "news_weight", "n_shared")
-    pairs = pairs.withColumn(
-        "score", overlap_score(F.col("shared"), F.col("user_weight"), F.col("news_weight"))
-    )
-    order = [(rank_key(F.col("score")), "desc"), (F.col("news_id"), "desc")]
-    best = first_per_group(pairs, ["user_id"], order, n).select(
-        "user_id", "news_id", "score", "rank"
-    )
+    tags = stored(_with_news_totals(keywords).withColumnRenamed("weight", "tag_weight"), "tags")
+    pairs, tried = overlap_candidates(profile, tags, n, read)
+    scored = _pair_scores(stored(pairs, "pairs"), profile, tags).unionByName(tried)
+    best = first_per_group(scored, ["user_id"], _best_overlap_first(), n).select("user_id", "news_id", "score", "rank")
     best = stored(best, "lists")
     weights = _total(keywords, "news_id", "news_weight", articles)
     readers = _total(profile, "user_id", "user_weight", users)

@@ -5,7 +5,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from broadsheet.plans.storage import stored
-from broadsheet.settings import BROADCAST_ROWS
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in these bits
 
@@ -57,9 +56,39 @@ def salted_join(
     return dealt.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
-def fits_broadcast(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has no more than ``rows`` rows; reads at most one more."""
-    return frame.limit(rows + 1).count() <= rows
+def two_sided_join(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], spread_left: Sequence[str], spread_right: Sequence[str]
+) -> DataFrame:
+    """``left`` ⋈ ``right`` where keys may have very many rows on both sides.
+
+    A key's weight is the number of joined rows it makes, left times right. One
+    with more than an even share of a shuffle partition is dealt over a grid:
+    its left rows over the grid's rows, by a hash of ``spread_left``, each
+    repeated once per column; its right rows over the columns, each repeated
+    once per row. Every pair meets in one cell, and the grid is as long on a
+    side as that side is heavy, so few rows are repeated. Cells together are a
+    small multiple of the partitions.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    parts = max(1, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = F.count(F.lit(1)).cast("double")
+    weights = left.groupBy(*on).agg(rows.alias("_l")).join(right.groupBy(*on).agg(rows.alias("_r")), on)
+    weights = stored(weights.withColumn("_made", F.col("_l") * F.col("_r")), "weights")
+    cells = hot_keys(weights, on, "_made", parts).join(weights, on)
+    down = F.least("_salts", F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("_salts") * F.col("_l") / F.col("_r"))))).cast("int")
+    grid = cells.select(*on, "_salts", down.alias("_down")).select(
+        *on, "_down", F.ceil(F.col("_salts") / F.col("_down")).cast("int").alias("_across")
+    )
+    grid = F.broadcast(stored(grid, "grid"))
+    down, across = (F.coalesce(c, F.lit(1)) for c in ("_down", "_across"))
+
+    def dealt(side: DataFrame, own: str, n: Column, spread: Sequence[str], other: str, m: Column) -> DataFrame:
+        placed = side.join(grid, on, "left").withColumn(own, F.pmod(F.xxhash64(*spread), n).cast("int"))
+        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), m - 1))).drop("_down", "_across")
+
+    rows_of = dealt(left, "_row", down, spread_left, "_column", across).repartition(parts, *on, "_row", "_column")
+    columns_of = dealt(right, "_column", across, spread_right, "_row", down)
+    return rows_of.join(columns_of, [*on, "_row", "_column"]).drop("_row", "_column")
 
 
 def ranked(

@@ -27,4 +27,5 @@ SLOT_HOURS = 4
 SMOOTHING = 1.0                # additive smoothing of Naive Bayes
 RANK_DIGITS = 9                # digits on which scores are compared
 PROFILE_PARTS = 16             # rows that a user profile is dealt over, by term; the same for all users
-BROADCAST_ROWS = 1_000_000     # narrow tables up to this size are sent to all executors
+LIST_BLOCK = 64                # articles of a block of a keyword's list
+FLOOR_TERMS = 8                # keywords of a user whose first articles are scored for a floor

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.plans.skew import first_per_group, hot_keys, ranked, salted_join
+from broadsheet.plans.skew import first_per_group, hot_keys, ranked, salted_join, two_sided_join
 from broadsheet.plans.storage import shared_folder, stored
 
 
@@ -96,3 +96,32 @@ def test_stored_reads_back_from_the_shared_folder(spark, skewed):
     assert folder == spark.conf.get("spark.checkpoint.dir")
     assert all(folder in name for name in table.inputFiles())
     assert table.count() == 3000
+
+
+def test_keys_heavy_on_both_sides(spark):
+    """A key of 10^3 x 10^3 rows and one of 3 x 10^4, among small ones: pairs over all tasks."""
+    def side(name, hot, wide):
+        cold = spark.range(400).select(F.concat(F.lit("c"), (F.col("id") % 200).cast("string")).alias("k"), F.col("id").alias(name))
+        for key, n in (("hot", hot), ("wide", wide), (name, 50)):  # the last has no partner
+            cold = cold.unionByName(spark.range(n).select(F.lit(key).alias("k"), (F.col("id") + 10**6).alias(name)))
+        return cold
+
+    left, right = side("l", 1000, 3), side("r", 1000, 10_000)
+    settings = {"adaptive.coalescePartitions.enabled": "false", "adaptive.autoBroadcastJoinThreshold": "-1", "autoBroadcastJoinThreshold": "-1", "shuffle.partitions": "32"}
+    for name, value in settings.items():
+        spark.conf.set(f"spark.sql.{name}", value)
+    try:
+        joined = two_sided_join(left, right, "k", ["l"], ["r"])
+        assert sorted(joined.columns) == ["k", "l", "r"]
+        want = left.join(right, "k")
+        fold = [F.count(F.lit(1)), F.sum(F.xxhash64("k", "l", "r") % 1000)]
+        assert joined.agg(*fold).first() == want.agg(*fold).first()
+        assert joined.distinct().count() == 1000 * 1000 + 3 * 10_000 + 800
+        per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(per_task) > 16 and max(per_task) < sum(per_task) / 6
+    finally:
+        for name in settings:
+            spark.conf.unset(f"spark.sql.{name}")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    none = left.limit(0)
+    assert two_sided_join(none, right, "k", ["l"], ["r"]).count() == 0
