@@ -8,6 +8,7 @@ from broadsheet.settings import NULL_TEXT, PUBLISH_PATTERN_OUT
 
 AS_OF = "timestamp_ntz'2024-01-31 00:00:00'"
 LATE_CLICKS = "timestamp_ntz'2024-01-16 00:00:00'"
+READERS = 97  # who open each article once
 STREAM_START = "timestamp_ntz'2024-01-01 00:00:00'"
 
 
@@ -19,10 +20,6 @@ def as_of() -> Column:
     return F.expr(AS_OF)
 
 
-def stream_start() -> Column:
-    return F.expr(STREAM_START)
-
-
 def _publish_ts(doc: str) -> Column:
     # the tables have no publish time; each article gets an hour of one month
     return F.expr(
@@ -78,12 +75,31 @@ def click_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_log(spark: SparkSession, sf: str) -> DataFrame:
-    """The click log with the article in every line."""
-    clicked = clicks(spark, sf)
-    rows = clicked.groupBy("news_id").agg(F.count(F.lit(1)).alias("rows"))
+    """The click log with the article in every line.
+
+    Besides the clicks each article is opened once by a reader of its own, so
+    the log holds all of them. Every third article was changed in the middle of
+    the month: clicks show the version of their time, and the new version is
+    opened once more.
+    """
     texts = news(spark, sf).select("news_id", "title", "content", "publish_text")
-    return salted_join(clicked, texts, "news_id", rows, "rows", clicked.columns).select(
-        "user_id", "news_id", "click_ts", "title", "content", "publish_text"
+    opened = texts.select(
+        (F.col("news_id") % READERS).alias("user_id"),
+        "news_id",
+        (F.expr(STREAM_START) + F.make_interval(secs=F.col("news_id") % 86_400)).alias("click_ts"),
+    )
+    again = opened.where(F.col("news_id") % 3 == 0).withColumn("click_ts", F.col("click_ts") + F.expr("interval 20 days"))
+    clicked = clicks(spark, sf).unionByName(opened).unionByName(again)
+    rows = clicked.groupBy("news_id").agg(F.count(F.lit(1)).alias("rows"))
+    joined = salted_join(clicked, texts, "news_id", rows, "rows", clicked.columns)
+    changed = (F.col("news_id") % 3 == 0) & (F.col("click_ts") >= F.expr(LATE_CLICKS))
+    return joined.select(
+        "user_id",
+        "news_id",
+        "click_ts",
+        F.when(changed, F.concat(F.lit("Update: "), "title")).otherwise(F.col("title")).alias("title"),
+        F.when(changed, F.concat("content", F.lit(" (updated)"))).otherwise(F.col("content")).alias("content"),
+        "publish_text",
     )
 
 
