@@ -1,75 +1,77 @@
 """The same profiles, kept up to date from a stream of clicks.
 
-State is only ever a running sum or count per key, so Spark's own aggregates
-carry it. Each micro-batch writes the keys it changed to a folder of its own;
-a batch that is replayed after a failure replaces that folder.
+There is no state to hold: the profile is a table written as a log. Each
+micro-batch adds the changes its clicks make, worked out like a batch of its
+own (clicks counted per user and article, hot articles dealt over tasks). Now
+and then the changes are merged with the last snapshot into a new one, so a
+reader takes one snapshot and the few changes since. A batch that is replayed
+after a failure replaces its changes.
 """
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from broadsheet.functions.scores import decay
 from broadsheet.functions.times import hour_slot, hours_between
-from broadsheet.plans.skew import fits_broadcast
+from broadsheet.operators import profiles
 from broadsheet.plans.storage import fresh_path
 from broadsheet.settings import HALF_LIFE_HOURS, SLOT_HOURS
 
+MERGE_EVERY = 10  # micro-batches between snapshots
 
-def _small_side(table: DataFrame) -> DataFrame:
-    """The table, sent to all executors when it is counted to be small.
 
-    Streams have no measured sizes to go by. A larger table is joined by
-    shuffle; what one key can bring is bounded by the size of a micro-batch.
-    """
-    return F.broadcast(table) if fits_broadcast(table) else table
+@dataclass(frozen=True)
+class Running:
+    """A table kept by a stream: the change of a batch of clicks, and how changes are put together."""
 
+    change: Callable[[DataFrame], DataFrame]
+    merge: Callable[[DataFrame], DataFrame]
 
-def profile_stream(clicks: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Running weight of each (user, keyword)."""
-    return (
-        clicks.join(_small_side(keywords), "news_id")
-        .groupBy("user_id", "term")
-        .agg(F.sum("weight").alias("weight"))
+
+def _sums(keys: list[str], value: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda rows: rows.groupBy(*keys).agg(F.sum(value).alias(value))
+
+
+def running_profile(keywords: DataFrame) -> Running:
+    """Weight of each (user, keyword)."""
+    return Running(lambda clicks: profiles.keyword_profile(clicks, keywords), _sums(["user_id", "term"], "weight"))
+
+
+def running_categories(assignment: DataFrame) -> Running:
+    """Clicks per (user, category); the clicks carry ``publish_ts``."""
+    return Running(
+        lambda clicks: profiles.user_category_counts(clicks, assignment), _sums(["user_id", "category"], "clicks")
     )
 
 
-def decayed_profile_stream(
-    clicks: DataFrame,
-    keywords: DataFrame,
-    start: Column,
-    half_life_hours: float = HALF_LIFE_HOURS,
-) -> DataFrame:
-    """Running weight with half-life, seen from ``start``.
+def running_decay(keywords: DataFrame, half_life_hours: float = HALF_LIFE_HOURS) -> Running:
+    """Weight with half-life of each (user, keyword), as it was at ``seen``.
 
-    Forward decay: a click weighs more the later it comes, so what is stored
-    never has to be aged. :func:`decay_to` scales the sums when they are read.
-    Choose a ``start`` close to the data; the weights double every half-life
-    and overflow after about a thousand.
+    Weights are kept as of the newest click of their batch; merged, as of the
+    newest of all. They are only ever scaled down, so nothing overflows however
+    long the stream runs. :func:`decay_to` ages them when they are read.
     """
-    grown = F.pow(
-        F.lit(2.0), hours_between(start, F.col("click_ts")) / F.lit(float(half_life_hours))
-    )
-    return (
-        clicks.join(_small_side(keywords), "news_id")
-        .groupBy("user_id", "term")
-        .agg(F.sum(F.col("weight") * grown).alias("weight"))
-    )
 
+    def change(clicks: DataFrame) -> DataFrame:
+        newest = clicks.agg(F.max("click_ts")).scalar()
+        return profiles.decayed_profile(clicks, keywords, newest, half_life_hours).withColumn("seen", newest)
 
-def decay_to(
-    profile: DataFrame, start: Column, as_of: Column, half_life_hours: float = HALF_LIFE_HOURS
-) -> DataFrame:
-    """A forward-decayed profile as it is at ``as_of``."""
-    aged = F.pow(F.lit(2.0), -hours_between(start, as_of) / F.lit(float(half_life_hours)))
-    return profile.withColumn("weight", F.col("weight") * aged)
+    def merge(rows: DataFrame) -> DataFrame:
+        newest = rows.agg(F.max("seen")).scalar()
+        aged = F.col("weight") * decay(hours_between(F.col("seen"), F.col("_newest")), half_life_hours)
+        summed = rows.withColumn("_newest", newest).groupBy("user_id", "term").agg(F.sum(aged).alias("weight"), F.max("_newest").alias("seen"))
+        return summed
 
+    return Running(change, merge)
 
-def category_count_stream(clicks: DataFrame, assignment: DataFrame) -> DataFrame:
-    """Running clicks per (user, category)."""
-    return (
-        clicks.join(_small_side(assignment), ["news_id", "publish_ts"])
-        .groupBy("user_id", "category")
-        .agg(F.count(F.lit(1)).alias("clicks"))
-    )
+
+def decay_to(profile: DataFrame, as_of: Column, half_life_hours: float = HALF_LIFE_HOURS) -> DataFrame:
+    """A profile with half-life as it is at ``as_of``."""
+    aged = decay(hours_between(F.col("seen"), as_of), half_life_hours)
+    return profile.withColumn("weight", F.col("weight") * aged).drop("seen")
 
 
 def daily_click_stream(
@@ -94,31 +96,49 @@ def daily_click_stream(
 # --- running a stream ---------------------------------------------------------------
 
 
-def start_updates(
-    running: DataFrame, table: str, checkpoint: str, **trigger: object
-) -> StreamingQuery:
-    """Write the changed keys of every micro-batch under ``table``."""
+def record(running: Running, table: str, clicks: DataFrame, epoch: int, merge_every: int = MERGE_EVERY) -> None:
+    """Write the changes of one batch; every ``merge_every`` batches also a snapshot.
+
+    A snapshot counts once its mark is written, which comes last.
+    """
+    running.change(clicks).write.mode("overwrite").parquet(f"{table}/changes/epoch={epoch}")
+    if (epoch + 1) % merge_every == 0:
+        spark = clicks.sparkSession
+        latest(spark, table, running).write.mode("overwrite").parquet(f"{table}/merged/upto={epoch}")
+        _mark(spark, table, [(epoch,)])
+
+
+def _mark(spark: SparkSession, table: str, epochs: list[tuple[int]]) -> None:
+    spark.createDataFrame(epochs, "upto long").coalesce(1).write.mode("append").parquet(f"{table}/marks")
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
 
+def latest(spark: SparkSession, table: str, running: Running) -> DataFrame:
+    """The table as it is: the last snapshot and the changes since."""
+    upto = spark.read.schema("upto long").parquet(f"{table}/marks").agg(F.max("upto")).first()[0]
+    changes = spark.read.option("basePath", f"{table}/changes").parquet(f"{table}/changes")
+    rows = changes if upto is None else changes.where(F.col("epoch") > upto)
+    rows = rows.drop("epoch")
+    if upto is not None:
+        rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{table}/merged/upto={upto}"))
+    return running.merge(rows)
+
+
+def start_updates(
+    clicks: DataFrame, running: Running, table: str, checkpoint: str, merge_every: int = MERGE_EVERY, **trigger: object
+) -> StreamingQuery:
+    """Record the changes of every micro-batch of clicks under ``table``."""
+    spark = clicks.sparkSession
+    # so that there is a table to read before the first click; no batch has this number
+    running.change(spark.createDataFrame([], clicks.schema)).write.mode("overwrite").parquet(f"{table}/changes/epoch=-1")
+    _mark(spark, table, [])
     return (
-        running.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
+        clicks.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, epoch: record(running, table, batch, epoch, merge_every))
         .trigger(**trigger)
         .start()
     )
 
 
-def latest(spark: SparkSession, table: str, keys: list[str]) -> DataFrame:
-    """The newest value of each key of an update table."""
-    rows = spark.read.option("basePath", table).parquet(table)
-    values = [c for c in rows.columns if c not in (*keys, "epoch")]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "epoch").alias("v"))
-    return newest.select(*keys, "v.*")
-
-
 def start_append(
     finished: DataFrame, table: str, checkpoint: str, **trigger: object
 ) -> StreamingQuery:
@@ -133,14 +153,12 @@ def start_append(
     )
 
 
-def run_updates(running: DataFrame, keys: list[str]) -> DataFrame:
+def run_updates(clicks: DataFrame, running: Running) -> DataFrame:
     """Take all input there is, then return the table."""
-    spark = running.sparkSession
+    spark = clicks.sparkSession
     table, checkpoint = fresh_path(spark, "updates"), fresh_path(spark, "state")
-    # so that there is a table to read when the stream is empty
-    spark.createDataFrame([], running.schema).write.parquet(f"{table}/epoch=-1")
-    start_updates(running, table, checkpoint, availableNow=True).awaitTermination()
-    return latest(spark, table, keys)
+    start_updates(clicks, running, table, checkpoint, availableNow=True).awaitTermination()
+    return latest(spark, table, running)
 
 
 def run_append(finished: DataFrame) -> DataFrame:
