@@ -24,8 +24,8 @@ def article_list(log: DataFrame) -> DataFrame:
     return latest.withColumn("publish_ts", parse_publish_time(F.col("publish_text")))
 
 
-def _keep_split(spark: SparkSession, split: str, folder: str) -> None:
-    save_state({"split": spark.range(1).select(F.lit(split).alias("split"))}, folder)
+def _split_table(spark: SparkSession, split: str) -> DataFrame:
+    return spark.range(1).select(F.lit(split).alias("split"))
 
 
 def _kept_split(spark: SparkSession, folder: str):
@@ -42,14 +42,14 @@ def train_profiles(log: DataFrame, folder: str, split: str = "terms") -> dict[st
     ``split`` is "terms", or "bigrams" for Chinese texts; it is kept as well.
     """
     spark = prepare(log.sparkSession)
-    _keep_split(spark, split, folder)
-    save_state({"articles": article_list(log)}, folder)
-    news = load_state(spark, folder, ["articles"])["articles"]
-    save_state({"tags": keywords.title_body_keywords(news, SPLITS[split])}, folder)
-    tags = load_state(spark, folder, ["tags"])["tags"]
+    news = stored(article_list(log), "articles")
+    tags = stored(keywords.title_body_keywords(news, SPLITS[split]), "tags")
     clicks = articles.brief_clicks(log)
     save_state(
         {
+            "split": _split_table(spark, split),
+            "articles": news,
+            "tags": tags,
             "dictionary": keywords.keyword_dictionary(tags),
             "profiles": profiles.keyword_profile(clicks, tags),
         },
@@ -134,16 +134,15 @@ def train_categories(
     """Categories of the articles and a classifier for new ones, in ``folder``."""
     spark = prepare(log.sparkSession)
     news = stored(article_list(log), "articles")
-    _keep_split(spark, split, folder)
     cells = _cells(news, SPLITS[split])
     grouped = clusters.cluster_articles(cells, k).withColumnRenamed("cluster", "category")
-    assigned = grouped.join(news.select("news_id", "publish_ts"), "news_id")
-    save_state({"assignment": assigned}, folder)
-    assignment = load_state(spark, folder, ["assignment"])["assignment"]
+    assignment = stored(grouped.join(news.select("news_id", "publish_ts"), "news_id"), "assignment")
     labels = assignment.select("news_id", F.col("category").alias("label"))
     labelled = stored(bayes.labelled_cells(cells, labels), "labelled")
     save_state(
         {
+            "split": _split_table(spark, split),
+            "assignment": assignment,
             "terms": bayes.term_table(labelled, labels),
             "classes": bayes.label_table(labelled, labels),
         },

@@ -4,6 +4,7 @@ A field that should be a number and is none is read as null; no bad line ends
 a job.
 """
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -242,11 +243,33 @@ def write_table(frame: DataFrame, path: str, format: str = "parquet", **options:
     frame.write.mode("overwrite").format(format).options(**options).save(path)
 
 
+MANIFEST = "version long, name string, path string"
+
+
 def save_state(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Keep the tables of a trained model, one dataset each."""
+    """Keep the tables of a trained model, all or none.
+
+    Tables go to a folder of their own; one file added to the manifest, at the
+    end, makes them the current ones. A save that fails on the way leaves what
+    was there before, and a reader has the tables of one save.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    path = f"{folder}/versions/{uuid.uuid4().hex}"
     for name, frame in tables.items():
-        write_table(frame, f"{folder}/{name}")
+        write_table(frame, f"{path}/{name}")
+    version = 1 + (_manifest(spark, folder).agg(F.max("version")).first()[0] or 0)
+    rows = [(version, name, f"{path}/{name}") for name in tables]
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{folder}/manifest")
+
+
+def _manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The saves that are complete; none before the first."""
+    spark.createDataFrame([], MANIFEST).write.mode("append").parquet(f"{folder}/manifest")
+    return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
 def load_state(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+    """The named tables, each of the last save that had it."""
+    rows = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").where(F.col("name").isin(names))
+    paths = {r["name"]: r["path"] for r in rows.groupBy("name").agg(F.max_by("path", "version").alias("path")).collect()}
+    return {name: spark.read.parquet(paths[name]) for name in names}

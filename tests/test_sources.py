@@ -149,3 +149,18 @@ def test_category_flow(spark, log, tmp_path, at):
     new = flows.recommend_new(spark, folder, log, log, now, 2)
     assert {r["user_id"] for r in new.collect()} == {1, 2, 3, 4}
     assert new.where("rank > 2").count() == 0
+
+
+def test_a_failed_save_leaves_the_old_model(spark, tmp_path):
+    folder = str(tmp_path / "model")
+    one, two = spark.range(3), spark.range(5)
+    tables.save_state({"a": one, "b": one}, folder)
+    broken = two.select(F.raise_error(F.lit("lost")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        tables.save_state({"a": two, "b": broken}, folder)
+    kept = tables.load_state(spark, folder, ["a", "b"])
+    assert (kept["a"].count(), kept["b"].count()) == (3, 3)
+    before = kept["a"]
+    tables.save_state({"a": two}, folder)
+    now = tables.load_state(spark, folder, ["a", "b"])
+    assert (now["a"].count(), now["b"].count(), before.count()) == (5, 3, 3)  # a reader keeps what it had
