@@ -1,7 +1,8 @@
 """k-means categories of articles.
 
-Two ways in: Spark ML for dense vectors, and Lloyd steps on the sparse
-article-term matrix, whose vocabulary has no bound and is never made dense.
+Two ways in: Lloyd rounds on dense vectors held as arrays (or Spark ML, with
+random seeds), and on the sparse article-term matrix, whose vocabulary has no
+bound and is never made dense.
 """
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -28,6 +29,39 @@ def seeds(vectors: DataFrame, key: str = "vec_id", k: int = CLUSTERS) -> DataFra
     return picked.withColumn("cluster", F.row_number().over(order) - 1)
 
 
+def _mean_vectors(assigned: DataFrame, width: int) -> DataFrame:
+    """Mean vector of each cluster, all dimensions in one aggregate."""
+    sums = [F.avg(F.get("embedding", F.lit(d)).cast("double")).alias(f"d{d}") for d in range(width)]
+    means = assigned.groupBy("cluster").agg(*sums)
+    return means.select("cluster", F.array(*[f"d{d}" for d in range(width)]).alias("embedding"))
+
+
+def lloyd(
+    vectors: DataFrame, k: int = CLUSTERS, steps: int = CLUSTER_STEPS, delta: float = CLUSTER_DELTA, key: str = "vec_id"
+) -> DataFrame:
+    """Centres (cluster, embedding) after at most ``steps`` rounds from fixed seeds.
+
+    A round sends the ``k`` centres to the rows and sums vectors in one
+    aggregate, so only sums are shuffled. Rounds end early when no centre moved
+    further than ``delta``; a cluster without members keeps its centre.
+    """
+    width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
+    doubles = F.col("embedding").cast("array<double>").alias("embedding")
+    now = stored(seeds(vectors, key, k).select("cluster", doubles), "centres")
+    for _ in range(steps if width else 0):
+        means = _mean_vectors(assign(vectors, now), width).withColumnRenamed("embedding", "mean")
+        squares = F.zip_with("embedding", "mean", lambda x, m: F.pow(x - m, F.lit(2.0)))
+        moved = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, s: total + s))
+        after = now.join(means, "cluster", "left").select(
+            "cluster", F.coalesce("mean", "embedding").alias("embedding"), F.coalesce(moved, F.lit(0.0)).alias("moved")
+        )
+        after = stored(after, "centres")
+        now = after.select("cluster", "embedding")
+        if after.agg(F.max("moved")).first()[0] <= delta:
+            break
+    return now
+
+
 def fit(
     vectors: DataFrame, k: int = CLUSTERS, steps: int = CLUSTER_STEPS,
     delta: float = CLUSTER_DELTA, seed: int = 42,

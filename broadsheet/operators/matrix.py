@@ -15,6 +15,17 @@ def vocabulary(keywords: DataFrame) -> DataFrame:
     return numbered.select("term", (F.col("position") - 1).alias("term_id"))
 
 
+def extended_vocabulary(words: DataFrame, keywords: DataFrame) -> DataFrame:
+    """The vocabulary with the new terms of ``keywords`` behind it; ids given once stay as they are.
+
+    New terms are numbered in term order from after the largest id, over many
+    tasks, so ids stay dense and a matrix made with the old ones stays right.
+    """
+    fresh = vocabulary(keywords.select("term").distinct().join(words, "term", "left_anti"))
+    start = words.agg((F.coalesce(F.max("term_id"), F.lit(-1)) + 1).alias("start")).scalar()
+    return words.select("term", "term_id").unionByName(fresh.withColumn("term_id", F.col("term_id") + start))
+
+
 def known_terms(keywords: DataFrame, words: DataFrame) -> DataFrame:
     """Keywords that are in the vocabulary."""
     return _on_vocabulary(keywords, words.select("term"))

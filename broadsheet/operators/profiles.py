@@ -226,3 +226,20 @@ def profile_maps(
             F.coalesce("profile", empty).alias("profile"),
         )
     )
+
+
+def profile_map(profile: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """The whole profile of a user as one map; with ``users`` those without keywords get an empty one.
+
+    A map is one row of one user, so it is as large as the profile; use
+    :func:`profile_maps` where a profile may outgrow a row.
+    """
+    whole = profile_maps(profile).groupBy("user_id").agg(
+        F.flatten(F.collect_list(F.map_entries("profile"))).alias("entries")
+    )
+    whole = whole.select("user_id", F.map_from_entries(F.array_sort("entries")).alias("profile"))
+    if users is None:
+        return whole
+    empty = F.expr("cast(map() as map<string,double>)")
+    everyone = users.select("user_id").distinct()
+    return everyone.join(whole, "user_id", "left").select("user_id", F.coalesce("profile", empty).alias("profile"))

@@ -17,8 +17,18 @@ PARTS = {
         SELECT user_id, cast(regexp_extract(props, '([0-9]+)', 1) AS bigint) AS news_id, ts AS click_ts
         FROM events WHERE event_type IN ('click', 'view')""",
     "raw_log": """
-        SELECT user_id, news_id, click_ts, title, content, publish_text
-        FROM clicks JOIN news USING (news_id)""",
+        WITH opened AS (
+            SELECT news_id % 97 AS user_id, news_id,
+                   timestamp '2024-01-01 00:00:00' + to_seconds(news_id % 86400) AS click_ts FROM news
+        ), lines AS (
+            SELECT user_id, news_id, click_ts FROM clicks UNION ALL SELECT * FROM opened
+            UNION ALL SELECT user_id, news_id, click_ts + interval 20 days FROM opened WHERE news_id % 3 = 0
+        )
+        SELECT user_id, news_id, click_ts,
+               CASE WHEN changed THEN 'Update: ' || title ELSE title END AS title,
+               CASE WHEN changed THEN content || ' (updated)' ELSE content END AS content, publish_text
+        FROM (SELECT *, news_id % 3 = 0 AND click_ts >= timestamp '2024-01-16 00:00:00' AS changed
+              FROM lines JOIN news USING (news_id))""",
     "timed_clicks": """
         SELECT user_id, news_id, click_ts,
                CASE WHEN news_id % 7 = 0 THEN timestamp '1970-01-01 00:00:00'
@@ -145,6 +155,29 @@ PARTS = {
 }
 
 
+def _lloyd(steps: int = 3, delta: float = 0.01) -> str:
+    """Rounds of k-means on the embeddings, one after the other; they stand still once no centre moves far."""
+    parts = ["c0 AS (SELECT cluster, embedding::DOUBLE[] AS v, false AS done FROM first_centres)"]
+    near = """SELECT vec_id, embedding, cluster, distance FROM (
+        SELECT e.vec_id, e.embedding, c.cluster, round(list_distance(e.embedding::DOUBLE[], c.v) ** 2, 9) AS distance
+        FROM embeddings e, {c} c) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1"""
+    for i in range(steps):
+        parts.append(f"n{i} AS ({near.format(c=f'c{i}')})")
+        parts.append(f"""m{i} AS (
+            SELECT cluster, list(x ORDER BY d) AS v FROM (
+                SELECT cluster, d, avg(x) AS x FROM (
+                    SELECT cluster, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d FROM n{i})
+                GROUP BY cluster, d) GROUP BY cluster)""")
+        parts.append(f"""c{i + 1} AS (
+            SELECT c.cluster, CASE WHEN c.done THEN c.v ELSE coalesce(m.v, c.v) END AS v,
+                   c.done OR max(coalesce(list_distance(m.v, c.v), 0)) OVER () <= {delta} AS done
+            FROM c{i} c LEFT JOIN m{i} m USING (cluster))""")
+    return f"""
+        WITH {", ".join(parts)}
+        SELECT cluster, count(*) AS n_members, round(sum(distance), 6) AS inertia FROM ({near.format(c=f'c{steps}')})
+        GROUP BY cluster"""
+
+
 def _corpus(name: str) -> None:
     """Top-50 keywords of one part of the news, on its own corpus."""
     PARTS[f"{name}_counts"] = rf"""
@@ -310,6 +343,10 @@ BODIES = {
         SELECT news_id, title, content, publish_text FROM raw_log
         QUALIFY row_number() OVER (PARTITION BY news_id ORDER BY click_ts DESC, content DESC) = 1""",
     "vocabulary": "SELECT term, term_id FROM words",
+    "vocabulary_append": """
+        SELECT term, term_id FROM train_words UNION ALL
+        SELECT term, (SELECT count(*) FROM train_words) + row_number() OVER (ORDER BY term) - 1
+        FROM (SELECT DISTINCT term FROM top WHERE term NOT IN (SELECT term FROM train_words))""",
     "category_list": "SELECT DISTINCT cast(category AS varchar) AS category FROM assignment",
     "keyword_dictionary": "SELECT DISTINCT md5(term) AS term_hash, term FROM tags",
     # joins
@@ -336,7 +373,10 @@ BODIES = {
     "hash_to_keyword": "SELECT news_id, md5(term) AS term_hash, term, round(weight, 6) AS weight FROM tags",
     "attach_titles": """
         SELECT user_id, rank, news_id, title FROM overlap_lists JOIN news USING (news_id) WHERE rank <= 10""",
-    "pref_join_scores": "SELECT user_id, category, news_id, round(score, 6) AS score FROM preferred",
+    "pref_join_scores": """
+        SELECT user_id, category, news_id, place, round(score, 6) AS score FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id, category ORDER BY round(gravity, 9) DESC, news_id) AS place
+            FROM preferred) WHERE place <= 50""",
     # aggregations
     "term_counts": "SELECT news_id, n_terms, term, n FROM counts JOIN lengths USING (news_id)",
     "doc_lengths": "SELECT news_id, n_terms FROM lengths",
@@ -378,7 +418,8 @@ BODIES = {
         FROM gravities""",
     "top10_per_user": """
         SELECT user_id, news_id, rank FROM overlap_lists WHERE rank <= 10""",
-    "user_score_order": "SELECT user_id, news_id, category, rank, round(score, 6) AS score FROM preferred",
+    "user_score_order": """
+        SELECT user_id, news_id, category, rank, round(score, 6) AS score FROM preferred WHERE rank BETWEEN 11 AND 60""",
     "first_n_keywords": "SELECT news_id, term, rank FROM best WHERE rank <= 5",
     # text scoring and recommendation
     "term_frequency": "SELECT news_id, term, round(tf, 6) AS tf FROM scored",
@@ -401,8 +442,10 @@ BODIES = {
     "recommend_by_preference": """
         SELECT user_id, news_id, category, rank, round(score, 6) AS score FROM preferred WHERE rank <= 10""",
     "recommend_new_articles": """
-        SELECT user_id, news_id, category FROM shares
-        JOIN (SELECT news_id, label AS category FROM new_predicted) USING (category)""",
+        SELECT user_id, news_id, category,
+               row_number() OVER (PARTITION BY user_id ORDER BY round(share, 9) DESC, category, news_id) AS rank
+        FROM shares JOIN (SELECT news_id, label AS category FROM new_predicted) USING (category)
+        QUALIFY rank <= 10""",
     "recommend_by_overlap": """
         SELECT user_id, news_id, rank, round(score, 6) AS score FROM overlap_lists WHERE rank <= 10""",
     "recommend_unread_by_overlap": """
@@ -417,6 +460,7 @@ BODIES = {
     "kmeans_seeds": """
         SELECT cluster, vec_id, unnest(range(len(embedding))) AS dim,
                round(unnest(embedding)::double, 6) AS value FROM first_centres""",
+    "kmeans_fit": _lloyd(),
     "kmeans_assign": "SELECT vec_id, cluster, round(distance, 6) AS distance FROM nearest",
     "kmeans_centres": """
         SELECT cluster, dim, round(avg(value), 6) AS mean FROM (

@@ -357,6 +357,13 @@ def keyword_dictionary(spark, sf):
     return keywords.keyword_dictionary(_stored_tags(spark, sf))
 
 
+@query
+def vocabulary_append(spark, sf):
+    """Ids of the training articles' keywords stay when those of all articles are added."""
+    train = stored(matrix.vocabulary(_train_cells(spark, sf)), "words")
+    return matrix.extended_vocabulary(train, _stored_top(spark, sf)).select("term", "term_id")
+
+
 # --- joins --------------------------------------------------------------------------------------
 
 
@@ -417,8 +424,10 @@ def attach_titles(spark, sf):
 
 @query
 def pref_join_scores(spark, sf):
-    return ranking.preference_scores(_stored_shares(spark, sf), _stored_gravity(spark, sf)).select(
-        "user_id", "category", "news_id", r6("score")
+    """The first 50 articles of each category that a user reads."""
+    heads = ranking.category_heads(_stored_gravity(spark, sf), 50)
+    return ranking.preference_scores(_stored_shares(spark, sf), heads).select(
+        "user_id", "category", "news_id", "place", r6("score")
     )
 
 
@@ -534,7 +543,8 @@ def top10_per_user(spark, sf):
 
 @query
 def user_score_order(spark, sf):
-    return ranking.user_score_order(_stored_shares(spark, sf), _stored_gravity(spark, sf)).select(
+    """Places 11 to 60 of every user's whole order."""
+    return ranking.user_score_page(_stored_shares(spark, sf), _stored_gravity(spark, sf), 11, 50).select(
         "user_id", "news_id", "category", "rank", r6("score")
     )
 
@@ -662,8 +672,7 @@ def recommend_after_updates(spark, sf):
     tags = _stored_tags(spark, sf)
     late = F.col("click_ts") >= F.expr(views.LATE_CLICKS)
     trained = profiles.keyword_profile(views.clicks(spark, sf).where(~late), tags)
-    running = streams.profile_stream(views.click_stream(spark, sf).where(late), tags)
-    updates = streams.run_updates(running, ["user_id", "term"])
+    updates = streams.run_updates(views.click_stream(spark, sf).where(late), streams.running_profile(tags))
     return _lists_of(spark, sf, stored(profiles.merged_profile(trained, updates), "merged"), tags)
 
 
@@ -687,9 +696,10 @@ def kmeans_seeds(spark, sf):
 
 @query
 def kmeans_fit(spark, sf):
-    model = clusters.fit(views.vectors(spark, sf))
-    assigned = clusters.assign_with(model, views.vectors(spark, sf))
-    return clusters.cluster_sizes(assigned)
+    vectors = views.vectors(spark, sf)
+    assigned = stored(clusters.assign(vectors, clusters.lloyd(vectors)).select("vec_id", "cluster", "distance"), "assigned")
+    sums = assigned.groupBy("cluster").agg(F.sum("distance").alias("inertia"))
+    return clusters.cluster_sizes(assigned).join(sums, "cluster").select("cluster", "n_members", r6("inertia"))
 
 
 @query
@@ -769,30 +779,20 @@ def slot_boosted_profile(spark, sf):
 
 @query
 def stream_user_profile(spark, sf):
-    running = streams.profile_stream(views.click_stream(spark, sf), _stored_tags(spark, sf))
-    return streams.run_updates(running, ["user_id", "term"]).select(
-        "user_id", "term", r6("weight")
-    )
+    running = streams.running_profile(_stored_tags(spark, sf))
+    return streams.run_updates(views.click_stream(spark, sf), running).select("user_id", "term", r6("weight"))
 
 
 @query
 def stream_decayed_profile(spark, sf):
-    start = views.stream_start()
-    running = streams.decayed_profile_stream(
-        views.click_stream(spark, sf), _stored_tags(spark, sf), start
-    )
-    stored = streams.run_updates(running, ["user_id", "term"])
-    return streams.decay_to(stored, start, views.as_of()).select(
-        "user_id", "term", r6("weight")
-    )
+    kept = streams.run_updates(views.click_stream(spark, sf), streams.running_decay(_stored_tags(spark, sf)))
+    return streams.decay_to(kept, views.as_of()).select("user_id", "term", r6("weight"))
 
 
 @query
 def stream_category_counts(spark, sf):
-    running = streams.category_count_stream(
-        views.with_publish_time(views.click_stream(spark, sf)), views.assignment(spark, sf)
-    )
-    return streams.run_updates(running, ["user_id", "category"])
+    timed = views.with_publish_time(views.click_stream(spark, sf))
+    return streams.run_updates(timed, streams.running_categories(views.assignment(spark, sf)))
 
 
 @query

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.linalg import Vectors
@@ -176,7 +177,7 @@ TAGS = "news_id long, term string, weight double"
 def test_profile_sums_over_clicks_and_keeps_users_without_keywords(frame, at):
     clicks = frame([(1, 5, at(0)), (1, 5, at(9)), (1, 6, at(1)), (2, 99, at(0))], CLICKS)
     tags = frame([(5, "a", 0.5), (5, "b", 0.25), (6, "a", 1.0)], TAGS)
-    maps = profiles.profile_maps(profiles.keyword_profile(clicks, tags), clicks)
+    maps = profiles.profile_map(profiles.keyword_profile(clicks, tags), clicks)
     assert {r["user_id"]: r["profile"] for r in maps.collect()} == {1: {"a": 2.0, "b": 0.5}, 2: {}}
 
 
@@ -247,13 +248,10 @@ def test_overlap_of_one_shared_tag(frame):
     assert math.isclose(counts["s2"], 5.0)
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_overlap_lists_equal_brute_force(frame, monkeypatch, small):
-    """All articles are scored for all users; lists that run short are padded.
-
-    The same with candidates sent to all tasks and with a shuffle by keyword.
-    """
-    monkeypatch.setattr(ranking, "fits_broadcast", lambda frame: small)
+@pytest.mark.parametrize("block", [64, 2])
+def test_overlap_lists_equal_brute_force(frame, monkeypatch, block):
+    """All articles are scored for all users; lists that run short are padded."""
+    monkeypatch.setattr(ranking, "LIST_BLOCK", block)
     random.seed(3)
     tags = "abcdefghijklmnopqrstuvwxyz"
 
@@ -278,6 +276,30 @@ def test_overlap_lists_equal_brute_force(frame, monkeypatch, small):
         assert all(0 <= s <= 1 + 1e-12 for _, s in mine)  # sums differ in order
 
 
+def test_most_pairs_are_never_made(spark, frame, monkeypatch):
+    """Lists equal brute force while far fewer pairs are scored than there are."""
+    monkeypatch.setattr(ranking, "LIST_BLOCK", 8)
+    random.seed(9)
+    weight = {f"t{i}": 6.0 / (1 + i) ** 1.5 for i in range(300)}  # a few heavy keywords, many light ones
+
+    def some(n):
+        return {t: round(weight[t] * random.uniform(0.8, 1.2), 4) for t in random.sample(sorted(weight), n)}
+
+    users, news = {u: some(40) for u in range(40)}, {a: some(20) for a in range(1000, 1400)}
+    profile, tags = frame(as_rows(users), "user_id long, term string, weight double"), frame(as_rows(news), TAGS)
+    got = defaultdict(list)
+    for r in ranking.recommend_by_overlap(profile, tags, 10).orderBy("rank").collect():
+        got[r["user_id"]].append(r["news_id"])
+    for u, user in users.items():
+        scored = sorted(((-round(brute_overlap(user, a), 9), -n) for n, a in news.items()))[:10]
+        assert got[u] == [-n for _, n in scored]
+    with_totals = ranking._with_news_totals(tags).withColumnRenamed("weight", "tag_weight")
+    pairs, tried = ranking.overlap_candidates(profile, with_totals, 10)
+    overlapping = sum(1 for u in users.values() for a in news.values() if u.keys() & a.keys())
+    assert overlapping > 14_000
+    assert pairs.count() + tried.count() < 0.4 * overlapping
+
+
 def test_read_articles_can_be_left_out(frame, rows):
     profile = frame(as_rows({1: {"a": 1.0}}), "user_id long, term string, weight double")
     tags = frame(as_rows({5: {"a": 1.0}, 6: {"a": 2.0}, 7: {"b": 3.0}}), TAGS)
@@ -303,9 +325,20 @@ def test_lists_by_preference_equal_the_head_of_the_whole_order(frame):
     scored = frame([(c, 100 * c + i, random.choice([0.1, 0.2, 0.4])) for c in range(4) for i in range(30)], "category int, news_id long, gravity double")
     shares = frame([(u, c, s) for u in range(9) for c, s in ((u % 4, 0.5), ((u + 1) % 4, 0.25), ((u + 2) % 4, 0.25))], "user_id long, category int, share double")
     head = {(r["user_id"], r["rank"]): r["news_id"] for r in ranking.recommend_by_preference(shares, scored, 10).collect()}
+    page = {(r["user_id"], r["rank"]): r["news_id"] for r in ranking.user_score_page(shares, scored, 25, 20).collect()}
     whole = {(r["user_id"], r["rank"]): r["news_id"] for r in ranking.user_score_order(shares, scored).collect()}
     assert len(head) == 90 and len(whole) == 9 * 90
     assert all(whole[k] == v for k, v in head.items())
+    assert page == {k: v for k, v in whole.items() if 25 <= k[1] < 45}
+
+
+def test_new_articles_come_in_pages(frame, rows):
+    fresh = frame([(n, n % 2) for n in range(20)], "news_id long, category int")
+    shares = frame([(1, 0, 0.7), (1, 1, 0.3), (2, 1, 1.0), (2, 0, 0.0)], "user_id long, category int, share double")
+    got = ranking.recommend_new(fresh, shares, 9, 4)
+    assert rows(got, "user_id", "rank", "news_id") == [
+        (1, 9, 16), (1, 10, 18), (1, 11, 1), (1, 12, 3), (2, 9, 17), (2, 10, 19),
+    ]
 
 
 # --- classes and clusters ---------------------------------------------------------
@@ -363,6 +396,38 @@ def test_sparse_k_means_equals_dense_steps(frame):
     assert got == nearest()
 
 
+def test_dense_k_means_equals_plain_rounds(frame):
+    random.seed(7)
+    vectors = {i: [round(random.gauss(3 * (i % 4), 1), 3) for _ in range(5)] for i in range(80)} | {900: [99.0] * 5, 901: [99.0] * 5}
+    table = frame(list(vectors.items()), "vec_id long, embedding array<float>")
+    seeded = [r["vec_id"] for r in clusters.seeds(table, k=5).orderBy("cluster").collect()]
+    plain = {i: [float(np.float32(x)) for x in v] for i, v in vectors.items()}
+    centres = [plain[i] for i in seeded]
+    for steps in range(1, 30):
+        groups = {i: min(range(5), key=lambda c: (round(math.dist(v, centres[c]) ** 2, 9), c)) for i, v in plain.items()}
+        means = [[v for i, v in plain.items() if groups[i] == c] for c in range(5)]
+        after = [[sum(x) / len(m) for x in zip(*m)] if m else centres[c] for c, m in enumerate(means)]
+        moved = max(map(math.dist, centres, after))
+        centres = after
+        if steps == 2 or moved <= 0.01:
+            got = clusters.lloyd(table, 5, steps).orderBy("cluster").collect()
+            assert all(math.dist(r["embedding"], c) < 1e-9 for r, c in zip(got, centres)) and len(got) == 5
+        if moved <= 0.01:
+            break
+    longer = clusters.lloyd(table, 5, 40).orderBy("cluster").collect()  # stops by itself
+    assert all(math.dist(r["embedding"], c) < 1e-9 for r, c in zip(longer, centres))
+    assert clusters.lloyd(table.limit(0), 5).count() == 0
+
+
+def test_vocabulary_ids_never_move(frame, rows):
+    first = matrix.vocabulary(frame([(1, "m"), (1, "c"), (2, "m")], "news_id long, term string"))
+    more = frame([(3, "a"), (3, "m"), (4, "z"), (4, "a")], "news_id long, term string")
+    grown = matrix.extended_vocabulary(first, more)
+    assert rows(grown, "term_id", "term") == [(0, "c"), (1, "m"), (2, "a"), (3, "z")]
+    assert rows(matrix.extended_vocabulary(grown, more), "term_id") == [(i,) for i in range(4)]
+    assert rows(matrix.extended_vocabulary(grown.limit(0), more), "term_id", "term") == [(0, "a"), (1, "m"), (2, "z")]
+
+
 def test_an_empty_cluster_keeps_its_centre(frame):
     """A cluster that never had a seed takes nobody.
 
