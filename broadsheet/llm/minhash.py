@@ -14,12 +14,16 @@ posted: two signatures with 16 collisions share a posted value whatever the
 order. So values that very many documents have, from passages that all carry,
 are mostly not posted at all.
 
-Merging: of each posting list, members first meet its hub only, the member
-whose values collide most. Pairs are retained by the collisions of their whole
-signatures and confirmed on full sets; links join the members of a list to
-components. Lists whose members are all in one component are then skipped; in
-the others, members of different components meet. Every pair with enough
-collisions is so confirmed, or already connected.
+Merging: the members of a posting list are matched by the collisions of their
+whole signatures, and of the matches a forest is kept that spans them. What
+hangs together so is a block; every pair with enough collisions lies in one.
+Full sets are then dealt by block, once, and compared in the tasks, which again
+give a spanning forest of the links, not all of them. A list or block that is
+too large for a task first meets its hub, the member whose values collide most.
+Members that match it hang together already and need not meet each other; the
+others meet all, dealt over a grid of tasks. (The cost of that rest grows with
+its number times the group's: copies of one text that are all just below the
+threshold to each other. Rows shuffled grow with that product by ``CELL_BYTES``.)
 
 Shingles are compared by 64-bit hashes, sets by 128-bit digests. Documents
 without words have empty sets and are linked with nothing, with each other
@@ -27,14 +31,16 @@ neither. A null doc_id counts as the largest. Repeated rows repeat in the
 result. An empty table gives an empty result; further columns are not read.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from broadsheet.llm.common import LAST_ID, map_rows, whole_text
 from broadsheet.llm.components import components
+from broadsheet.llm.simhash import spanning
 from broadsheet.plans.bitfilter import BITS, bit_filter, hits, packed, without_misses
 from broadsheet.plans.skew import salted_join
 from broadsheet.plans.storage import stored
@@ -43,6 +49,7 @@ SHINGLE = 4
 PERCENT = 80
 COORDINATES = 40
 MATCHES = 16
+CELL_BYTES = 8 << 20  # of a list or block that one task compares
 _BLOCK = 4 << 20
 _ROWS = 4096  # shingles hashed at once
 
@@ -104,37 +111,37 @@ def set_digest(shingles: np.ndarray) -> bytes:
 
 
 def signed_documents(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, _set (digest) and _values (the signature) of every row."""
+    """doc_id, n_shingles, _set (digest), _values (the signature) and _bytes (one of each value) of every row."""
 
     def row(doc_id, text) -> Iterator[tuple]:
         shingles = shingle_set(text, shingle)
-        values = signature(shingles).tolist() if len(shingles) else []
-        yield doc_id, len(shingles), set_digest(shingles), values
+        values = signature(shingles) if len(shingles) else np.zeros(0, np.int64)
+        yield doc_id, len(shingles), set_digest(shingles), values.tolist(), (values >> 32).astype(np.uint8).tobytes()
 
-    schema = "doc_id long, n_shingles long, _set binary, _values array<long>"
+    schema = "doc_id long, n_shingles long, _set binary, _values array<long>, _bytes binary"
     return map_rows(docs.select("doc_id", whole_text().alias("text")), schema, row)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """_id and _shingles of the classes in ``wanted`` (_id, _set); texts of others are ruled out where they are read."""
+    """_id and _data (the hashes, as bytes) of the classes in ``wanted`` (_id, _set); other texts are ruled out where they are read."""
     sent = docs.sparkSession.sparkContext.broadcast(packed(bit_filter(wanted, ["_set"])))
 
     def row(text) -> Iterator[tuple]:
         shingles = shingle_set(text, shingle)
         digest = set_digest(shingles)
         if hits(sent.value, np.array([xxhash.xxh64_intdigest(digest, 42)], np.uint64).view(np.int64))[0]:
-            yield digest, shingles.view(np.int64).tolist()
+            yield digest, shingles.tobytes()
 
-    found = map_rows(docs.select(whole_text().alias("text")), "_set binary, _shingles array<long>", row)
-    return stored(found.dropDuplicates(["_set"]).join(wanted, "_set").select("_id", "_shingles"), "sets")
+    found = map_rows(docs.select(whole_text().alias("text")), "_set binary, _data binary", row)
+    return stored(found.join(wanted, "_set").dropDuplicates(["_id"]).select("_id", "_data"), "sets")
 
 
 # ---- postings ---------------------------------------------------------------------
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """_value, _id, _n and _weight: the classes under the values of their prefixes."""
-    every = classes.select("_id", F.col("n_shingles").alias("_n"), F.explode("_values").alias("_value"))
+    """_group (the value), _id, _data (a byte of each coordinate), _n and _weight: classes under the values of their prefixes."""
+    every = classes.select("_id", F.explode("_values").alias("_value"))
     counted = every.groupBy("_value").agg(F.count(F.lit(1)).alias("_classes"))
     shared = stored(counted.where("_classes > 1"), "shared")
     may_match = without_misses(every, ["_value"], bit_filter(shared, ["_value"], BITS), BITS)
@@ -147,57 +154,158 @@ def postings(classes: DataFrame) -> DataFrame:
         F.row_number().over(of_class.orderBy("_classes", "_value")).alias("_place"),
     )
     # the values that are not shared have the first places
-    prefix = placed.where(F.col("_place") <= F.col("_shared") - MATCHES + 1)
-    return stored(prefix.select("_value", "_id", "_n", "_weight"), "postings")
-
-
-def _alike_in_size(n: str, m: str):
-    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
-
-
-def _pairs(met: DataFrame) -> DataFrame:
-    close = met.where(_alike_in_size("_n", "_m")).where("_id <> _other")
-    return close.select(F.least("_id", "_other").alias("a"), F.greatest("_id", "_other").alias("b")).distinct()
-
-
-def hub_pairs(posted: DataFrame) -> DataFrame:
-    """Every member of a posting list with the member that collides most."""
-    lists = stored(
-        posted.groupBy("_value").agg(F.count(F.lit(1)).alias("_long"), F.max(F.struct("_weight", "_id", "_n")).alias("_hub"))
-        .where("_long > 1").select("_value", "_long", F.col("_hub._id").alias("_other"), F.col("_hub._n").alias("_m")),
-        "lists",
+    prefix = placed.where(F.col("_place") <= F.col("_shared") - MATCHES + 1).select("_value", "_id", "_weight")
+    signed = classes.select("_id", "_bytes", F.col("n_shingles").alias("_n"))
+    signed = prefix.join(signed, "_id")  # a class has one posting a coordinate at most
+    return stored(signed.select(F.col("_value").alias("_group"), "_id", F.col("_bytes").alias("_data"), "_n", "_weight"), "postings")
+
+
+# ---- matching in tasks ---------------------------------------------------------------
+
+Compare = Callable[[list[bytes], np.ndarray, list[bytes], np.ndarray], np.ndarray]
+
+
+def _sizes_alike(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    return 100 * np.minimum(n[:, None], m) >= PERCENT * np.maximum(n[:, None], m)
+
+
+def collisions_suffice(a: list[bytes], n: np.ndarray, b: list[bytes], m: np.ndarray) -> np.ndarray:
+    """Which signatures of ``a`` and ``b`` (rows and columns) may belong to similar sets."""
+    x, y = (np.frombuffer(b"".join(d), np.uint8).reshape(-1, COORDINATES) for d in (a, b))
+    count = np.zeros((len(x), len(y)), np.uint8)
+    for k in range(COORDINATES):
+        count += x[:, k, None] == y[:, k]
+    return (count >= MATCHES) & _sizes_alike(n, m)
+
+
+def sets_alike(a: list[bytes], n: np.ndarray, b: list[bytes], m: np.ndarray) -> np.ndarray:
+    """Which sets of ``a`` and ``b`` are as similar as asked, by exact counts of common shingles."""
+    left, right = (np.frombuffer(b"".join(d), np.uint64) for d in (a, b))
+    common = np.intersect1d(left, right)  # others are in no pair
+    both = np.zeros((len(a), len(b)), np.float32)
+    own, other = (np.repeat(np.arange(len(d)), size) for d, size in ((a, n), (b, m)))
+    for at in range(0, len(common), _COLUMNS):
+        part = common[at : at + _COLUMNS]
+        tables = []
+        for values, rows, size in ((left, own, len(a)), (right, other, len(b))):
+            place = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            here = part[place] == values
+            table = np.zeros((size, len(part)), np.float32)
+            table[rows[here], place[here]] = 1
+            tables.append(table)
+        both += tables[0] @ tables[1].T
+    both = both.astype(np.int64)  # sums of ones, exact up to 2^24 shingles
+    return 100 * both >= PERCENT * (n[:, None] + m - both)
+
+
+def _edges(ids: np.ndarray, n: np.ndarray, data: list[bytes], kinds: np.ndarray, compare: Compare) -> tuple[np.ndarray, np.ndarray]:
+    """A forest that spans the matches of a cell: its outsiders (kind 0 or 2) with all (kind 1 or 2)."""
+    rows, columns = np.flatnonzero(kinds != 1), np.flatnonzero(kinds != 0)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    far = [data[i] for i in columns]
+    for at in range(0, len(rows), _ROWS_AT_ONCE):
+        some = rows[at : at + _ROWS_AT_ONCE]
+        i, j = np.nonzero(compare([data[k] for k in some], n[some], far, n[columns]))
+        left.append(ids[some[i]])
+        right.append(ids[columns[j]])
+    a, b = np.concatenate(left), np.concatenate(right)
+    keep = a != b
+    nodes, node = np.unique(np.concatenate((a[keep], b[keep])), return_inverse=True)
+    label = spanning(len(nodes), *np.split(node, 2))
+    hung = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[hung], nodes[label[hung]]
+
+
+_ROWS_AT_ONCE = 256
+_COLUMNS = 4096
+
+
+def _in_cells(compare: Compare) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Works on rows _group, _row, _column, _id, _n, _kind, _data, sorted by cell: whole cells at a time."""
+
+    def work(table: pa.Table) -> pa.RecordBatch:
+        keys = np.stack([table.column(k).to_numpy() for k in range(3)])
+        starts = np.flatnonzero(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(0))))
+        ids, n, kinds = (table.column(k).to_numpy() for k in (3, 4, 5))
+        data = table.column(6).to_pylist()
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)]):
+            if stop - start > 1:
+                x, y = _edges(ids[start:stop], n[start:stop], data[start:stop], kinds[start:stop], compare)
+                a.append(x)
+                b.append(y)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (a, b)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(h.nbytes for h in held) < _FLUSH_BYTES:
+                continue
+            table = pa.Table.from_batches(held)
+            last = [table.column(k)[table.num_rows - 1].as_py() for k in range(3)]
+            same = np.logical_and.reduce([table.column(k).to_numpy() == v for k, v in enumerate(last)])
+            cut = int(np.argmax(same))  # the last cell may go on
+            if cut:
+                yield work(table.slice(0, cut))
+            held = table.slice(cut).combine_chunks().to_batches()
+        if held:
+            yield work(pa.Table.from_batches(held))
+
+    return run
+
+
+_FLUSH_BYTES = 4 << 20
+
+
+def matches(members: DataFrame, compare: Compare) -> DataFrame:
+    """Edges (a, b) that span all matches within the groups of ``members`` (_group, _id, _n, _weight, _data)."""
+    size = F.octet_length("_data") + 64
+    groups = members.groupBy("_group").agg(F.count(F.lit(1)).alias("_rows"), F.sum(size).alias("_size"), F.max(F.struct("_weight", "_id")).alias("_hub"))
+    groups = stored(groups.where("_rows > 1").select("_group", "_rows", "_size", F.col("_hub._id").alias("_top")), "groups")
+    whole = salted_join(members, groups.drop("_rows"), "_group", groups, "_rows", ["_id"])
+    small = whole.where(F.col("_size") <= CELL_BYTES).select(
+        "_group", F.lit(0).alias("_row"), F.lit(0).alias("_column"), "_id", "_n", F.lit(2).alias("_kind"), "_data"
     )
-    return _pairs(salted_join(posted, lists.drop("_long"), "_value", lists, "_long", ["_id"]))
-
-
-def open_pairs(posted: DataFrame, named: DataFrame) -> DataFrame:
-    """Members of a list that are in different components (``named``: _id, _in)."""
-    own = stored(posted.join(named, "_id", "left").withColumn("_in", F.coalesce("_in", "_id")), "members")
-    lists = own.groupBy("_value").agg(F.count(F.lit(1)).alias("_long"), F.min("_in").alias("_p"), F.max("_in").alias("_q"))
-    lists = stored(lists.where("_p < _q").select("_value", "_long"), "lists")
-    left = salted_join(own, lists.select("_value"), "_value", lists, "_long", ["_id"]).select("_value", "_id", "_n", "_in")
-    left = stored(left, "open")
-    right = left.select("_value", F.col("_id").alias("_other"), F.col("_n").alias("_m"), F.col("_in").alias("_is"))
-    met = salted_join(left, right, "_value", lists, "_long", ["_id"], widens=True)
-    return _pairs(met.where("_in < _is"))
-
-
-def _attached(pairs: DataFrame, side: str, table: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Columns of ``table`` (_id) for one side of the pairs; a hub is in very many."""
-    uses = stored(pairs.groupBy(side).agg(F.count(F.lit(1)).alias("_uses")), "uses")
-    dim = table.select(F.col("_id").alias(side), *[F.col(c).alias(name) for c, name in columns.items()])
-    other = "b" if side == "a" else "a"
-    return salted_join(pairs, dim, side, uses, "_uses", [other])
-
-
-def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) with enough collisions whose full sets are as similar as asked."""
-    signed = _attached(_attached(pairs, "a", classes, {"_values": "_va"}), "b", classes, {"_values": "_vb"})
-    retained = stored(signed.where(F.size(F.array_intersect("_va", "_vb")) >= MATCHES).select("a", "b"), "retained")
-    whole = _attached(_attached(retained, "a", sets, {"_shingles": "_sa"}), "b", sets, {"_shingles": "_sb"})
-    both = F.size(F.array_intersect("_sa", "_sb"))
-    measured = whole.select("a", "b", both.alias("_both"), (F.size("_sa") + F.size("_sb") - both).alias("_any"))
-    return stored(measured.where(100 * F.col("_both") >= PERCENT * F.col("_any")).select("a", "b"), "links")
+    large = stored(whole.where(F.col("_size") > CELL_BYTES), "large")
+    cells, edges = small, None
+    if not large.isEmpty():
+        hubs = large.where("_id = _top").select("_group", F.col("_n").alias("_m"), F.col("_data").alias("_hub"))
+        weights = groups.where(F.col("_size") > CELL_BYTES)
+        beside = salted_join(large, hubs, "_group", weights, "_rows", ["_id"])
+
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = []
+                for group, i, top, n, data, m, hub in zip(*[c.to_pylist() for c in batch.columns]):
+                    out.append((group, i, top, bool(compare([data], np.array([n]), [hub], np.array([m]))[0, 0])))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["_group", "_id", "_top", "_near"])
+
+        met = beside.select("_group", "_id", "_top", "_n", "_data", "_m", "_hub").mapInArrow(near, "_group long, _id long, _top long, _near boolean")
+        met = stored(met, "met")
+        edges = met.where("_near AND _id <> _top").select(F.col("_id").alias("a"), F.col("_top").alias("b"))
+        outside = met.where("NOT _near").select("_group", "_id", F.lit(True).alias("_out"))
+        marked = stored(large.join(outside, ["_group", "_id"], "left").withColumn("_out", F.coalesce("_out", F.lit(False))), "marked")
+        sizes = marked.where("_out").groupBy("_group").agg(F.ceil(F.sum(size) / CELL_BYTES).cast("int").alias("_down"))
+        grid = stored(weights.join(sizes, "_group").withColumn("_across", F.ceil(F.col("_size") / CELL_BYTES).cast("int")), "grid")
+        dealt = salted_join(marked, grid.select("_group", "_down", "_across"), "_group", grid, "_rows", ["_id"])
+        spot = F.xxhash64("_id")
+        rows = dealt.where("_out").withColumn("_row", F.pmod(spot, F.col("_down")).cast("int")).withColumn(
+            "_column", F.explode(F.sequence(F.lit(0), F.col("_across") - 1))
+        )
+        columns = dealt.withColumn("_column", F.pmod(spot, F.col("_across")).cast("int")).withColumn(
+            "_row", F.explode(F.sequence(F.lit(0), F.col("_down") - 1))
+        )
+        names = ["_group", "_row", "_column", "_id", "_n"]
+        cells = cells.unionByName(rows.select(*names, F.lit(0).alias("_kind"), "_data")).unionByName(
+            columns.select(*names, F.lit(1).alias("_kind"), "_data")
+        )
+    key = ["_group", "_row", "_column"]
+    found = cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(_in_cells(compare), "a long, b long")
+    return stored(found if edges is None else found.unionByName(edges), "edges")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -205,28 +313,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     own = stored(signed_documents(docs, shingle).withColumn("_doc", F.coalesce("doc_id", F.lit(LAST_ID))), "signed")
     grouped = own.where("n_shingles > 0").groupBy("_set").agg(
         F.min("_doc").alias("_first"), F.count(F.lit(1)).alias("_rows"),
-        F.first("n_shingles").alias("n_shingles"), F.first("_values").alias("_values"),
+        F.first("n_shingles").alias("n_shingles"), F.first("_values").alias("_values"), F.first("_bytes").alias("_bytes"),
     )
     classes = stored(grouped.withColumn("_id", F.monotonically_increasing_id()), "classes")
     posted = postings(classes)
-    wanted = classes.select("_id", "_set").join(posted.select("_id").distinct(), "_id", "left_semi")
-    sets = full_sets(docs, stored(wanted, "wanted"), shingle)
-    tested = stored(hub_pairs(posted), "pairs")
-    links = confirmed(tested, classes, sets)
-    named = stored(components(links).select(F.col("node").alias("_id"), F.col("component").alias("_in")), "named")
-    left = stored(open_pairs(posted, named).join(tested, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(confirmed(left, classes, sets))
-    named = components(links).select(F.col("node").alias("_id"), F.col("component").alias("_in"))
-    placed = stored(
+    blocks = components(matches(posted, collisions_suffice)).select(F.col("node").alias("_id"), F.col("component").alias("_group"))
+    weight = F.col("_rows").alias("_weight")
+    placed = stored(blocks.join(classes.select("_id", "_set", F.col("n_shingles").alias("_n"), weight), "_id"), "blocks")
+    weighed = placed.join(posted.select("_id", "_weight").distinct().withColumnRenamed("_weight", "_collides"), "_id", "left")
+    sets = full_sets(docs, placed.select("_id", "_set"), shingle)
+    members = weighed.select("_group", "_id", "_n", F.coalesce("_collides", "_weight").alias("_weight")).join(sets, "_id")
+    named = components(matches(stored(members, "members"), sets_alike)).select(F.col("node").alias("_id"), F.col("component").alias("_in"))
+    found = stored(
         classes.select("_id", "_set", "_first", "_rows").join(named, "_id", "left").withColumn("_in", F.coalesce("_in", "_id")),
         "placed",
     )
-    firsts = stored(placed.groupBy("_in").agg(F.min("_first").alias("_least"), F.count(F.lit(1)).alias("_classes")), "firsts")
+    firsts = stored(found.groupBy("_in").agg(F.min("_first").alias("_least"), F.count(F.lit(1)).alias("_classes")), "firsts")
     found = stored(
-        salted_join(placed, firsts.select("_in", "_least"), "_in", firsts, "_classes", ["_id"]).select("_set", "_least", "_rows"),
+        salted_join(found, firsts.select("_in", "_least"), "_in", firsts, "_classes", ["_id"]).select("_set", "_least", "_rows"),
         "found",
     )
-    joined = salted_join(own.drop("_values"), found.select("_set", "_least"), "_set", found, "_rows", ["_doc"], how="left")
+    joined = salted_join(own.drop("_values", "_bytes"), found.select("_set", "_least"), "_set", found, "_rows", ["_doc"], how="left")
     least = F.coalesce("_least", "_doc")
     return joined.select(
         "doc_id",

@@ -68,12 +68,17 @@ def rows():
     return rows + rows[:4] + [(None, texts[0]), (None, "only here " * 9), (None, None), (900, texts[3])]
 
 
-def test_all_pairs(frame, rows):
+@pytest.mark.parametrize("cell", [8 << 20, 300])
+def test_all_pairs(frame, rows, monkeypatch, cell):
+    """Also with lists and blocks over many cells."""
+    monkeypatch.setattr(minhash, "CELL_BYTES", cell)
     assert found(frame(rows, SCHEMA)) == plain_duplicates(rows)
 
 
-def test_copies_of_a_hub(frame):
+@pytest.mark.parametrize("cell", [8 << 20, 20_000])
+def test_copies_of_a_hub(frame, monkeypatch, cell):
     """Copies that are close to their original but not to each other, and many alike."""
+    monkeypatch.setattr(minhash, "CELL_BYTES", cell)
     rng = random.Random(5)
     base = [f"h{i}" for i in range(60)]
     rows = [(i, changed(rng, base, 1)) for i in range(300)]
