@@ -3,8 +3,8 @@
 Measures come from the whole text in one pass. The rules of a document are
 summed up by host (the column ``source``, or any other the caller names): how
 many of its documents fail any rule. Hosts of few documents say little, so the
-rates are shrunk towards the mean of all hosts by a beta prior fitted to the
-rates of the hosts (method of moments). A host whose shrunken rate passes
+rates are shrunk towards the mean of all documents by a beta prior, fitted to the
+rates of the hosts by moments, less the spread that chance gives small hosts. A host whose shrunken rate passes
 ``HOST_RATE`` is bad; the verdict goes back to its documents. A document of a
 bad host is dropped if it fails a rule itself; a clean document stays wherever
 it is from.
@@ -29,7 +29,7 @@ SYMBOL_PERCENT = 10  # symbols, of the characters in words
 DUP_LINE_PERCENT = 30
 MEAN_WORD = (2, 15)  # characters
 HOST_RATE = 0.5
-PRIOR = (1.0, 1.0)  # where the hosts' rates show no spread
+LEAST_PRIOR = 2.0  # documents that the prior counts for at least
 
 # The symbols counted.
 SYMBOLS = "#*$%&|<>"
@@ -127,14 +127,29 @@ def host_rates(rows: DataFrame) -> DataFrame:
     hosts = rows.groupBy("host").agg(
         F.count(F.lit(1)).alias("documents"), F.count(F.when(F.col("failed"), 1)).alias("failures")
     )
-    hosts = stored(hosts, "hosts").withColumn("rate", F.col("failures") / F.col("documents"))
-    mean, spread = hosts.agg(F.avg("rate"), F.var_pop("rate")).first()
-    alpha, beta = PRIOR
-    if spread and spread < mean * (1 - mean):
-        weight = mean * (1 - mean) / spread - 1
-        alpha, beta = mean * weight, (1 - mean) * weight
-    shrunk = (F.col("failures") + F.lit(alpha)) / (F.col("documents") + F.lit(alpha + beta))
-    return hosts.withColumn("rate", shrunk)
+    hosts = stored(hosts, "hosts")
+    f, n = F.col("failures"), F.col("documents")
+    total, count, failed, squares, sizes = hosts.agg(
+        F.sum(n), F.count(F.lit(1)), F.sum(f), F.sum(f.cast("double") * f / n), F.sum(n.cast("double") * n)
+    ).first()
+    mean, weight = prior(total or 0, count, failed or 0, squares or 0.0, sizes or 0)
+    return hosts.withColumn("rate", (f + F.lit(mean * weight)) / (n + F.lit(weight)))
+
+
+def prior(total: int, hosts: int, failed: int, squares: float, sizes: float) -> tuple[float, float]:
+    """Mean and weight (alpha + beta) of the beta prior, by moments of rates weighed by documents.
+
+    What rates of so many documents would differ by chance alone is taken off
+    their spread. Where nothing is left of it the hosts are alike, and the prior
+    weighs as much as all documents.
+    """
+    mean = failed / total if total else 0.0
+    noise = mean * (1 - mean)
+    scale = total - sizes / total if total else 0.0
+    spread = (squares - failed * mean - noise * (hosts - 1)) / scale if scale > 0 else 0.0
+    if spread <= 0:
+        return mean, float(max(total, LEAST_PRIOR))
+    return mean, max(LEAST_PRIOR, noise / spread - 1)
 
 
 def judged(docs: DataFrame, host: str = "source", most: float = HOST_RATE) -> DataFrame:

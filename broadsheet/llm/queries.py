@@ -140,13 +140,17 @@ SQL: dict[str, str] = {
         hosts AS (
             SELECT source, count(*) AS n, count(*) FILTER (failed) AS f FROM ruled GROUP BY source
         ),
-        moments AS (SELECT avg(f / n) AS m, var_pop(f / n) AS v FROM hosts),
+        moments AS (
+            SELECT sum(n) AS docs, count(*) AS hosts, sum(f) AS failed, sum(f) / sum(n) AS m,
+                   sum(f * f / n) AS squares, sum(n) - sum(n * n) / sum(n) AS scale FROM hosts
+        ),
+        spread AS (
+            SELECT *, CASE WHEN scale > 0 THEN (squares - failed * m - m * (1 - m) * (hosts - 1)) / scale ELSE 0 END AS v FROM moments
+        ),
         prior AS (
-            SELECT CASE WHEN v > 0 AND v < m * (1 - m) THEN m * (m * (1 - m) / v - 1) ELSE 1 END AS a,
-                   CASE WHEN v > 0 AND v < m * (1 - m) THEN (1 - m) * (m * (1 - m) / v - 1) ELSE 1 END AS b
-            FROM moments
+            SELECT m, greatest({quality.LEAST_PRIOR}, CASE WHEN v <= 0 THEN docs ELSE m * (1 - m) / v - 1 END) AS weight FROM spread
         ),
-        rates AS (SELECT source, (f + a) / (n + a + b) AS rate FROM hosts, prior)
+        rates AS (SELECT source, (f + m * weight) / (n + weight) AS rate FROM hosts, prior)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT base_failed AND NOT (failed AND rate > {quality.HOST_RATE}) AS kept
         FROM ruled JOIN rates ON ruled.source IS NOT DISTINCT FROM rates.source
