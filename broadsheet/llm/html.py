@@ -1,7 +1,8 @@
 """Visible text of web pages, laid out as it would be read.
 
-Tags are cut by the standard library's tokeniser. A tree builder applies the
-implied tags: an open paragraph ends before a block, list items, options,
+A tokeniser cuts the page in one pass: what a tag, comment or raw text does not
+close reaches to the end of the page, as in browsers, so no part is looked
+through twice. A tree builder applies the implied tags: an open paragraph ends before a block, list items, options,
 table rows and cells end before their next, the head before what may not stand
 in it; a cell or row that starts directly in a table or table section gets its
 row and section; end tags close what they find open within their table cell or
@@ -14,8 +15,9 @@ hold.
 The renderer collapses white space outside of preformatted text, puts blocks on
 lines of their own with a blank line around paragraphs and headings, marks list
 items with bullets or numbers, indents nested lists, and sets the cells of a
-table in aligned columns. The text of every visible node is emitted, that of
-SVG, formulas and all options of a select too.
+table in aligned columns, those under a cell of several rows moved to its right.
+The text of every visible node is emitted, that of SVG, formulas and all options
+of a select too. A cell spans 1,000 columns and 65,534 rows at most, as in HTML.
 
 Null or empty pages give an empty text. Elements nest at most ``DEEPEST`` deep;
 deeper ones are laid out as children of the one at that depth.
@@ -24,7 +26,7 @@ deeper ones are laid out as children of the one at that depth.
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from html.parser import HTMLParser
+from html import unescape
 
 from pyspark.sql import DataFrame
 
@@ -69,7 +71,16 @@ ENDS_BEFORE = {
 #: an end of an element is not sought beyond these
 SCOPES = frozenset("html table td th caption".split())
 
+#: elements whose content is text, without tags; in the second kind with character references
+RAW = frozenset("script style xmp iframe noembed noframes plaintext".split())
+RAW_WITH_REFERENCES = frozenset("title textarea".split())
+
 _SPACE = re.compile(r"[ \t\n\r\f]+")
+_NAME = re.compile(r"[^\s/>]+")
+_ATTRIBUTE = re.compile(r"""[\s/]*(=?[^\s/>=]+|=)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)|(["'])|))?""")
+_TAG_END = re.compile(r"[\s/]*>")
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW | RAW_WITH_REFERENCES}
+_MOST_COLUMNS, _MOST_ROWS = 1000, 65534
 _HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 
 
@@ -85,19 +96,98 @@ class Node:
             return False
         if self.within == "svg" and (self.attrs.get("display") == "none" or self.attrs.get("visibility") in ("hidden", "collapse")):
             return False
+        if self.tag == "dialog" and "open" not in self.attrs:
+            return False
         return "hidden" not in self.attrs and not _HIDDEN.search(self.attrs.get("style") or "")
 
 
-class TreeBuilder(HTMLParser):
-    """Builds a tree of nodes, with implied tags."""
+class Tokeniser:
+    """Calls ``handle_starttag``, ``handle_startendtag``, ``handle_endtag`` and ``handle_data``.
+
+    Works from the start of the page to its end; every search either moves on
+    behind what it found or ends the page.
+    """
+
+    def feed(self, page: str) -> None:
+        at = 0
+        while at < len(page):
+            start = page.find("<", at)
+            if start < 0:
+                start = len(page)
+            after = page[start + 1 : start + 2]
+            if start < len(page) and not (after in "!?/" and after or after.isascii() and after.isalpha()):
+                start = self._literal(page, start)  # a sign like any other
+            if start > at:
+                self.handle_data(unescape(page[at:start]))
+                at = start
+                continue
+            at = self._tag(page, at, after)
+
+    def _literal(self, page: str, start: int) -> int:
+        found = _NEXT_TAG.search(page, start)
+        return found.start() if found else len(page)
+
+    def _tag(self, page: str, at: int, after: str) -> int:
+        """Take what starts at a ``<``; where it ends."""
+        if page.startswith("<!--", at):
+            if close := _EMPTY_COMMENT.match(page, at):
+                return close.end()
+            return self._behind(page, "-->", at + 4)
+        if page.startswith("<![CDATA[", at) and self.in_foreign():
+            end = page.find("]]>", at)
+            self.handle_data(page[at + 9 : end if end >= 0 else len(page)])
+            return end + 3 if end >= 0 else len(page)
+        if after in "!?":
+            return self._behind(page, ">", at)
+        closing = after == "/"
+        name = _NAME.match(page, at + 1 + closing)
+        if not name or not (name[0][0].isascii() and name[0][0].isalpha()):
+            return self._behind(page, ">", at)  # </ without a name
+        tag, attrs, end = name[0].lower(), [], name.end()
+        while not (close := _TAG_END.match(page, end)):
+            found = _ATTRIBUTE.match(page, end)
+            if not found or found[5]:
+                return len(page)  # a tag or quote without an end takes the rest
+            value = next((v for v in found.group(2, 3, 4) if v is not None), None if "=" not in found[0][len(found[1]) :] else "")
+            attrs.append((found[1].lower(), value and unescape(value)))
+            end = found.end()
+        end = close.end()
+        if closing:
+            self.handle_endtag(tag)
+        elif page[end - 2] == "/" and "/" in close[0]:
+            self.handle_startendtag(tag, attrs)
+        else:
+            self.handle_starttag(tag, attrs)
+        raw = not closing and not self.in_foreign() and (tag in RAW or tag in RAW_WITH_REFERENCES)
+        if raw:
+            found = None if tag == "plaintext" else _RAW_END[tag].search(page, end)
+            stop = found.start() if found else len(page)
+            if stop > end:
+                text = page[end:stop]
+                self.handle_data(unescape(text) if tag in RAW_WITH_REFERENCES else text)
+            return stop
+        return end
 
-    CDATA_CONTENT_ELEMENTS = ("script", "style")
+    @staticmethod
+    def _behind(page: str, mark: str, at: int) -> int:
+        end = page.find(mark, at)
+        return end + len(mark) if end >= 0 else len(page)
+
+
+_NEXT_TAG = re.compile(r"<(?=[a-zA-Z!?/])")
+_EMPTY_COMMENT = re.compile(r"<!---?>")
+
+
+class TreeBuilder(Tokeniser):
+    """Builds a tree of nodes, with implied tags."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.root = Node("html")
         self.open = [self.root]
 
+    def in_foreign(self) -> bool:
+        return bool(self.open[-1].within)
+
     def handle_starttag(self, tag, attrs):
         if tag == "html":
             for name, value in attrs:
@@ -153,10 +243,6 @@ class TreeBuilder(HTMLParser):
         else:
             self._end(tag, SCOPES)
 
-    def unknown_decl(self, data):
-        if self.open[-1].within and data.startswith("CDATA["):
-            self.handle_data(data[6:])
-
     def handle_data(self, data):
         if self.open[-1].tag == "head" and data.strip():
             self.open.pop()
@@ -201,7 +287,6 @@ class TreeBuilder(HTMLParser):
 def parsed(page: str) -> Node:
     builder = TreeBuilder()
     builder.feed(page)
-    builder.close()
     return builder.root
 
 
@@ -354,12 +439,12 @@ def _whole(value: str | None, default: int) -> int:
     return int(value) if value and re.fullmatch(r"-?[0-9]{1,9}", value.strip()) else default
 
 
-def table_rows(node: Node) -> Iterator[Node]:
-    """The rows of a table, not those of tables within it."""
+def table_rows(node: Node) -> Iterator[tuple[Node, Node]]:
+    """The sections and rows of a table, not those of tables within it."""
     for child in node.children:
         if isinstance(child, Node) and child.shown():
             if child.tag == "tr":
-                yield child
+                yield node, child
             elif child.tag in ("thead", "tbody", "tfoot"):
                 yield from table_rows(child)
 
@@ -367,22 +452,36 @@ def table_rows(node: Node) -> Iterator[Node]:
 def render_table(node: Node, out: Layout) -> None:
     """Cells in aligned columns; the lines of a cell stay in its column.
 
-    A cell over several columns takes its first one, the others are empty.
+    A cell over several columns or rows takes its first ones, the others are
+    empty; a section ends the cells that reach down in it.
     Anything else within the table comes before it, as browsers show it.
     """
     out.apart()
     _outside_cells(node, out)
     grid: list[list[list[str]]] = []
-    for row in table_rows(node):
+    held: dict[int, int] = {}  # columns taken from above, and for how many rows yet
+    section = None
+    for part, row in table_rows(node):
+        if part is not section:
+            section, held = part, {}
         cells: list[list[str]] = []
+        left = {c: n - 1 for c, n in held.items() if n > 1}
         for cell in row.children:
             if isinstance(cell, Node) and cell.tag in ("td", "th") and cell.shown():
+                while len(cells) in held:
+                    cells.append([])
                 inner = Layout()
                 for child in cell.children:
                     render(child, inner)
                 text = inner.done()
                 cells.append(text.split("\n") if text else [])
-                cells += [[]] * min(_whole(cell.attrs.get("colspan"), 1) - 1, 100)
+                wide = max(1, min(_whole(cell.attrs.get("colspan"), 1), _MOST_COLUMNS))
+                down = _whole(cell.attrs.get("rowspan"), 1)
+                down = _MOST_ROWS if down == 0 else min(down, _MOST_ROWS)  # 0: to the section's end
+                if down > 1:
+                    left |= {c: down - 1 for c in range(len(cells) - 1, len(cells) - 1 + wide)}
+                cells += [[]] * (wide - 1)
+        held = left
         if any(cells):
             grid.append(cells)
     columns = max(map(len, grid), default=0)

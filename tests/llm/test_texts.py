@@ -3,6 +3,7 @@
 import random
 import re
 import time
+from html.parser import HTMLParser
 
 import pytest
 from tokenizers import Tokenizer
@@ -111,6 +112,86 @@ def test_host_verdicts(frame, rows):
     assert quality.judged(docs.limit(0)).count() == 0
 
 
+def test_small_hosts_stay_near_the_mean(frame):
+    """One bad document says little about a host of one; many say much about a large one."""
+    small = [(f"h{i}", i == 0) for i in range(120)]
+    rates = {r.host: r.rate for r in quality.host_rates(frame(small, "host string, failed boolean")).collect()}
+    assert all(abs(rate - 1 / 120) < 0.02 for rate in rates.values())
+    large = [(f"bad{i}", k < 36) for i in range(5) for k in range(40)] + [(f"good{i}", k < 2) for i in range(5) for k in range(40)]
+    rates = {r.host: r.rate for r in quality.host_rates(frame(large + [("one", True)], "host string, failed boolean")).collect()}
+    assert all(rates[f"bad{i}"] > 0.8 and rates[f"good{i}"] < 0.15 for i in range(5)) and 0.4 < rates["one"] < 0.8
+    alike = quality.host_rates(frame([(f"h{i % 9}", False) for i in range(90)], "host string, failed boolean"))
+    assert {r.rate for r in alike.collect()} == {0.0}
+
+
+class Events(html.Tokeniser):
+    """What the tokeniser finds, as the standard library's parser would tell it."""
+
+    def __init__(self):
+        self.found = []
+
+    def in_foreign(self):
+        return False
+
+    def handle_starttag(self, tag, attrs):
+        self.found.append(("start", tag, attrs))
+
+    handle_startendtag = handle_starttag
+
+    def handle_endtag(self, tag):
+        self.found.append(("end", tag))
+
+    def handle_data(self, data):
+        if self.found and self.found[-1][0] == "text":
+            data = self.found.pop()[1] + data
+        self.found.append(("text", data))
+
+
+class Expected(HTMLParser):
+    CDATA_CONTENT_ELEMENTS = ("script", "style")
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found = []
+
+    handle_starttag = handle_startendtag = Events.handle_starttag
+    handle_endtag, handle_data = Events.handle_endtag, Events.handle_data
+
+
+def test_tokens_equal_the_library_parser(spark):
+    rng = random.Random(12)
+    parts = [
+        "<p>", "</p>", "<a href='x>y' b=1 C>", '<img alt="a &amp; b"/>', "<br/>", "<!-- c <b> -->", "<!doctype html>", "text &lt; &eacute;",
+        " a < b ", "<script>if (a<b) '</p>'</script>", "<style>x{}</style>", "\n", "<td rowspan=2>", "</td >", "<x-y data-z=\"1 2\">", "é", "<?pi?>",
+        "<b disabled = yes>", "&amp;copy", "a > b", "<i/ >",
+    ]
+    pages = ["".join(rng.choices(parts, k=rng.randrange(1, 30))) for _ in range(3000)]
+    pages += [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect() if r.html]
+    for page in pages:
+        ours, theirs = Events(), Expected()
+        ours.feed(page)
+        theirs.feed(page)
+        theirs.close()
+        assert ours.found == theirs.found, page
+
+
+@pytest.mark.parametrize("part", ["<a ", "<!--", "<a b='", "<![CDATA[", "<script>", "</", "<!", "<title>", "<td>", "&", "<svg><![CDATA["])
+def test_malformed_pages_take_linear_time(part):
+    def seconds(n):
+        begun = time.perf_counter()
+        html.page_text(part * n)
+        return time.perf_counter() - begun
+
+    assert seconds(200_000) < 20 * max(0.02, seconds(20_000))
+
+
+def test_rows_under_cells_of_several_rows():
+    page = "<table><tr><td rowspan=2>A<td>B<td>X<tr><td>C<td>Y<tr><td>D<td colspan=2>E</table>"
+    assert html.page_text(page) == "A  B  X\n   C  Y\nD  E"
+    page = "<table><tr><td rowspan=0>A<td>B<tr><td>C<tbody><tr><td>D<td rowspan=9>E<tr><td>F<tr><td>G</table><xmp><b></xmp><dialog>no</dialog><dialog open>yes</dialog>"
+    assert html.page_text(page) == "A  B\n   C\nD  E\nF\nG\n\n<b>\nyes"
+
+
 def test_page_layout():
     page = (
         "<head><title>T</title><body><h1>Head</h1><p>One <b>two</b>\nthree<p>Four<br>five<ul><li>a<li>b<ul><li>c</ul></ul>"
