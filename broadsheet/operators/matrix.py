@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from broadsheet.functions.text import glue_key
 from broadsheet.functions.times import epoch_millis
 from broadsheet.operators.keywords import doc_frequency
+from broadsheet.plans.bitfilter import bit_filter, without_misses
 from broadsheet.plans.skew import ranked, salted_join
 
 
@@ -27,8 +28,13 @@ def extended_vocabulary(words: DataFrame, keywords: DataFrame) -> DataFrame:
 
 
 def known_terms(keywords: DataFrame, words: DataFrame) -> DataFrame:
-    """Keywords that are in the vocabulary."""
-    return _on_vocabulary(keywords, words.select("term"))
+    """Keywords that are in the vocabulary.
+
+    Most of a new text's words may be none of it: a filter of the vocabulary
+    rules them out where they are read, and only what may be known is shuffled.
+    """
+    terms = words.select("term")
+    return _on_vocabulary(without_misses(keywords, ["term"], bit_filter(terms, ["term"])), terms)
 
 
 def unknown_terms(keywords: DataFrame, words: DataFrame) -> DataFrame:

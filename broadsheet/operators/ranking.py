@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from broadsheet.functions.scores import gravity, rank_key
 from broadsheet.functions.times import age_hours
+from broadsheet.plans.bitfilter import bit_filter, without_misses
 from broadsheet.plans.skew import first_per_group, ranked, salted_join, two_sided_join
 from broadsheet.plans.storage import stored
 from broadsheet.settings import FLOOR_TERMS, LIST_BLOCK, LIST_LENGTH, OVERLAP_EPSILON, RANK_DIGITS
@@ -103,10 +104,9 @@ def recommend_by_preference(
 
 def in_preferred_categories(articles: DataFrame, preferences: DataFrame) -> DataFrame:
     """Articles whose category somebody reads."""
-    wanted = preferences.where("share <> 0").select("category").distinct()
-    return salted_join(
-        articles, wanted, "category", category_sizes(articles), "n_news", ["news_id"]
-    )
+    wanted = stored(preferences.where("share <> 0").select("category").distinct(), "wanted")
+    maybe = without_misses(articles, ["category"], bit_filter(wanted, ["category"]))
+    return salted_join(maybe, wanted, "category", category_sizes(maybe), "n_news", ["news_id"])
 
 
 def recommend_new(

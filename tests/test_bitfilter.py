@@ -2,6 +2,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
+from broadsheet.operators import matrix
 from broadsheet.plans import bitfilter
 from broadsheet.plans.skew import running_sums
 
@@ -40,3 +41,16 @@ def test_running_sums_of_large_and_small_groups(spark):
     assert found == expected
     assert back == {(g, at): total[g] - expected[g, at] + v for g, at, v in rows}
     assert running_sums(frame.limit(0), ["g"], [(F.col("at"), "asc")], ["v"]).count() == 0
+
+
+def test_unknown_terms_are_ruled_out_before_the_shuffle(spark):
+    words = spark.range(20).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("term"))
+    keywords = spark.range(20_000).select(
+        (F.col("id") % 50).alias("news_id"), F.concat(F.lit("w"), F.col("id").cast("string")).alias("term"), F.lit(1).alias("n")
+    )
+    known = matrix.known_terms(keywords, words)
+    assert sorted(r["term"] for r in known.collect()) == sorted(f"w{i}" for i in range(20))
+    plan = known._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("SortMergeJoin") < plan.index("_bits") if "SortMergeJoin" in plan else "_bits" in plan
+    left = bitfilter.without_misses(keywords, ["term"], bitfilter.bit_filter(words, ["term"]))
+    assert 20 <= left.count() < 40  # of 20,000 rows that would be shuffled
