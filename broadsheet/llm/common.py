@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from broadsheet.plans.bitfilter import bit_filter, maybe_in
+
 WORD = r"[^\x20\x09-\x0D]+"
 LAST_ID = 2**63 - 1  # stands for a null doc_id, which counts as the largest
 
@@ -24,6 +26,25 @@ def count_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+def without_losers(docs: DataFrame, keys: list[Column], verdict: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without those that lose by ``verdict``, with all their columns.
+
+    ``verdict`` (columns ``__k0``, ``__k1`` ..., like ``keys``, and ``__stays``)
+    names the keys that lose, and those of which one of several rows stays. A
+    filter of these keys is tested where the rows are read. Rows it rules out
+    pass straight through; only the others, the losers and few more, are
+    shuffled to meet the verdict itself, which decides.
+    """
+    names = [f"__k{i}" for i in range(len(keys))]
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), *[k.alias(n) for k, n in zip(keys, names)])
+    tested = maybe_in(whole, names, bit_filter(verdict, names), "__maybe")
+    met = tested.where("__maybe").join(verdict, names, "left")
+    out = tested.where("NOT __maybe").select("__doc").unionByName(met.where("__stays IS NULL").select("__doc"))
+    if not verdict.where("__stays").isEmpty():
+        out = out.unionByName(met.where("__stays").dropDuplicates(names).select("__doc"))
+    return out.select("__doc.*")
+
+
 PIECE_ROWS, PIECE_BYTES = 500, 4 << 20
 
 

@@ -13,7 +13,7 @@ gives an empty result.
 
 from pyspark.sql import DataFrame, functions as F
 
-from broadsheet.llm.common import whole_text
+from broadsheet.llm.common import whole_text, without_losers
 from broadsheet.plans.skew import salted_join
 from broadsheet.plans.storage import stored
 
@@ -32,28 +32,27 @@ def text_keys(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     )
 
 
-def _survivors(keys: DataFrame, groups: DataFrame, on: list[str]) -> DataFrame:
-    """The rows of groups of two or more."""
-    large = groups.where("_n > 1")
-    return salted_join(keys, large.select(*on), on, large, "_n", ["_row"])
+def _survivors(keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of groups of two or more, stored, as the next level reads them several times."""
+    groups = keys.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    large = stored(groups, "large")
+    return stored(salted_join(keys, large.select(*on), on, large, "_n", ["_row"]), "survivors")
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """The keys of every row, with ``_n`` and ``_last`` (doc_id and row that stay) where its text has copies."""
+    keys = stored(text_keys(docs), "textkeys")
+    rows = _survivors(_survivors(keys, ["_length"]), ["_length", "_prefix"])
+    level = ["_length", "_prefix", "_full"]
+    groups = rows.groupBy(*level).agg(F.count(F.lit(1)).alias("_n"), F.max(F.struct("doc_id", "_row")).alias("_last"))
+    copies = stored(groups.where("_n > 1"), "copies")
+    return salted_join(keys, copies, level, copies, "_n", ["_row"], how="left")
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
     """Every row with its group: doc_id, keep_id, group_size, kept, text_sha256."""
-    keys = stored(text_keys(docs), "textkeys")
-    level: list[str] = []
-    rows = keys
-    for column in ("_length", "_prefix", "_full"):
-        level = [*level, column]
-        found = F.count(F.lit(1)).alias("_n")
-        if column == "_full":
-            groups = rows.groupBy(*level).agg(found, F.max(F.struct("doc_id", "_row")).alias("_last"))
-        else:
-            rows = _survivors(rows, rows.groupBy(*level).agg(found), level)
-    copies = groups.where("_n > 1")
-    joined = salted_join(keys, copies, level, copies, "_n", ["_row"], how="left")
     alone = F.col("_n").isNull()
-    return joined.select(
+    return _judged(docs).select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("_last.doc_id")).alias("keep_id"),
         F.coalesce("_n", F.lit(1)).cast("long").alias("group_size"),
@@ -65,24 +64,13 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Texts are moved once, to meet the verdict on their group. Of rows alike in
+    Only texts of rows that lose are moved, and few others. Of rows alike in
     doc_id and text, one stays.
     """
-    copies = exact_groups(docs).where("group_size > 1 AND doc_id <=> keep_id")
-    kept = stored(
-        copies.groupBy(F.col("text_sha256").alias("__sha")).agg(
-            F.first("keep_id").alias("__keep"),
-            F.first("group_size").alias("__size"),
-            F.count(F.lit(1)).alias("__rows"),
-        ),
-        "kept",
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    last = F.col("doc_id").eqNullSafe(F.col("_last.doc_id"))
+    keys = _judged(docs).where("_n > 1").groupBy(F.col("_full").alias("__k0"), number.alias("__k1")).agg(
+        F.bool_or(last).alias("__stays"), F.count(F.lit(1)).alias("__rows")
     )
-    hashed = docs.withColumn("__sha", F.sha2(whole_text(), 256))
-    joined = salted_join(hashed, kept, "__sha", kept, "__size", ["doc_id"], how="left")
-    stays = F.col("__size").isNull() | F.col("doc_id").eqNullSafe(F.col("__keep"))
-    once = F.coalesce("__rows", F.lit(1)) == 1
-    out = joined.where(stays & once)
-    if not kept.where("__rows > 1").isEmpty():
-        repeated = joined.where(stays & ~once).dropDuplicates(["doc_id", "__sha"])
-        out = out.unionByName(repeated)
-    return out.select(*docs.columns)
+    verdict = stored(keys.where("NOT __stays OR __rows > 1").drop("__rows"), "verdict")
+    return without_losers(docs, [F.unhex(F.sha2(whole_text(), 256)), number], verdict)

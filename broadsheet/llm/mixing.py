@@ -25,6 +25,7 @@ from broadsheet.plans.storage import stored
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
+SENT_ROWS = 100_000  # cuts sent to all tasks
 _PART_BITS = 33  # monotonically_increasing_id keeps the row number in these bits
 
 
@@ -77,7 +78,7 @@ def cuts(
     """
     words = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     named = [(F.col("source").isNull(), "asc"), (F.col("source"), "asc")]
-    aimed = targets(ranked(words, named, "place"), weights, share, most).drop("place")
+    aimed = targets(stored(ranked(words, named, "place"), "sources"), weights, share, most).drop("place")
     size = F.when(F.col("source_size") > 0, F.col("source_size"))
     times = F.coalesce(F.floor(F.floor("target") / size), F.lit(0))
     aimed = stored(
@@ -138,6 +139,19 @@ def _taken(size: Column) -> Column:
     return (F.col("_times") * size + last).cast("long")
 
 
+def _with_cuts(rows: DataFrame, by_source: DataFrame) -> DataFrame:
+    """Rows with the cut of their source.
+
+    The stored cuts, a row per source, are counted: up to ``SENT_ROWS`` (some
+    20 MB) they are sent to the rows, which then need not move; more of them are
+    met by a shuffle, hot sources salted.
+    """
+    cut = by_source.drop("source")
+    if by_source.count() <= SENT_ROWS:
+        return rows.join(F.broadcast(cut), ["_none", "_name"])
+    return salted_join(rows, cut, ["_none", "_name"], by_source, "rows", ["_key"])
+
+
 def mixed(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = "mix"
 ) -> DataFrame:
@@ -145,10 +159,7 @@ def mixed(
     sizes = stored(_sizes(docs, seed), "sizes")
     by_source = cuts(sizes, weights, share, most)
     source = F.col("source").isNull().alias("_none"), F.coalesce("source", F.lit("")).alias("_name")
-    joined = salted_join(
-        sizes.select("doc_id", "size", "_key", *source), by_source.drop("source"),
-        ["_none", "_name"], by_source, "rows", ["_key"],
-    )
+    joined = _with_cuts(sizes.select("doc_id", "size", "_key", *source), by_source)
     return joined.select("doc_id", "size", "source_size", "target", _taken(F.col("size")).alias("taken"))
 
 
@@ -167,7 +178,7 @@ def mix(
         F.struct(*docs.columns).alias("_doc"), "doc_id", random_key(seed).alias("_key"),
         count_words(whole_text()).alias("_size"), *source,
     )
-    joined = salted_join(full, by_source.drop("source"), ["_none", "_name"], by_source, "rows", ["_key"])
+    joined = _with_cuts(full, by_source)
     left = F.col("_taken") - (F.col("_time") - 1) * F.col("_size")
     whole = (
         joined.withColumn("_taken", _taken(F.col("_size")))

@@ -26,10 +26,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from broadsheet.llm.anchors import row_key
-from broadsheet.llm.common import LAST_ID, map_rows, whole_text
+from broadsheet.llm.common import LAST_ID, map_rows, whole_text, without_losers
 from broadsheet.llm.components import components
 from broadsheet.plans.skew import salted_join
 from broadsheet.plans.storage import stored
@@ -65,15 +64,24 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 _BLOCK = 8192
 
 
+def _number() -> Column:
+    """doc_id; null counts as the largest."""
+    return F.coalesce(F.col("doc_id"), F.lit(LAST_ID))
+
+
+def _text_digest() -> Column:
+    return F.unhex(F.md5(whole_text()))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, ``_r`` (a hash of doc_id and text) and the fingerprint, as a signed 64-bit integer."""
+    """doc_id, ``_t`` (128 bits of the text) and the fingerprint, as a signed 64-bit integer."""
 
     def row(doc_id, key, text):
         value = fingerprint(text, shingle)
         yield doc_id, key, value - (value >> 63 << 64)
 
     return map_rows(
-        docs.select("doc_id", row_key(docs)[2], whole_text().alias("text")), "doc_id long, _r long, fingerprint long", row
+        docs.select("doc_id", _text_digest().alias("_t"), whole_text().alias("text")), "doc_id long, _t binary, fingerprint long", row
     )
 
 
@@ -152,7 +160,7 @@ def _linked(keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(left), np.concatenate(right)
 
 
-def _spanning(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def spanning(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """For each of n rows the smallest row that the links lead to."""
     label = np.arange(n)
     while True:
@@ -173,7 +181,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def work(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
         left, right = _linked(keys, prints)
         nodes, node = np.unique(prints, return_inverse=True)  # a fingerprint under several keys is one node
-        label = _spanning(len(nodes), node[left], node[right])
+        label = spanning(len(nodes), node[left], node[right])
         hung = np.flatnonzero(label != np.arange(len(nodes)))
         columns = [nodes[hung].view(np.int64), nodes[label[hung]].view(np.int64)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b"])
@@ -202,9 +210,9 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def _classed(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, _r, _id, fingerprint and component_id (null ids as the largest) of every row."""
+    """doc_id, _t, _id, fingerprint and component_id (null ids as the largest) of every row."""
     own = stored(
-        fingerprints(docs, shingle).withColumn("_id", F.coalesce("doc_id", F.lit(LAST_ID))), "fingerprints"
+        fingerprints(docs, shingle).withColumn("_id", _number()), "fingerprints"
     )
     distinct = stored(
         own.groupBy("fingerprint").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")), "prints"
@@ -238,17 +246,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 def representatives(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row of each component, that of the smallest doc_id, with all its columns.
 
-    Of several rows of that id the one of smallest row hash stays, once.
+    Of several rows of that id the one of smallest text digest stays, once. Only
+    texts of rows that go are moved, and few others.
     """
-    classed = stored(_classed(docs, shingle).select("_r", "_id", "component_id"), "classed")
-    first = classed.where("_id = component_id").groupBy("component_id").agg(F.min("_r").alias("_least"))
-    tops = stored(
-        classed.where("_id = component_id").join(first, "component_id").where("_r = _least")
-        .groupBy(F.col("_r").alias("__r")).agg(F.count(F.lit(1)).alias("__rows")),
-        "tops",
+    classed = stored(_classed(docs, shingle).select("_t", "_id", "component_id"), "classed")
+    groups = classed.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("_id", "_t")).alias("_first"))
+    groups = stored(groups.where("_n > 1"), "groups")
+    joined = salted_join(classed, groups.drop("_n"), "component_id", groups, "_n", ["_id", "_t"])
+    keys = joined.groupBy(F.col("_id").alias("__k0"), F.col("_t").alias("__k1")).agg(
+        F.bool_or(F.col("_first") == F.struct("_id", "_t")).alias("__stays"), F.count(F.lit(1)).alias("__rows")
     )
-    joined = docs.withColumn("__r", row_key(docs)[2]).join(tops, "__r")
-    out = joined.where("__rows = 1")
-    if not tops.where("__rows > 1").isEmpty():
-        out = out.unionByName(joined.where("__rows > 1").dropDuplicates(["__r"]))
-    return out.select(*docs.columns)
+    verdict = stored(keys.where("NOT __stays OR __rows > 1").drop("__rows"), "verdict")
+    return without_losers(docs, [_number(), _text_digest()], verdict)

@@ -47,6 +47,56 @@ def test_exact_groups(frame, rows):
     assert exact.exact_groups(docs.limit(0)).count() == exact.drop_copies(docs.limit(0)).count() == 0
 
 
+CLASHING = ("_salt", "__rows", "__doc", "__k0", "__maybe", "_n", "_id", "_t", "_bucket", "kept", "component_id")
+
+
+def clashing(docs):
+    for name in CLASHING:
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    return docs
+
+
+def test_stages_keep_clashing_columns(frame):
+    """Copies, near copies and mixing on tables with further columns, nulls and repeated rows."""
+    long = " ".join(f"word{i}" for i in range(80))
+    rows = [(1, long, "s"), (2, long, "s"), (2, long, "s"), (3, long + " x", "t"), (None, long, "t"), (None, None, None), (4, "", "s"), (5, "other", "t")]
+    docs = clashing(frame(rows, "doc_id long, text string, source string"))
+    once = exact.drop_copies(docs)
+    assert once.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in once.collect()), key=str) == sorted([(2, long), (3, long + " x"), (4, ""), (5, "other")], key=str)
+    alone = simhash.representatives(docs)
+    assert alone.columns == docs.columns
+    kept = {(r.doc_id, r.text) for r in alone.collect()}
+    assert alone.count() == len(kept) and (1, long) in kept and (2, long) not in kept and (4, "") in kept and (None, None) not in kept
+    mix = mixing.mix(docs)
+    assert mix.columns == docs.columns and {r._salt for r in mix.collect()} == {"own _salt"}
+    for stage in (exact.drop_copies, simhash.representatives, mixing.mix):
+        assert stage(docs.limit(0)).count() == 0
+
+
+def test_many_sources_meet_their_cuts_by_shuffle(frame, monkeypatch):
+    rows = [(i, "w " * (i % 17), None, f"s{i % 5}", 0) for i in range(150)]
+    docs = frame(rows, SCHEMA)
+    sent = sorted(tuple(r) for r in mixing.mixed(docs).collect())
+    monkeypatch.setattr(mixing, "SENT_ROWS", 0)
+    assert sorted(tuple(r) for r in mixing.mixed(docs).collect()) == sent
+
+
+def test_exact_groups_plan_is_small(spark):
+    """Levels are stored, so the last plan does not hold those before."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for result in (exact.exact_groups(docs), exact.drop_copies(docs)):
+        plan = result._jdf.queryExecution().sparkPlan().toString() + result._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") < 40
+
+
+def test_losers_move_and_few_others(spark):
+    """Rows that are in no group of copies pass the filter by."""
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 1900).cast("string")).alias("text"))
+    once = exact.drop_copies(docs)
+    assert sorted(r.doc_id for r in once.collect()) == list(range(100, 2000))
+
+
 @pytest.mark.parametrize("hot", [20_000, 3])
 def test_repeated_strings(spark, fixture_docs, hot):
     window, count = 200, Counter()
