@@ -2,6 +2,12 @@
 
 Every stage is written as Parquet to the shared folder of the session and read
 again, so the lineage is cut and a lost executor costs no earlier stage.
+
+Every stage takes null ids, texts, langs and sources, empty and long texts, an
+empty table and further columns of any name. A null or empty text has no letters
+and goes in the first stage. Of rows that repeat doc_id and text one stays in the
+second; a null doc_id counts as the smallest there, as the largest in the third.
+Mixing may give a document more than once.
 """
 
 from collections.abc import Callable
