@@ -93,7 +93,7 @@ def test_write_table_overwrites(spark, frame, tmp_path, format):
 def test_profile_flow(spark, log, tmp_path, rows, frame):
     folder = str(tmp_path / "model")
     state = flows.train_profiles(log, folder)
-    assert set(p.name for p in Path(folder).iterdir()) == set(flows.PROFILE_TABLES)
+    assert set(p.name for p in Path(folder).iterdir()) == {"manifest", "versions"} and set(state) == set(flows.PROFILE_TABLES)
     assert state["articles"].count() == 5
     lists = flows.recommend_from_profiles(spark, folder, log, frame([(1,)], "user_id long"), 2)
     assert [r[1] for r in rows(lists, "rank", "news_id")] == [1, 2]
@@ -107,7 +107,7 @@ def test_lists_with_later_clicks_equal_those_of_all_clicks(spark, log, tmp_path,
     flows.train_profiles(log, whole)
     tags = flows.train_profiles(log, first)["tags"]
     later = F.col("user_id") == 2
-    profiles.keyword_profile(articles.brief_clicks(log.where(~later)), tags).write.mode("overwrite").parquet(f"{first}/profiles")
+    tables.save_state({"profiles": profiles.keyword_profile(articles.brief_clicks(log.where(~later)), tags)}, first)
     updates = profiles.keyword_profile(articles.brief_clicks(log.where(later)), tags)
     columns = ["user_id", "rank", "news_id"]
     expected = rows(flows.recommend_from_profiles(spark, whole, log), *columns)
