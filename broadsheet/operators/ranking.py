@@ -181,17 +181,16 @@ def overlap_score(shared: Column, user_weight: Column, news_weight: Column) -> C
     return (epsilon + shared) / (epsilon + user_weight + news_weight)
 
 
-# The lists of readers are found without scoring all pairs. What a user and an
-# article can share is bounded in two ways. By the user: the article's best
-# shared keyword has a reach (the user's weight and the largest of any article),
-# the others at most the reaches of the user's next best ones. By the article:
-# its potential, the sum over its keywords of the largest share that one has in
-# any profile. A few articles scored first give each user a floor, the n-th best
-# of them; only blocks of a keyword's list that may come up to it are looked at.
+# The lists of readers are found without scoring all pairs. An article's
+# potential is the sum over its keywords of the largest share that one has in any
+# profile: it bounds what a user and the article can share. A few articles scored
+# first give each user a floor, the n-th best of them; only blocks of a keyword's
+# list whose potential may come up to it are looked at. The bound is the article's
+# own, so of a pair that passes all shared keywords do, and their sum is exact.
 
 
 def _with_potential(profile: DataFrame, tags: DataFrame) -> DataFrame:
-    """Keywords that somebody has, with the article's number (``known``), weight and potential of such."""
+    """Keywords that somebody has, with the article's weight and potential of such."""
     user = Window.partitionBy("user_id")
     part = profile.select("term", (F.col("weight") / F.sum("weight").over(user)).alias("part"))
     shares = part.groupBy("term").agg(F.max("part").alias("share"))
@@ -200,7 +199,6 @@ def _with_potential(profile: DataFrame, tags: DataFrame) -> DataFrame:
     article = Window.partitionBy("news_id")
     return met.select(
         *tags.columns,
-        F.count(F.lit(1)).over(article).alias("known"),
         F.sum("tag_weight").over(article).alias("known_weight"),
         F.sum("share").over(article).alias("potential"),
     )
@@ -209,96 +207,79 @@ def _with_potential(profile: DataFrame, tags: DataFrame) -> DataFrame:
 def _impact_lists(tags: DataFrame) -> DataFrame:
     """Each keyword's articles from the highest potential on, in blocks with bounds of what is in them."""
     order = [(F.col("potential"), "desc"), (F.col("news_id"), "asc")]
-    posting = F.struct("tag_weight", "news_weight", "known", "known_weight", "potential", "news_id")
+    posting = F.struct("potential", "news_id", "tag_weight", "news_weight", "known_weight")
     return (
         ranked(tags, order, "_nth", ["term"])
         .groupBy("term", F.floor((F.col("_nth") - 1) / LIST_BLOCK).alias("block"))
         .agg(
             F.struct(
-                F.max("tag_weight").alias("tag_weight"),
+                F.max("potential").alias("potential"),
                 F.min("news_weight").alias("news_weight"),
-                F.max("known").alias("known"),
                 F.max("known_weight").alias("known_weight"),
-                F.max("potential").alias("potential"),
             ).alias("bound"),
             F.collect_list(posting).alias("postings"),
         )
     )
 
 
-def _reaches(profile: DataFrame, lists: DataFrame) -> DataFrame:
-    """A user's keywords that articles have, by falling reach.
-
-    ``onward`` is the sum of the reaches after a keyword, of as many as the
-    longest article has besides.
-    """
-    user = Window.partitionBy("user_id")
-    weighed = profile.select("user_id", "term", "weight", F.sum("weight").over(user).alias("user_weight"))
-    bounds = lists.groupBy("term").agg(F.max("bound.tag_weight").alias("list_top"))
-    readers = profile.groupBy("term").agg(F.count(F.lit(1)).alias("readers"))
-    known = salted_join(weighed, bounds, "term", readers, "readers", ["user_id"])
-    known = known.withColumn("reach", F.col("weight") + F.col("list_top")).drop("list_top")
-    besides = (lists.agg(F.max("bound.known")).first()[0] or 1) - 1
-    falling = user.orderBy(F.desc("reach"), "term")
-    onward = F.sum("reach").over(falling.rowsBetween(1, besides)) if besides else F.lit(0.0)
-    return known.select(
-        "*", F.row_number().over(falling).alias("place"), F.coalesce(onward, F.lit(0.0)).alias("onward")
-    )
-
-
 def _may_reach(article: str) -> Column:
-    """Whether an article whose best shared keyword is this one may come up to the floor."""
+    """Whether an article, or any of a block, may come up to the user's floor."""
     of = F.col(article).getField
-    by_user = F.col("weight") + of("tag_weight") + F.least(F.col("onward"), (of("known") - 1) * F.col("reach"))
-    by_article = F.col("user_weight") * of("potential") + of("known_weight")
-    most = overlap_score(F.least(by_user, by_article), F.col("user_weight"), of("news_weight"))
+    shared = F.col("user_weight") * of("potential") + of("known_weight")
+    most = overlap_score(shared, F.col("user_weight"), of("news_weight"))
     return F.col("floor").isNull() | (most >= F.col("floor") - FLOOR_SLACK)
 
 
+def _summed(rows: DataFrame) -> DataFrame:
+    """The score of pairs (user, article) from a row for each keyword they share."""
+    pairs = rows.groupBy("user_id", "news_id").agg(
+        F.sum(F.col("weight") + F.col("tag_weight")).alias("shared"),
+        F.max("user_weight").alias("user_weight"),
+        F.max("news_weight").alias("news_weight"),
+    )
+    score = overlap_score(F.col("shared"), F.col("user_weight"), F.col("news_weight"))
+    return pairs.select("user_id", "news_id", score.alias("score"))
+
+
 def _pair_scores(pairs: DataFrame, profile: DataFrame, tags: DataFrame) -> DataFrame:
-    """The exact score of pairs (user, article), ``user_weight`` being known."""
+    """The score of given pairs (user, article)."""
     uses = stored(pairs.groupBy("news_id").agg(F.count(F.lit(1)).alias("uses")), "uses")
     rows = salted_join(pairs, tags, "news_id", uses, "uses", ["user_id"], widens=True)
-    shared = rows.join(profile.select("user_id", "term", "weight"), ["user_id", "term"])
-    return (
-        shared.groupBy("user_id", "news_id")
-        .agg(
-            F.sum(F.col("weight") + F.col("tag_weight")).alias("shared"),
-            F.max("user_weight").alias("user_weight"),
-            F.max("news_weight").alias("news_weight"),
-        )
-        .withColumn("score", overlap_score(F.col("shared"), F.col("user_weight"), F.col("news_weight")))
-        .select("user_id", "news_id", "score", "user_weight")
-    )
+    return _summed(rows.join(profile, ["user_id", "term"]))
 
 
 def _unread(pairs: DataFrame, read: DataFrame | None) -> DataFrame:
     return pairs if read is None else pairs.join(read, ["user_id", "news_id"], "left_anti")
 
 
-def overlap_candidates(
-    profile: DataFrame, tags: DataFrame, n: int, read: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Pairs (user, article) that may be among a user's first ``n``; and those scored for the floor.
+def overlap_candidates(profile: DataFrame, tags: DataFrame, n: int, read: DataFrame | None = None) -> DataFrame:
+    """Scores of the pairs (user, article) that may be among a user's first ``n``.
 
-    ``tags`` carry their article's totals (``tag_weight``, ``news_weight``,
-    ``news_tags``). Weights must not be negative.
+    ``tags`` carry their article's totals (``tag_weight``, ``news_weight``).
+    Weights must not be negative.
     """
     lists = stored(_impact_lists(_with_potential(profile, tags)), "lists")
-    reaches = stored(_reaches(profile, lists), "reaches")
-    # the first articles of a user's best keywords, a few for each user
+    user = Window.partitionBy("user_id")
+    weighed = stored(
+        profile.select(
+            "user_id", "term", "weight", F.sum("weight").over(user).alias("user_weight"),
+            F.row_number().over(user.orderBy(F.desc("weight"), "term")).alias("place"),
+        ),
+        "weighed",
+    )
+    # the first articles of a user's heaviest keywords, a few for each user
     heads = lists.where("block = 0").select("term", F.explode(F.slice("postings", 1, n)).alias("p")).select("term", "p.news_id")
-    best = reaches.where(F.col("place") <= FLOOR_TERMS).select("user_id", "term", "user_weight")
+    best = weighed.where(F.col("place") <= FLOOR_TERMS).select("user_id", "term")
     asked = best.groupBy("term").agg(F.count(F.lit(1)).alias("asked"))
-    tried = salted_join(best, heads, "term", asked, "asked", ["user_id"]).select("user_id", "news_id", "user_weight").distinct()
-    tried = stored(_pair_scores(_unread(tried, read), profile, tags), "tried")
+    tried = salted_join(best, heads, "term", asked, "asked", ["user_id"]).select("user_id", "news_id").distinct()
+    known = weighed.select("user_id", "term", "weight", "user_weight")
+    tried = _pair_scores(stored(_unread(tried, read), "tried"), known, tags)
     worst = first_per_group(tried, ["user_id"], _best_overlap_first(), n).where(F.col("rank") == n)
-    floors = worst.select("user_id", F.col("score").alias("floor"))
-    wanted = stored(reaches.join(floors, "user_id", "left"), "wanted")
+    floors = stored(worst.select("user_id", F.col("score").alias("floor")), "floors")
+    wanted = stored(known.join(floors, "user_id", "left"), "wanted")
     blocks = two_sided_join(wanted, lists, "term", ["user_id"], ["block"]).where(_may_reach("bound"))
-    posted = blocks.withColumn("p", F.explode("postings")).where(_may_reach("p"))
-    pairs = posted.select("user_id", "p.news_id", "user_weight").distinct()
-    return _unread(pairs.join(tried.select("user_id", "news_id"), ["user_id", "news_id"], "left_anti"), read), tried
+    rows = blocks.withColumn("p", F.explode("postings")).where(_may_reach("p"))
+    return _unread(_summed(rows.select("user_id", "weight", "user_weight", "p.news_id", "p.tag_weight", "p.news_weight")), read)
 
 
 def _best_overlap_first() -> list[tuple[Column, str]]:
@@ -325,8 +306,7 @@ def recommend_by_overlap(
     must not be negative. Lists are exact, though most pairs are never made.
     """
     tags = stored(_with_news_totals(keywords).withColumnRenamed("weight", "tag_weight"), "tags")
-    pairs, tried = overlap_candidates(profile, tags, n, read)
-    scored = _pair_scores(stored(pairs, "pairs"), profile, tags).unionByName(tried)
+    scored = overlap_candidates(profile, tags, n, read)
     best = first_per_group(scored, ["user_id"], _best_overlap_first(), n).select("user_id", "news_id", "score", "rank")
     best = stored(best, "lists")
     weights = _total(keywords, "news_id", "news_weight", articles)
