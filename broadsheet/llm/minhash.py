@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from broadsheet.llm.common import LAST_ID, map_rows, whole_text
 from broadsheet.llm.components import components
 from broadsheet.llm.simhash import spanning
-from broadsheet.plans.bitfilter import BITS, bit_filter, hits, packed, without_misses
+from broadsheet.plans.bitfilter import BITS, bit_filter, hits, maybe_in, packed, without_misses
 from broadsheet.plans.skew import salted_join
 from broadsheet.plans.storage import stored
 
@@ -123,7 +123,7 @@ def signed_documents(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """_id and _data (the hashes, as bytes) of the classes in ``wanted`` (_id, _set); other texts are ruled out where they are read."""
+    """The classes in ``wanted`` (by _set) with _data, their hashes as bytes; other texts are ruled out where they are read."""
     sent = docs.sparkSession.sparkContext.broadcast(packed(bit_filter(wanted, ["_set"])))
 
     def row(text) -> Iterator[tuple]:
@@ -133,7 +133,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             yield digest, shingles.tobytes()
 
     found = map_rows(docs.select(whole_text().alias("text")), "_set binary, _data binary", row)
-    return stored(found.join(wanted, "_set").dropDuplicates(["_id"]).select("_id", "_data"), "sets")
+    return found.dropDuplicates(["_set"]).join(wanted, "_set")
 
 
 # ---- postings ---------------------------------------------------------------------
@@ -264,16 +264,20 @@ def matches(members: DataFrame, compare: Compare) -> DataFrame:
     """Edges (a, b) that span all matches within the groups of ``members`` (_group, _id, _n, _weight, _data)."""
     size = F.octet_length("_data") + 64
     groups = members.groupBy("_group").agg(F.count(F.lit(1)).alias("_rows"), F.sum(size).alias("_size"), F.max(F.struct("_weight", "_id")).alias("_hub"))
-    groups = stored(groups.where("_rows > 1").select("_group", "_rows", "_size", F.col("_hub._id").alias("_top")), "groups")
-    whole = salted_join(members, groups.drop("_rows"), "_group", groups, "_rows", ["_id"])
-    small = whole.where(F.col("_size") <= CELL_BYTES).select(
-        "_group", F.lit(0).alias("_row"), F.lit(0).alias("_column"), "_id", "_n", F.lit(2).alias("_kind"), "_data"
-    )
-    large = stored(whole.where(F.col("_size") > CELL_BYTES), "large")
-    cells, edges = small, None
-    if not large.isEmpty():
+    weights = stored(groups.where(F.col("_size") > CELL_BYTES).select("_group", "_rows", "_size", F.col("_hub._id").alias("_top")), "groups")
+
+    def in_one_cell(rows: DataFrame) -> DataFrame:
+        return rows.select("_group", F.lit(0).alias("_row"), F.lit(0).alias("_column"), "_id", "_n", F.lit(2).alias("_kind"), "_data")
+
+    if weights.isEmpty():
+        cells, edges = in_one_cell(members), None
+    else:
+        # members of small groups stay where they are until they go to their cell
+        tested = maybe_in(members, ["_group"], bit_filter(weights, ["_group"]), "_maybe")
+        met = salted_join(tested.where("_maybe").drop("_maybe"), weights.drop("_rows"), "_group", weights, "_rows", ["_id"], how="left")
+        cells = in_one_cell(tested.where("NOT _maybe")).unionByName(in_one_cell(met.where("_top IS NULL")))
+        large = stored(met.where("_top IS NOT NULL"), "large")
         hubs = large.where("_id = _top").select("_group", F.col("_n").alias("_m"), F.col("_data").alias("_hub"))
-        weights = groups.where(F.col("_size") > CELL_BYTES)
         beside = salted_join(large, hubs, "_group", weights, "_rows", ["_id"])
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,9 +325,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     weight = F.col("_rows").alias("_weight")
     placed = stored(blocks.join(classes.select("_id", "_set", F.col("n_shingles").alias("_n"), weight), "_id"), "blocks")
     weighed = placed.join(posted.select("_id", "_weight").distinct().withColumnRenamed("_weight", "_collides"), "_id", "left")
-    sets = full_sets(docs, placed.select("_id", "_set"), shingle)
-    members = weighed.select("_group", "_id", "_n", F.coalesce("_collides", "_weight").alias("_weight")).join(sets, "_id")
-    named = components(matches(stored(members, "members"), sets_alike)).select(F.col("node").alias("_id"), F.col("component").alias("_in"))
+    wanted = stored(weighed.select("_set", "_group", "_id", "_n", F.coalesce("_collides", "_weight").alias("_weight")), "wanted")
+    members = stored(full_sets(docs, wanted, shingle).drop("_set"), "members")
+    named = components(matches(members, sets_alike)).select(F.col("node").alias("_id"), F.col("component").alias("_in"))
     found = stored(
         classes.select("_id", "_set", "_first", "_rows").join(named, "_id", "left").withColumn("_in", F.coalesce("_in", "_id")),
         "placed",
