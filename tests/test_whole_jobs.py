@@ -4,7 +4,9 @@ import datetime as dt
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from broadsheet.plans.skew import ranked
 from broadsheet.testbed import oracle
 from broadsheet.testbed.queries import QUERIES
 from check import difference
@@ -45,3 +47,19 @@ def test_scores_of_all_articles_of_a_category(spark, tables):
     got = QUERIES["pref_join_scores"](spark, tables).toPandas()
     assert sorted(got[(got.user_id == 2) & (got.category == 0)].place) == list(range(1, KNOWN + 1))
     assert difference(got, sql(tables, "pref_join_scores")) == ""
+
+
+def test_the_whole_order_of_a_user(spark, tables):
+    got = QUERIES["user_score_order"](spark, tables).toPandas()
+    assert sorted(got[got.user_id == 1]["rank"]) == list(range(1, KNOWN + 5))
+    assert difference(got, sql(tables, "user_score_order")) == ""
+
+
+def test_a_null_group_is_numbered_over_all_parts(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        many = spark.range(3000).select(F.lit(None).cast("long").alias("k"), "id")
+        places = ranked(many, [(F.col("id"), "asc")], "place", ["k"])
+        assert places.where("place = id + 1").count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
