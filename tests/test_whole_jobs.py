@@ -55,6 +55,12 @@ def test_the_whole_order_of_a_user(spark, tables):
     assert difference(got, sql(tables, "user_score_order")) == ""
 
 
+def test_all_new_articles_of_the_categories_read(spark, tables):
+    got = QUERIES["recommend_new_articles"](spark, tables).toPandas()
+    assert sorted(got[got.user_id == 1]["rank"]) == list(range(1, NEW + 1))
+    assert difference(got, sql(tables, "recommend_new_articles")) == ""
+
+
 def test_a_null_group_is_numbered_over_all_parts(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
