@@ -29,6 +29,19 @@ def test_counts_hold_one_article_at_a_time():
     assert Counter((r["term"], r["n"]) for r in rows) == {("a", 3): 50, ("b", 2): 50, ("c", 1): 50, ("d", 1): 50}
 
 
+def test_articles_cut_by_batches_are_counted_whole():
+    """Arrow gives groups in no certain order; an article's rows still come once and together."""
+    random.seed(8)
+    tokens = [(d, 9, f"w{random.randint(0, 900)}") for d in range(400) for _ in range(random.randint(1, 900))]
+    cut = [tokens[i : i + 10_000] for i in range(0, len(tokens), 10_000)]
+    batches = (pa.RecordBatch.from_pylist([{"news_id": d, "n_terms": n, "term": t} for d, n, t in c]) for c in cut)
+    rows = [r for b in keywords._counted(batches) for r in b.to_pylist()]
+    assert Counter({(r["news_id"], 9, r["term"]): r["n"] for r in rows}) == Counter(tokens)
+    assert len(rows) == len({*tokens})
+    ids = [r["news_id"] for r in rows]
+    assert sum(a != b for a, b in zip(ids, ids[1:])) == 399
+
+
 def test_counts_of_an_id_that_repeats(frame, rows):
     news = frame([(1, "a b"), (1, "b c"), (1, "b"), (None, "a"), (None, "a"), (2, None)], "news_id long, content string")
     got = Counter(tuple(r) for r in keywords.term_counts(news).collect())
