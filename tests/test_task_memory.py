@@ -57,3 +57,18 @@ def test_rows_of_terms_are_not_sorted_for_their_frequency(prepared, frame, other
         seen["w7"] = 1
     want = {(d, w): round(t.count(w) / len(t) * math.log10(51 / seen[w]), 9) for d, t in docs for w in t}
     assert {(r.news_id, r.term): round(r.tfidf, 9) for r in scored.collect()} == want
+
+
+@pytest.mark.parametrize("n", [3, 50])
+def test_only_contenders_are_joined_for_the_heaviest_terms(spark, frame, monkeypatch, n):
+    random.seed(9)
+    weights = [1 / (i + 1) for i in range(300)]
+    texts = [(d % 35, " ".join(f"w{i}" for i in random.choices(range(300), weights, k=150))) for d in range(40)]
+    news = frame([*texts, (None, "w1 w2"), (None, "w2 w250"), (36, None), (37, "")], "news_id long, content string")
+    joined, tfidf = [], keywords.tfidf
+    monkeypatch.setattr(keywords, "tfidf", lambda counts, *more: joined.append(counts) or tfidf(counts, *more))
+    read = lambda top: sorted((r.news_id or -1, r["rank"], r.term, r.n, round(r.tfidf, 9)) for r in top.collect())
+    got, want = (read(keywords.top_keywords(keywords.article_tfidf(news, first=k), n)) for k in (n, None))
+    assert got == want
+    if n == 3:
+        assert joined[0].count() < joined[1].count() / 3
