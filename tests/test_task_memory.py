@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.operators import keywords
-from broadsheet.plans.session import SETTINGS, prepare
+from broadsheet.plans.session import SETTINGS, prepare, shuffle_partitions
+from broadsheet.plans.skew import hot_keys
 
 
 @pytest.fixture
@@ -40,6 +41,23 @@ def test_partitions_are_not_merged_to_more_than_a_task_can_sort(prepared):
     assert len(sizes) > 2 and max(sizes) < 600_000
 
 
+def test_a_sessions_few_partitions_do_not_make_large_tasks(prepared):
+    prepared.conf.set("spark.sql.shuffle.partitions", "2")
+    prepare(prepared)
+    lines = prepared.range(0, 1_300_000, 1, 4).select("id", F.md5(F.col("id").cast("string")).alias("text"))
+    dealt = lines.repartition("id").groupBy(F.spark_partition_id().alias("at")).agg(F.count(F.lit(1)).alias("n"), F.max("text"))
+    sizes = [r.n for r in dealt.collect()]
+    assert sum(sizes) == 1_300_000
+    assert len(sizes) > 2 and max(sizes) < 600_000
+    keys = prepared.range(1000).select((F.col("id") % 10).alias("k"))
+    weights = keys.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    assert shuffle_partitions(prepared) > 100  # so a key with a tenth of the rows is dealt over several tasks
+    hot = hot_keys(weights, ["k"], "n", shuffle_partitions(prepared))
+    assert [r["_salts"] for r in hot.collect()] == [103] * 10
+    prepared.conf.set("spark.sql.shuffle.partitions", "3000")
+    assert shuffle_partitions(prepare(prepared)) == 3000  # a session's larger number stays
+
+
 @pytest.mark.parametrize("other_corpus", [False, True])
 def test_rows_of_terms_are_not_sorted_for_their_frequency(prepared, frame, other_corpus):
     prepared.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")  # else so few are broadcast
