@@ -5,9 +5,11 @@ pass over all documents counts every phrase whose parts (its words, or the two
 pairs of a phrase of three) are all proposed: these are the proposals and their
 negative border, and their counts are exact. Border phrases that turn out
 frequent are failures: they join the proposals, and a further pass counts what
-they add to the border, and only that. It ends when nothing is left that fails,
-after two further passes at most, as phrases have three words at most. So the
-result does not depend on the sample.
+they add to the border, and only that. In that pass every pair with a word that
+failed stands for proposed, as it was not counted before, so phrases of three
+words that need it are counted along. Words are all counted by the first pass
+and pairs by the second, so nothing is left that fails, and the result does not
+depend on the sample.
 
 Proposals are held as bit filters of fixed size, sent to all tasks. A filter
 may take a phrase for proposed that is not; it is then counted, exactly, for
@@ -135,7 +137,10 @@ def _rows(lang: str, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
 def counted_block(
     lang: str, tokens: list[bytes], carried: int, now: Proposed, before: Proposed | None, longest: int
 ) -> Iterator[pa.RecordBatch]:
-    """Counts of a block's phrases that are on the border of ``now`` and not of ``before``."""
+    """Counts of a block's phrases that are on the border of ``now`` and not of ``before``.
+
+    With ``before``, pairs with a word that is new since then count as proposed.
+    """
     coded = pa.array(tokens, pa.binary()).dictionary_encode()
     ids, vocabulary = coded.indices.to_numpy().astype(np.int64), coded.dictionary
     names = vocabulary.to_pylist()
@@ -152,25 +157,30 @@ def counted_block(
     at = np.flatnonzero(good[ids[:-1]] & good[ids[1:]])  # where a pair starts
     if not len(at):
         return
-    code, pair = np.unique(ids[at] * len(names) + ids[at + 1], return_inverse=True)
-    left, right = code // len(names), code % len(names)
-    phrase = pc.binary_join_element_wise(vocabulary.take(pa.array(left)), vocabulary.take(pa.array(right)), b" ")
-    n = np.bincount(pair[at + 1 >= carried], minlength=len(code))
-    new = np.flatnonzero((n > 0) & ~(old[left] & old[right]))
-    yield _rows(lang, phrase.take(pa.array(new)), n[new])
+    left, right = ids[at], ids[at + 1]
+    known = old[left] & old[right]
+
+    def pairs_of(codes: np.ndarray) -> pa.Array:
+        first, second = (vocabulary.take(pa.array(c)) for c in (codes // len(names), codes % len(names)))
+        return pc.binary_join_element_wise(first, second, b" ")
+
+    here = np.flatnonzero(~known & (at + 1 >= carried))
+    code, n = np.unique(left[here] * len(names) + right[here], return_counts=True)
+    yield _rows(lang, pairs_of(code), n)
     if longest < 3:
         return
     pair_hash = pair_hashes(hashes[left], hashes[right])
-    good2 = now.has("pairs", pair_hash)
-    old2 = np.zeros(len(code), bool) if before is None else before.has("pairs", pair_hash) & old[left] & old[right]
-    follows = np.flatnonzero((np.diff(at) == 1) & good2[pair[:-1]] & good2[pair[1:]] & (at[:-1] + 2 >= carried))
-    a, b = pair[follows], pair[follows + 1]
-    fresh = ~(old2[a] & old2[b])
-    code3, n3 = np.unique(a[fresh] * len(names) + right[b[fresh]], return_counts=True)
-    phrase3 = pc.binary_join_element_wise(
-        phrase.take(pa.array(code3 // len(names))), vocabulary.take(pa.array(code3 % len(names))), b" "
+    good2, old2 = now.has("pairs", pair_hash), known
+    if before is not None:
+        good2 |= ~known  # with a new word it is counted only now, so it may be frequent
+        old2 = known & before.has("pairs", pair_hash)
+    follows = np.flatnonzero(
+        (np.diff(at) == 1) & good2[:-1] & good2[1:] & ~(old2[:-1] & old2[1:]) & (at[:-1] + 2 >= carried)
     )
-    yield _rows(lang, phrase3, n3)
+    head, of = np.unique(left[follows] * len(names) + right[follows], return_inverse=True)
+    code3, n3 = np.unique(of * len(names) + right[follows + 1], return_counts=True)
+    last = vocabulary.take(pa.array(code3 % len(names)))
+    yield _rows(lang, pc.binary_join_element_wise(pairs_of(head).take(pa.array(code3 // len(names))), last, b" "), n3)
 
 
 def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[str]]]:
@@ -245,17 +255,13 @@ def frequent_phrases(
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), whole_text().alias("text"), "doc_id")
     picked = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(10_000)) < F.lit(int(sample * 10_000)))
     guess = stored(counts(picked, lambda: Proposed(None, None), None, lowered, longest=2).where("words > 0"), "proposals")
-    proposed, earlier, found = _Proposals(_word_filter(guess.where("words = 1")), _pair_filter(guess.where("words = 2"))), None, []
-    while True:
-        found.append(stored(counts(texts, proposed.load, earlier and earlier.load, least), "frequent"))
-        words, pairs = proposed.failures(found[-1])
-        if words.isEmpty() and pairs.isEmpty():
-            break
-        earlier, proposed = proposed, proposed.with_more(words, pairs)
-    whole = found[0]
-    for more in found[1:]:
-        whole = whole.unionByName(more)
-    return whole
+    proposed = _Proposals(_word_filter(guess.where("words = 1")), _pair_filter(guess.where("words = 2")))
+    found = stored(counts(texts, proposed.load, None, least), "frequent")
+    words, pairs = proposed.failures(found)
+    if words.isEmpty() and pairs.isEmpty():
+        return found
+    more = proposed.with_more(words, pairs)
+    return found.unionByName(stored(counts(texts, more.load, proposed.load, least), "frequent"))
 
 
 def collocations(

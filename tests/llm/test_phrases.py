@@ -85,6 +85,19 @@ def test_border_is_counted_exactly(frame, docs):
     assert len(found) == len(expected) and {(r.lang, r.phrase): r.n for r in found} == expected
 
 
+@pytest.mark.parametrize("sample,lowered", [(0.0, 1), (0.25, 2), (0.1, 6)])
+def test_one_further_pass_closes_the_border(frame, docs, monkeypatch, sample, lowered):
+    """Words, pairs and phrases of three that the sample missed, one on the other, in one pass over all texts."""
+    passes, counts = [], phrases.counts
+    monkeypatch.setattr(phrases, "counts", lambda *given, **named: passes.append(1) or counts(*given, **named))
+    rare = [(600 + i, f"zeta{i % 3} eta{i % 3} theta the a", "en") for i in range(45)]
+    found = phrases.frequent_phrases(frame(docs + rare, SCHEMA), sample=sample, lowered=lowered).where("words > 0").collect()
+    expected = {(lang, " ".join(p)): c for lang, f in plain_counts(docs + rare).items() for p, c in f.items() if c >= 10}
+    assert expected["en", "zeta1 eta1 theta"] == 15 and expected["en", "theta the a"] == 45
+    assert len(found) == len(expected) and {(r.lang, r.phrase): r.n for r in found} == expected
+    assert len(passes) <= 3  # sample, all texts, and once more
+
+
 def test_long_texts_go_in_blocks(frame, monkeypatch):
     monkeypatch.setattr(phrases, "BLOCK", 64)
     rng = random.Random(8)
