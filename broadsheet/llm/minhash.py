@@ -199,24 +199,34 @@ def sets_alike(a: list[bytes], n: np.ndarray, b: list[bytes], m: np.ndarray) ->
 
 
 def _edges(ids: np.ndarray, n: np.ndarray, data: list[bytes], kinds: np.ndarray, compare: Compare) -> tuple[np.ndarray, np.ndarray]:
-    """A forest that spans the matches of a cell: its outsiders (kind 0 or 2) with all (kind 1 or 2)."""
+    """A forest that spans the matches of a cell: its outsiders (kind 0 or 2) with all (kind 1 or 2).
+
+    Matches go into the forest block by block, as there may be the square of the cell's members.
+    Rows that hang together already are compared only with columns that do not hang with them.
+    """
     rows, columns = np.flatnonzero(kinds != 1), np.flatnonzero(kinds != 0)
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    far = [data[i] for i in columns]
+    nodes, node = np.unique(ids, return_inverse=True)
+    label = np.arange(len(nodes))
+    top = node  # of each member, the node that it hangs on
     for at in range(0, len(rows), _ROWS_AT_ONCE):
-        some = rows[at : at + _ROWS_AT_ONCE]
-        i, j = np.nonzero(compare([data[k] for k in some], n[some], far, n[columns]))
-        left.append(ids[some[i]])
-        right.append(ids[columns[j]])
-    a, b = np.concatenate(left), np.concatenate(right)
-    keep = a != b
-    nodes, node = np.unique(np.concatenate((a[keep], b[keep])), return_inverse=True)
-    label = spanning(len(nodes), *np.split(node, 2))
+        some, left = rows[at : at + _ROWS_AT_ONCE], columns
+        if at and (top[some] == top[some[0]]).all():
+            left = columns[top[columns] != top[some[0]]]
+        near = [data[k] for k in some]
+        for start in range(0, len(left), _COLUMNS_AT_ONCE):
+            far = left[start : start + _COLUMNS_AT_ONCE]
+            i, j = np.nonzero(compare(near, n[some], [data[k] for k in far], n[far]))
+            a, b = top[some[i]], top[far[j]]
+            apart = a != b
+            if apart.any():
+                label = spanning(len(nodes), a[apart], b[apart])[label]
+                top = label[node]
     hung = np.flatnonzero(label != np.arange(len(nodes)))
     return nodes[hung], nodes[label[hung]]
 
 
 _ROWS_AT_ONCE = 256
+_COLUMNS_AT_ONCE = 2048
 _COLUMNS = 4096
 
 

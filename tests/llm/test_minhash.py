@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -90,6 +91,39 @@ def test_copies_of_a_hub(frame, monkeypatch, cell):
     assert found(frame(alone, SCHEMA)) == plain_duplicates(alone)
 
 
+def test_copies_in_one_cell_take_no_table_of_pairs():
+    """A cell of copies that all match holds their forest, not their pairs."""
+    copies = 1500
+    ids, data = np.arange(copies)[::-1] * 3, [bytes(minhash.COORDINATES)] * copies
+    tracemalloc.start()
+    a, b = minhash._edges(ids, np.full(copies, 9), data, np.full(copies, 2), minhash.collisions_suffice)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert a.tolist() == list(range(3, 3 * copies, 3)) and not b.any()
+    assert most < 60 << 20
+
+
+def test_forest_of_a_cell_is_that_of_all_its_matches(monkeypatch):
+    """Whatever the blocks, with outsiders that stand in the cell twice and copies that hang together early."""
+    rng = random.Random(8)
+    members = [(i * 5, rng.randrange(40) if i % 3 else 7) for i in range(90)]
+    cell = [(i, v, k) for i, v in members for k in rng.choice([(2,), (1,), (0, 1)])]
+    rng.shuffle(cell)
+    values = np.array([v for _, v, _ in cell])
+    alike = lambda a, n, b, m: abs(n[:, None] - m) <= (n[:, None] + m) % 2
+    label = {i: i for i, _ in members}
+    matching = [(i, j) for i, v, k in cell for j, w, c in cell if k != 1 and c != 0 and abs(v - w) <= (v + w) % 2]
+    for _ in members:
+        for i, j in matching:
+            label[i] = label[j] = min(label[i], label[j])
+    want = sorted((i, top) for i, top in label.items() if i != top)
+    for rows, columns in ((256, 2048), (3, 5), (1, 1)):
+        monkeypatch.setattr(minhash, "_ROWS_AT_ONCE", rows)
+        monkeypatch.setattr(minhash, "_COLUMNS_AT_ONCE", columns)
+        a, b = minhash._edges(np.array([i for i, _, _ in cell]), values, [b""] * len(cell), np.array([k for *_, k in cell]), alike)
+        assert sorted(zip(a.tolist(), b.tolist())) == want
+
+
 def test_documents_of_the_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
