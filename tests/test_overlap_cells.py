@@ -82,3 +82,78 @@ def test_pairs_of_a_grid_of_cells(frame, monkeypatch, rows_of_a_cell):
             if both := len({*ts} & {*others}):
                 want[u, a] = (both, 9 - 2 * both, 3.0 * both, 12.0 - 3.0 * both)
     assert got == want and found.count() == len(want)
+
+
+@pytest.mark.parametrize("sparse, block_users", [(5, 2048), (1, 7), (1000, 7)])
+def test_lists_of_common_and_rare_keywords(frame, monkeypatch, sparse, block_users):
+    """Tables and lists of keywords give the same lists as brute force, with keywords that come twice or weigh nothing."""
+    monkeypatch.setattr(overlap, "SPARSE", sparse)
+    monkeypatch.setattr(overlap, "BLOCK_USERS", block_users)
+    monkeypatch.setattr(overlap, "CELL_PRODUCTS", 50)
+    monkeypatch.setattr(ranking, "LIST_BLOCK", 16)
+    random.seed(12)
+    names = [f"t{i}" for i in range(60)]
+    chance = [1 / (i + 1) for i in range(60)]
+    heavy = lambda ts: [(t, round(random.uniform(0.1, 2), 3)) for t in ts]
+    users = {u: heavy(random.choices(names, chance, k=12)) for u in range(40)}
+    news = {a: heavy({*random.choices(names, chance, k=6)}) for a in range(100, 220)}
+    users[40], news[99] = [("zero", 0.0), ("t0", 1.0)], [("zero", 0.5)]
+    read = [(u, a) for u in users for a in news if (u + a) % 5 == 0]
+    cells = lambda kinds: [(k, t, w) for k, pairs in kinds.items() for t, w in pairs]
+    profile, tags = frame(cells(users), "user_id long, term string, weight double"), frame(cells(news), "news_id long, term string, weight double")
+    totals = ranking._with_news_totals(tags).withColumnRenamed("weight", "tag_weight")
+    found = ranking.overlap_candidates(profile, totals, 4, frame(read, "user_id long, news_id long")).collect()
+    got = {u: sorted(((-round(r.score, 9), -r.news_id) for r in found if r.user_id == u))[:4] for u in users}
+    for u, mine in users.items():
+        scores = []
+        for a, its in news.items():
+            met = [x + y for s, x in mine for t, y in its if s == t]
+            if met and (u, a) not in read:
+                whole = sum(w for _, w in mine + its)
+                scores.append((-round((1e-6 + sum(met)) / (1e-6 + whole), 9), -a))
+        assert got[u] == sorted(scores)[:4]
+
+
+def test_few_pairs_are_worked_out_exactly(frame, monkeypatch):
+    """Of articles that most users share something with, only those near a user's floor are."""
+    random.seed(5)
+    weight = {f"t{i}": 6.0 / (1 + i) for i in range(80)}
+    some = lambda n: [(t, weight[t] * random.uniform(0.5, 1.5)) for t in random.sample(sorted(weight), n)]
+    users, worked_out = {u: some(30) for u in range(200)}, []
+    news = {a: some(8) for a in range(4000)}
+
+    def batch(kinds, key, other):
+        rows = [{key: k, other: None, "terms": [t for t, _ in p], "weights": [w for _, w in p], "news_weight": sum(w for _, w in p), "news_tags": len(p)} for k, p in kinds.items()]
+        types = [("user_id", pa.int64()), ("news_id", pa.int64()), ("terms", pa.list_(pa.string())), ("weights", pa.list_(pa.float64())), ("news_weight", pa.float64()), ("news_tags", pa.int64())]
+        return pa.RecordBatch.from_pylist(rows, pa.schema(types))
+
+    exact = overlap.Met.exact
+    monkeypatch.setattr(overlap.Met, "exact", lambda self, block, place, user: worked_out.append(len(place)) or exact(self, block, place, user))
+    readers = overlap.Users([batch(users, "user_id", "news_id")], [])
+    run = overlap.Articles(batch(news, "news_id", "user_id"), readers, 0)
+    (found,) = overlap.best_pairs(1e-6, 10, 9, 64)([(readers, iter([run]))])
+    assert found.num_rows == 2000
+    assert sum(worked_out) < 200 * 4000 / 5
+
+
+def test_only_keywords_of_profiles_are_dealt(frame, monkeypatch):
+    """Keywords that no profile has, and articles of such ones alone, are not sent to the cells."""
+    kept = {}
+    stored = overlap.stored
+    monkeypatch.setattr(overlap, "stored", lambda df, name: kept.setdefault(len(kept), stored(df, name)))
+    profile = frame([(1, "a", 1.0), (1, "b", 2.0)], "user_id long, term string, weight double")
+    tags = frame([(a, t, 1.0) for a in range(50) for t in ("a" if a < 5 else "x", "y", "z")], "news_id long, term string, weight double")
+    (row,) = [r for r in ranking.overlap_counts(profile, tags).where("news_id = 3").collect()]
+    assert (row.n_shared, row.n_differing, round(row.s2, 5)) == (1, 3, 4.0)
+    dealt = [df for df in kept.values() if "news_id" in df.columns]
+    assert [r.news_id for df in dealt for r in df.orderBy("news_id").collect()] == [0, 1, 2, 3, 4]
+
+
+def test_many_rows_of_the_grid_need_no_columns(frame, monkeypatch):
+    """Profiles are copied to every column, so there are no more of those than the tasks need."""
+    monkeypatch.setattr(overlap, "CELL_ROWS", 1)
+    side = frame([(["t"] * 10,)] * 20, "terms array<string>")
+    monkeypatch.setattr(overlap, "PROFILE_ROWS", 50)
+    assert overlap._grid(side, side) == (8, 8)
+    monkeypatch.setattr(overlap, "PROFILE_ROWS", 2)
+    assert overlap._grid(side, side) == (100, 1)
