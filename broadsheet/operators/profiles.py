@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from broadsheet.functions.scores import decay, share_text
 from broadsheet.functions.text import keyword_hash
 from broadsheet.functions.times import hour_slot, hours_between
+from broadsheet.plans.bitfilter import bit_filter, maybe_in
 from broadsheet.plans.skew import salted_join
+from broadsheet.plans.storage import stored
 from broadsheet.settings import (
     HALF_LIFE_HOURS,
     PROFILE_PARTS,
@@ -121,18 +123,25 @@ def clicks_with_keywords(clicks: DataFrame, keywords: DataFrame) -> DataFrame:
     return salted_join(clicks, keywords, "news_id", rows, "rows", clicks.columns)
 
 
-def _weigh(clicks: DataFrame, keywords: DataFrame, amount: Column) -> DataFrame:
+def _weigh(clicks: DataFrame, keywords: DataFrame, amount: Column, parts: int | None = None) -> DataFrame:
     counted = clicks.groupBy("user_id", "news_id").agg(amount.alias("amount"))
-    return (
-        clicks_with_keywords(counted, keywords)
-        .groupBy("user_id", "term")
-        .agg(F.sum(F.col("amount") * F.col("weight")).alias("weight"))
+    weighed = clicks_with_keywords(counted, keywords).select(
+        "user_id", "term", (F.col("amount") * F.col("weight")).alias("weight")
     )
+    keys = ["user_id", "term"]
+    if parts is not None:
+        weighed = profile_parts(weighed, parts).repartition("user_id", "part")
+        keys = ["user_id", "part", "term"]
+    return weighed.groupBy(*keys).agg(F.sum("weight").alias("weight"))
 
 
-def keyword_profile(clicks: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Weight of each keyword for a user: the sum over all clicks."""
-    return _weigh(clicks, keywords, F.count(F.lit(1)))
+def keyword_profile(clicks: DataFrame, keywords: DataFrame, parts: int | None = None) -> DataFrame:
+    """Weight of each keyword for a user: the sum over all clicks.
+
+    With ``parts`` the rows also have their ``part`` (see :func:`profile_parts`) and
+    are dealt by it, so what is collected from them needs no further shuffle.
+    """
+    return _weigh(clicks, keywords, F.count(F.lit(1)), parts)
 
 
 def decayed_profile(
@@ -194,8 +203,11 @@ def profile_parts(profile: DataFrame, parts: int = PROFILE_PARTS) -> DataFrame:
     """Deals the keywords of every user over ``parts`` rows, by a hash of the term.
 
     The number is the same for all users, so the shape of a collected profile
-    does not depend on how much there is of it; raise it for longer profiles.
+    does not depend on how much there is of it; raise it for longer profiles. A
+    profile that has its parts already is left as it is.
     """
+    if "part" in profile.columns:
+        return profile
     bucket = F.conv(F.substring(keyword_hash(F.col("term")), 1, 8), 16, 10).cast("bigint")
     return profile.withColumn("part", F.pmod(bucket, F.lit(parts)))
 
@@ -215,17 +227,19 @@ def profile_maps(
     )
     if users is None:
         return maps
+    maps, everyone = stored(maps.where("user_id IS NOT NULL"), "maps"), stored(users.select("user_id").distinct(), "users")
+    known = maps.select("user_id").distinct()
+    idle = everyone.join(known, "user_id", "left_anti")
     empty = F.expr("cast(map() as map<string,double>)")
-    return (
-        users.select("user_id")
-        .distinct()
-        .join(maps, "user_id", "left")
-        .select(
-            "user_id",
-            F.coalesce("part", F.lit(0)).alias("part"),
-            F.coalesce("profile", empty).alias("profile"),
-        )
-    )
+    kept = _of_users(maps, stored(known.join(everyone, "user_id", "left_anti"), "strangers"))
+    return kept.unionByName(idle.select("user_id", F.lit(0).cast(maps.schema["part"].dataType).alias("part"), empty.alias("profile")))
+
+
+def _of_users(maps: DataFrame, strangers: DataFrame) -> DataFrame:
+    """The maps of all but the strangers; only those that may be a stranger's are shuffled."""
+    marked = maybe_in(maps, ["user_id"], bit_filter(strangers, ["user_id"]), "_maybe")
+    sure = marked.where(~F.col("_maybe")).drop("_maybe")
+    return sure.unionByName(marked.where("_maybe").drop("_maybe").join(strangers, "user_id", "left_anti").select(*maps.columns))
 
 
 def profile_map(profile: DataFrame, users: DataFrame | None = None) -> DataFrame:

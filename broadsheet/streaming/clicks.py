@@ -25,10 +25,14 @@ MERGE_EVERY = 10  # micro-batches between snapshots
 
 @dataclass(frozen=True)
 class Running:
-    """A table kept by a stream: the change of a batch of clicks, and how changes are put together."""
+    """A table kept by a stream: the change of a batch of clicks, and how changes are put together.
+
+    ``once`` says that a change, and what changes are merged to, has every key once.
+    """
 
     change: Callable[[DataFrame], DataFrame]
     merge: Callable[[DataFrame], DataFrame]
+    once: bool = False
 
 
 def _sums(keys: list[str], value: str) -> Callable[[DataFrame], DataFrame]:
@@ -37,13 +41,13 @@ def _sums(keys: list[str], value: str) -> Callable[[DataFrame], DataFrame]:
 
 def running_profile(keywords: DataFrame) -> Running:
     """Weight of each (user, keyword)."""
-    return Running(lambda clicks: profiles.keyword_profile(clicks, keywords), _sums(["user_id", "term"], "weight"))
+    return Running(lambda clicks: profiles.keyword_profile(clicks, keywords), _sums(["user_id", "term"], "weight"), once=True)
 
 
 def running_categories(assignment: DataFrame) -> Running:
     """Clicks per (user, category); the clicks carry ``publish_ts``."""
     return Running(
-        lambda clicks: profiles.user_category_counts(clicks, assignment), _sums(["user_id", "category"], "clicks")
+        lambda clicks: profiles.user_category_counts(clicks, assignment), _sums(["user_id", "category"], "clicks"), once=True
     )
 
 
@@ -62,10 +66,10 @@ def running_decay(keywords: DataFrame, half_life_hours: float = HALF_LIFE_HOURS)
     def merge(rows: DataFrame) -> DataFrame:
         newest = rows.agg(F.max("seen")).scalar()
         aged = F.col("weight") * decay(hours_between(F.col("seen"), F.col("_newest")), half_life_hours)
-        summed = rows.withColumn("_newest", newest).groupBy("user_id", "term").agg(F.sum(aged).alias("weight"), F.max("_newest").alias("seen"))
-        return summed
+        summed = rows.withColumn("_newest", newest).groupBy("user_id", "term").agg(F.sum(aged).alias("weight"))
+        return summed.withColumn("seen", newest)
 
-    return Running(change, merge)
+    return Running(change, merge, once=True)
 
 
 def decay_to(profile: DataFrame, as_of: Column, half_life_hours: float = HALF_LIFE_HOURS) -> DataFrame:
@@ -117,10 +121,12 @@ def latest(spark: SparkSession, table: str, running: Running) -> DataFrame:
     upto = spark.read.schema("upto long").parquet(f"{table}/marks").agg(F.max("upto")).first()[0]
     changes = spark.read.option("basePath", f"{table}/changes").parquet(f"{table}/changes")
     rows = changes if upto is None else changes.where(F.col("epoch") > upto)
+    # of one batch, or a snapshot without later changes, there is nothing to put together
+    alone = running.once and len(rows.select("epoch").distinct().take(2)) + (upto is not None) < 2
     rows = rows.drop("epoch")
     if upto is not None:
         rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{table}/merged/upto={upto}"))
-    return running.merge(rows)
+    return rows if alone else running.merge(rows)
 
 
 def start_updates(

@@ -64,6 +64,21 @@ def test_running_decay_equals_half_life(feed, tags, at):
     assert all(math.isclose(got[k], want[k]) for k in want)
 
 
+def test_one_batch_is_read_without_a_shuffle(spark, frame, tags, at, tmp_path):
+    """A change, or a snapshot without later changes, has every key once; two changes are put together."""
+    shuffles = lambda df: (lambda p: p[p.index("Physical Plan") :].count("Exchange "))(df._jdf.queryExecution().toString())
+    for name, running in (("sums", streams.running_profile(tags)), ("decay", streams.running_decay(tags))):
+        table = str(tmp_path / name)
+        streams._mark(spark, table, [])
+        read = []
+        for epoch in range(4):
+            streams.record(running, table, frame([(1, 5, at(epoch)), (1, 5, at(epoch)), (2, 6, at(epoch))], CLICKS), epoch, 3)
+            read.append(streams.latest(spark, table, running))
+        assert [shuffles(df) > 0 for df in read] == [False, True, False, True]
+        assert [df.count() for df in read] == [3] * 4
+        assert all(df.columns == read[1].columns for df in read)
+
+
 def test_decay_over_thousands_of_half_lives(spark, frame, tags, at, tmp_path):
     """Clicks 5,000 half-lives apart, the newest batch last, first and in between."""
     table, running = str(tmp_path / "decayed"), streams.running_decay(tags, 24.0)
