@@ -191,6 +191,22 @@ def test_profiles_are_dealt_over_the_same_parts_for_all_users(frame):
     assert only == {"t7": 1.0} and "t7" in parts[1][part]
 
 
+def test_profiles_dealt_by_part_are_shuffled_once(frame, at):
+    """What is collected by part uses the shuffle that summed the weights."""
+    clicks = frame([(u, a, at(a)) for u in range(9) for a in range(u)] + [(None, 3, at(0)), (50, 99, at(0))], CLICKS)
+    tags = frame([(a, f"t{(a * k) % 11}", 1.0 + k) for a in range(9) for k in range(4)], TAGS)
+    plain, dealt = profiles.keyword_profile(clicks, tags), profiles.keyword_profile(clicks, tags, 16)
+    weights = lambda df: Counter(tuple(r) for r in df.select("user_id", "term", "weight").collect())
+    assert weights(dealt) == weights(plain)
+    shuffles = lambda df: (lambda p: p[p.index("Physical Plan") :].count("Exchange "))(df._jdf.queryExecution().toString())
+    assert shuffles(profiles.profile_maps(dealt)) == shuffles(dealt) < shuffles(profiles.profile_maps(plain))
+    read = lambda df: Counter((r.user_id, r.part, *sorted(r.profile.items())) for r in df.collect())
+    everyone = clicks.select("user_id")
+    assert read(profiles.profile_maps(dealt, everyone)) == read(everyone.distinct().join(profiles.profile_maps(plain), "user_id", "left").fillna(0, ["part"]).withColumn("profile", F.coalesce("profile", F.expr("cast(map() as map<string,double>)"))))
+    some = everyone.where("user_id IN (2, 50)")  # others have a profile but are not asked for
+    assert {r.user_id for r in profiles.profile_maps(dealt, some).collect()} == {2, 50}
+
+
 def test_half_life_and_slot_boost(frame, at):
     clicks = frame([(1, 5, at(0)), (1, 6, at(24)), (1, 7, at(34))], CLICKS)
     tags = frame([(5, "a", 1.0), (6, "a", 1.0), (7, "b", 1.0)], TAGS)
@@ -226,6 +242,22 @@ def test_preference_columns_come_from_the_data(frame):
     assert profiles.nonzero_preferences(wide).count() == 3
 
 
+def test_whole_lists_of_new_articles_keep_no_pairs(frame):
+    """Ranks follow from places in the categories, also of a liking or an article that comes twice."""
+    likes = [(1, 7, 0.5), (1, 3, 0.5), (1, 9, 0.2), (2, 9, 0.4), (2, 9, 0.4), (2, 3, 0.6), (None, 7, 0.3), (None, 3, 0.1), (3, 8, 1.0), (3, 7, 0.0), (4, None, 1.0), (5, 7, 0.2), (5, 3, 0.4), (5, 7, 0.9)]
+    news = [(n, (3, 7, 9, None)[n % 4]) for n in range(40)] + [(4, 3), (None, 9)]
+    shares, fresh = frame(likes, "user_id long, category int, share double"), frame(news, "news_id long, category int")
+    found = ranking.recommend_new(fresh, shares, n=None)
+    assert "Window" not in found._jdf.queryExecution().toString()
+    want = Counter()
+    for user in {u for u, _, _ in likes}:
+        pairs = [(-s, c, n or -1, n) for u, c, s in likes if u == user and s for n, k in news if k == c and c is not None]
+        want.update((user, n, c, i + 1) for i, (_, c, _, n) in enumerate(sorted(pairs, key=lambda p: p[:3])))
+    read = lambda df: Counter(tuple(r) for r in df.select("user_id", "news_id", "category", "rank").collect())
+    assert read(found) == want
+    assert read(ranking.recommend_new(fresh, shares, 5, None)) == Counter({r: k for r, k in want.items() if r[3] >= 5})
+
+
 def brute_overlap(user, article):
     """Weight of the tags that both have, as a part of the weight of all tags of both."""
     both = user.keys() & article.keys()
