@@ -28,6 +28,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def own_settings(spark):
+    """What a query of an earlier test has set does not hold in the next."""
+    from broadsheet.plans.session import SETTINGS
+
+    for name in SETTINGS:
+        spark.conf.unset(name)
+
+
 @pytest.fixture
 def frame(spark):
     """A frame from rows and a schema text."""
